@@ -1,0 +1 @@
+"""Registered queries, their inputs derived from the given tables, and their SQL twins."""

@@ -1,0 +1,297 @@
+"""Every registered query: (session, data folder) -> DataFrame over whole tables."""
+
+from pyspark.sql import functions as F
+
+from checks import feeds
+from flowtally.functions import timekeys
+from flowtally.operators import decode, geo, hls, progress, rtmp
+from flowtally.plans import base, cascade, rollups, upkeep
+from flowtally.schemas import HLS_DIMS, HLS_METRICS, HLS_TOPIC, RTMP_DIMS, RTMP_METRICS, RTMP_TOPIC
+from flowtally.session import work_dir
+from flowtally.sources import archive, mq
+from flowtally.streaming import partials, served
+
+# A local day that lies inside the data at every scale.
+DAY = 20240115
+
+
+def _mixed(spark, sf_dir):
+    return feeds.mixed_messages(feeds.events(spark, sf_dir))
+
+
+def _requests(spark, sf_dir):
+    return hls.requests(_mixed(spark, sf_dir))
+
+
+def _sessions(spark, sf_dir):
+    return rtmp.sessions(_mixed(spark, sf_dir))
+
+
+def _derived(spark, sf_dir):
+    return hls.derive(hls.accept(hls.read(_mixed(spark, sf_dir))))
+
+
+# --- sources and sinks ------------------------------------------------------
+
+
+def route_topics(spark, sf_dir):
+    frame = _mixed(spark, sf_dir)
+    routed = [decode.route(frame, topic) for topic in (HLS_TOPIC, RTMP_TOPIC)]
+    return routed[0].unionByName(routed[1]).groupBy("topic", "partition").agg(
+        F.count("*").alias("n_messages"), F.min("offset").alias("first_offset"),
+        F.max("offset").alias("last_offset"))
+
+
+def json_quarantine(spark, sf_dir):
+    decoded = hls.read(feeds.damaged_messages(feeds.events(spark, sf_dir)))
+    good = hls.accept(decoded).select("offset", F.lit("accepted").alias("verdict"))
+    return good.unionByName(hls.rejects(decoded).select("offset", F.col("reject").alias("verdict")))
+
+
+def mq_explode(spark, sf_dir):
+    return mq.explode_pages(feeds.mq_pages(feeds.events(spark, sf_dir)))
+
+
+def mq_normalise(spark, sf_dir):
+    normalised = mq.normalise(mq_explode(spark, sf_dir))
+    return normalised.select(
+        "partition", "offset", "value",
+        F.get_json_object("value", "$.k").cast("bigint").alias("k"),
+        F.when(F.col("value").isNull(), "malformed_json").alias("reject"))
+
+
+def _archive(spark, sf_dir):
+    path = work_dir(spark, "archive")
+    archive.write(_mixed(spark, sf_dir), path)
+    return path
+
+
+def archive_by_day(spark, sf_dir):
+    lines = archive.read(spark, _archive(spark, sf_dir))
+    return lines.groupBy("topic", F.col("day").cast("bigint").alias("day")).agg(
+        F.count("*").alias("n_messages"))
+
+
+def replay_day(spark, sf_dir):
+    frame = archive.replay(spark, _archive(spark, sf_dir), HLS_TOPIC, DAY)
+    # The replayed lines arrive encoded once more, as the old replay tool sent them.
+    encoded = frame.withColumn("value", F.regexp_extract(
+        F.to_json(F.array("value")), r"^\[(.*)\]$", 1))
+    return base.base(hls.requests(decode.unwrap_double_encoded(encoded)), "hls")
+
+
+def _stream_partials(spark, sf_dir, feed):
+    rows = feeds.events(spark, sf_dir)
+    stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 64).parquet(
+        f"{sf_dir}/events.parquet*")
+    messages = feeds.mixed_messages(stream)
+    folder = work_dir(spark, f"stream-{feed}")
+    query = partials.start_partials(
+        messages, feed, f"{folder}/partials", f"{folder}/checkpoint", "first",
+        rejects_path=f"{folder}/rejects", availableNow=True)
+    query.awaitTermination()
+    return base.shown(base.fold(partials.read_partials(spark, f"{folder}/partials", feed), feed))
+
+
+def stream_hls_partials(spark, sf_dir):
+    return _stream_partials(spark, sf_dir, "hls")
+
+
+def stream_rtmp_partials(spark, sf_dir):
+    return _stream_partials(spark, sf_dir, "rtmp")
+
+
+def _batched(spark, sf_dir, feed):
+    """Partial sums as many micro-batches of one thousand messages would leave them."""
+    operators = {"hls": hls, "rtmp": rtmp}[feed]
+    rows = operators.derive(operators.accept(operators.read(_mixed(spark, sf_dir))))
+    batch = F.call_function("div", "offset", F.lit(1000)).alias("batch_id")
+    return base.base(rows, feed, batch)
+
+
+def _fold(spark, sf_dir, feed):
+    """Every second batch added to the total of the others; together the whole table."""
+    sums = _batched(spark, sf_dir, feed)
+    even = sums.filter("batch_id % 2 = 0").drop("batch_id")
+    odd = sums.filter("batch_id % 2 = 1").drop("batch_id")
+    return base.shown(base.increment_or_insert(base.fold(even, feed), odd, base.KEYS[feed]))
+
+
+def fold_hls(spark, sf_dir):
+    return _fold(spark, sf_dir, "hls")
+
+
+def fold_rtmp(spark, sf_dir):
+    return _fold(spark, sf_dir, "rtmp")
+
+
+# --- upkeep and progress ----------------------------------------------------
+
+
+def partition_lag(spark, sf_dir):
+    return progress.lag(feeds.mq_offsets(feeds.events(spark, sf_dir)))
+
+
+def partition_progress(spark, sf_dir):
+    rows = feeds.events(spark, sf_dir)
+    decoded = hls.read(feeds.hls_messages(rows))
+    epoch = F.col("unix_time").cast("bigint")
+    days = decoded.select(
+        (F.col("offset") % 9).cast("int").alias("partition"), "offset",
+        timekeys.day_of(timekeys.hour_key(timekeys.local_time(epoch))).alias("day"))
+    return progress.reached_day(days, feeds.mq_offsets(rows))
+
+
+def _unfolded(spark, sf_dir):
+    """What plain inserts, one writer per queue partition, would leave: several rows per key."""
+    rows = _derived(spark, sf_dir).filter("svr_type = 0")
+    day = timekeys.day_of(F.col("timestamp_hour")).alias("timestamp")
+    return rows.groupBy("partition", day, "user").agg(
+        F.min("offset").alias("first_offset"), F.sum("flux").alias("flux"),
+        F.sum("counts").alias("counts"))
+
+
+def rollup_unique_check(spark, sf_dir):
+    return upkeep.duplicate_keys(_unfolded(spark, sf_dir), ["timestamp", "user"])
+
+
+def rollup_dedup(spark, sf_dir):
+    return upkeep.drop_duplicates(_unfolded(spark, sf_dir), ["timestamp", "user"], "first_offset")
+
+
+def purge_day(spark, sf_dir):
+    counters = _requests(spark, sf_dir)
+    by_day = upkeep.without_day(rollups.rollup(counters, "hls_down_user"), "timestamp", DAY)
+    by_hour = upkeep.without_day(
+        rollups.rollup(counters, "hls_down_user_hour"), "timestamp", DAY, hourly=True)
+    legacy = upkeep.without_day(
+        rollups.rollup(counters, "hls_user_data"), "updateTime", DAY)
+    return (
+        by_day.select(F.lit("hls_down_user").alias("name"), "timestamp", "user", "flux")
+        .unionByName(by_hour.select(
+            F.lit("hls_down_user_hour").alias("name"), "timestamp", "user", "flux"))
+        .unionByName(legacy.select(
+            F.lit("hls_user_data").alias("name"), F.col("updateTime").alias("timestamp"), "user",
+            F.col("sizeSum").alias("flux")))
+    )
+
+
+# --- derivations ------------------------------------------------------------
+
+
+def hls_valid_filter(spark, sf_dir):
+    return hls.accept(hls.read(_mixed(spark, sf_dir))).select("offset", "request_url")
+
+
+def hls_url_parse(spark, sf_dir):
+    return _derived(spark, sf_dir).select("offset", "hls_type", "app", "stream", "slice")
+
+
+def hls_flags(spark, sf_dir):
+    return _derived(spark, sf_dir).select("offset", "svr_type", "http_stat", *HLS_METRICS)
+
+
+def hls_user_normalise(spark, sf_dir):
+    return _derived(spark, sf_dir).select("offset", "user")
+
+
+def hls_time_keys(spark, sf_dir):
+    return _derived(spark, sf_dir).select(
+        "offset", "timestamp_hour", timekeys.day_of(F.col("timestamp_hour")).alias("timestamp"))
+
+
+def hls_base(spark, sf_dir):
+    return base.base(_requests(spark, sf_dir), "hls")
+
+
+def rtmp_derive(spark, sf_dir):
+    derived = rtmp.derive(rtmp.accept(rtmp.read(_mixed(spark, sf_dir))))
+    return base.shown(derived.select("offset", *RTMP_DIMS, *RTMP_METRICS))
+
+
+def rtmp_base(spark, sf_dir):
+    return base.shown(base.base(_sessions(spark, sf_dir), "rtmp"))
+
+
+# --- aggregations -----------------------------------------------------------
+
+
+def _cascade_query(name):
+    return lambda spark, sf_dir: cascade.rekey(_requests(spark, sf_dir), name)
+
+
+def _rollup_query(name):
+    counters = {"hls": _requests, "rtmp": _sessions}[rollups.CATALOGUE[name].feed]
+    return lambda spark, sf_dir: rollups.rollup(counters(spark, sf_dir), name)
+
+
+def hls_all_levels(spark, sf_dir):
+    return rollups.all_levels(base.base(_requests(spark, sf_dir), "hls"), "hls")
+
+
+def rtmp_all_levels(spark, sf_dir):
+    return base.shown(rollups.all_levels(base.base(_sessions(spark, sf_dir), "rtmp"), "rtmp"))
+
+
+def rtmp_app_stream(spark, sf_dir):
+    detail = rollups.rollup(_sessions(spark, sf_dir), "rtmp_down_app_stream")
+    return rollups.reduce_keys(detail, ["timestamp", "app", "stream"])
+
+
+def served_after_stream(spark, sf_dir):
+    """Stream, partial sums on disk, rollups on disk, one table out of them."""
+    stream = spark.readStream.schema(feeds.events(spark, sf_dir).schema).parquet(
+        f"{sf_dir}/events.parquet*")
+    folder = work_dir(spark, "served")
+    partials.start_partials(
+        feeds.hls_messages(stream), "hls", f"{folder}/partials", f"{folder}/checkpoint", "first",
+        availableNow=True).awaitTermination()
+    served.refresh(spark, "hls", f"{folder}/partials", f"{folder}/rollups")
+    return served.table(spark, f"{folder}/rollups", "hls_down_app_stream_hour")
+
+
+# --- range lookup -----------------------------------------------------------
+
+
+def _geo_query(prefix_bits, strategy="auto"):
+    def query(spark, sf_dir):
+        probes = feeds.geo_probes(feeds.events(spark, sf_dir))
+        return geo.lookup(probes, feeds.geo_ranges(spark, sf_dir), "remote_addr", prefix_bits,
+                          strategy)
+    return query
+
+
+QUERIES = {
+    "route_topics": route_topics,
+    "json_quarantine": json_quarantine,
+    "mq_explode": mq_explode,
+    "mq_normalise": mq_normalise,
+    "archive_by_day": archive_by_day,
+    "replay_day": replay_day,
+    "stream_hls_partials": stream_hls_partials,
+    "stream_rtmp_partials": stream_rtmp_partials,
+    "served_after_stream": served_after_stream,
+    "fold_hls": fold_hls,
+    "fold_rtmp": fold_rtmp,
+    "partition_lag": partition_lag,
+    "partition_progress": partition_progress,
+    "rollup_unique_check": rollup_unique_check,
+    "rollup_dedup": rollup_dedup,
+    "purge_day": purge_day,
+    "hls_valid_filter": hls_valid_filter,
+    "hls_url_parse": hls_url_parse,
+    "hls_flags": hls_flags,
+    "hls_user_normalise": hls_user_normalise,
+    "hls_time_keys": hls_time_keys,
+    "hls_base": hls_base,
+    "rtmp_derive": rtmp_derive,
+    "rtmp_base": rtmp_base,
+    **{name: _cascade_query(name) for name in cascade.STEPS},
+    **{name: _rollup_query(name) for name in rollups.CATALOGUE},
+    "hls_all_levels": hls_all_levels,
+    "rtmp_all_levels": rtmp_all_levels,
+    "rtmp_app_stream": rtmp_app_stream,
+    "geo_lookup": _geo_query(8),
+    "geo_lookup_16": _geo_query(16),
+    "geo_lookup_shuffled": _geo_query(16, "shuffle"),
+}
