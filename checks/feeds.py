@@ -13,7 +13,19 @@ _EPOCH = "timestampdiff(SECOND, timestamp_ntz'1970-01-01 00:00:00', ts) as epoch
 
 
 def events(spark, sf_dir):
-    return spark.read.parquet(f"{sf_dir}/events.parquet")
+    """The event table; a scan of fewer tasks than cores is spread, a large one never."""
+    rows = spark.read.parquet(f"{sf_dir}/events.parquet")
+    cores = spark.sparkContext.defaultParallelism
+    if rows.rdd.getNumPartitions() < cores:
+        rows = rows.repartition(cores, "event_id")
+    return rows
+
+
+def event_stream(spark, sf_dir):
+    """The event table as a stream of its files, at most a tebibyte per micro-batch."""
+    path = f"{sf_dir}/events.parquet"
+    reader = spark.readStream.schema(spark.read.parquet(path).schema)
+    return reader.option("maxBytesPerTrigger", 2**40).parquet(f"{path}*")
 
 
 def _message(topic, value):

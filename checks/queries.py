@@ -81,10 +81,7 @@ def replay_day(spark, sf_dir):
 
 
 def _stream_partials(spark, sf_dir, feed):
-    rows = feeds.events(spark, sf_dir)
-    stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 64).parquet(
-        f"{sf_dir}/events.parquet*")
-    messages = feeds.mixed_messages(stream)
+    messages = feeds.mixed_messages(feeds.event_stream(spark, sf_dir))
     folder = work_dir(spark, f"stream-{feed}")
     query = partials.start_partials(
         messages, feed, f"{folder}/partials", f"{folder}/checkpoint", "first",
@@ -134,12 +131,8 @@ def partition_lag(spark, sf_dir):
 
 def partition_progress(spark, sf_dir):
     rows = feeds.events(spark, sf_dir)
-    decoded = hls.read(feeds.hls_messages(rows))
-    epoch = F.col("unix_time").cast("bigint")
-    days = decoded.select(
-        (F.col("offset") % 9).cast("int").alias("partition"), "offset",
-        timekeys.day_of(timekeys.hour_key(timekeys.local_time(epoch))).alias("day"))
-    return progress.reached_day(days, feeds.mq_offsets(rows))
+    messages = feeds.hls_messages(rows).withColumn("partition", (F.col("offset") % 9).cast("int"))
+    return progress.reached_day(messages, feeds.mq_offsets(rows))
 
 
 def _unfolded(spark, sf_dir):
@@ -240,11 +233,9 @@ def rtmp_app_stream(spark, sf_dir):
 
 def served_after_stream(spark, sf_dir):
     """Stream, partial sums on disk, rollups on disk, one table out of them."""
-    stream = spark.readStream.schema(feeds.events(spark, sf_dir).schema).parquet(
-        f"{sf_dir}/events.parquet*")
     folder = work_dir(spark, "served")
     partials.start_partials(
-        feeds.hls_messages(stream), "hls", f"{folder}/partials", f"{folder}/checkpoint", "first",
+        feeds.hls_messages(feeds.event_stream(spark, sf_dir)), "hls", f"{folder}/partials", f"{folder}/checkpoint", "first",
         availableNow=True).awaitTermination()
     served.refresh(spark, "hls", f"{folder}/partials", f"{folder}/rollups")
     return served.table(spark, f"{folder}/rollups", "hls_down_app_stream_hour")

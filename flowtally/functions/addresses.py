@@ -2,15 +2,19 @@
 
 from pyspark.sql import functions as F
 
+# Exactly four octets of 0..255.
+_OCTET = r"(25[0-5]|2[0-4]\d|[01]?\d?\d)"
+_QUAD = rf"\A{_OCTET}(\.{_OCTET}){{3}}\z"
 
-def ip_number(text):
-    """Dotted quad -> 0..2^32-1; NULL unless there are exactly four octets of 0..255."""
-    quad = F.split(text, r"\.")
-    octets = [F.try_element_at(quad, F.lit(i)).try_cast("int") for i in (1, 2, 3, 4)]
-    valid = text.rlike(r"^\d{1,3}\.\d{1,3}\.\d{1,3}\.\d{1,3}$")
-    for octet in octets:
-        valid = valid & (octet <= 255)
-    total = F.lit(0).cast("bigint")
-    for octet in octets:
-        total = total * 256 + octet
-    return F.when(valid, total)
+
+def octets(text):
+    """Parts of a dotted quad; NULL where ``text`` is not one."""
+    return F.when(text.rlike(_QUAD), F.split(text, r"\."))
+
+
+def octets_number(parts):
+    """0..2^32-1 from the parts. Keep ``parts`` a column of its own: it is used four times."""
+    number = F.lit(0).cast("bigint")
+    for i in (1, 2, 3, 4):
+        number = number * 256 + F.element_at(parts, F.lit(i)).cast("bigint")
+    return number

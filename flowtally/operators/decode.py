@@ -45,9 +45,9 @@ def decode(frame, record):
     return flagged.select(*frame.columns, "malformed", F.inline_outer("record"))
 
 
-def quarantine(rejected, reason):
-    """Rejected messages as they came in, with the reason."""
-    return rejected.select(*MESSAGE, reason.alias("reject"))
+def quarantine(decoded, reason):
+    """Messages with a ``reason``, as they came in."""
+    return decoded.filter(reason.isNotNull()).select(*MESSAGE, reason.alias("reject"))
 
 
 def unwrap_double_encoded(frame):

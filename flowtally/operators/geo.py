@@ -7,7 +7,7 @@ known; a range starts after the end before it.
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from flowtally.functions.addresses import ip_number
+from flowtally.functions.addresses import octets, octets_number
 
 NOT_FOUND = "N/A"
 
@@ -78,10 +78,10 @@ def _shuffled_lookup(addressed, ranges):
     then holds at most 65,536 addresses and as many ends. Each address takes
     the nearest end at or above it in its block, or else the first end of the
     next block that has one. Adaptive execution splits frequent addresses in
-    the join back.
+    the join back. (Unusable addresses are one NULL that finds nothing.)
     """
     ends = _distinct_ends(ranges)
-    wanted = addressed.filter(F.col("_ip").isNotNull()).select("_ip").distinct()
+    wanted = addressed.select("_ip").distinct()
     points = ends.select("block", F.col("ip_end").alias("at"), F.lit(0).alias("wanted"),
                          F.struct("location").alias("found"))
     probes = wanted.select(_div(F.col("_ip"), _BLOCK).alias("block"), F.col("_ip").alias("at"),
@@ -115,10 +115,11 @@ def lookup(probes, ranges, ip_column="ip", prefix_bits=16, strategy="auto"):
     """
     if strategy not in ("auto", "broadcast", "shuffle"):
         raise ValueError("strategy is 'auto', 'broadcast' or 'shuffle'")
-    ip = F.col(ip_column)
     if dict(probes.dtypes)[ip_column] == "string":
-        ip = ip_number(ip)
-    addressed = probes.withColumn("_ip", ip.cast("bigint"))
+        parts = probes.withColumn("_octets", octets(F.col(ip_column)))
+        addressed = parts.withColumn("_ip", octets_number(F.col("_octets"))).drop("_octets")
+    else:
+        addressed = probes.withColumn("_ip", F.col(ip_column).cast("bigint"))
     cut = cut_ranges(ranges, prefix_bits)
     small = _fits_broadcast(cut) if strategy == "auto" else strategy == "broadcast"
     joined = _broadcast_lookup(addressed, cut, prefix_bits) if small else _shuffled_lookup(

@@ -34,12 +34,16 @@ def accept(decoded):
     return decoded.filter(fit)
 
 
-def rejects(decoded):
-    """Malformed messages, and media requests with unusable numbers."""
+def reject_reason():
+    """NULL for everything but malformed messages and media requests with unusable numbers."""
     reason = F.when(F.col("malformed"), MALFORMED)
     for name, problem in _problems().items():
         reason = reason.when(urls.is_media(F.col("request_url")) & problem, name)
-    return quarantine(decoded.filter(reason.isNotNull()), reason)
+    return reason
+
+
+def rejects(decoded):
+    return quarantine(decoded, reject_reason())
 
 
 def derive(accepted, tz=timekeys.DEFAULT_TZ, slice_compare="numeric"):

@@ -2,6 +2,9 @@
 
 from pyspark.sql import functions as F
 
+from flowtally.functions import timekeys
+from flowtally.sources import archive
+
 # Rows an offset table may have to be sent to every executor.
 BROADCAST_PARTITIONS = 100_000
 
@@ -18,16 +21,26 @@ def lag(offsets):
     )
 
 
-def reached_day(messages, offsets):
-    """Per partition the event day of the message at the committed offset.
+def reached(messages, offsets):
+    """Per partition the message at the committed offset, or the next one still kept.
 
-    ``messages`` has partition, offset and day; ``offsets`` one row per
-    partition. If the message at the offset is gone, the next one counts.
+    Two passes over ``messages``: the first reads partition and offset only,
+    the second picks one message per partition. Whatever is derived from the
+    message text afterwards is derived for these few.
     """
     committed = offsets.select("partition", F.col("offset").alias("committed"))
-    # limit: the check itself must stay cheap when the table turns out large.
-    if committed.limit(BROADCAST_PARTITIONS + 1).count() <= BROADCAST_PARTITIONS:
-        committed = F.broadcast(committed)
-    ahead = messages.join(committed, "partition").filter("offset >= committed")
-    return ahead.groupBy("partition", "committed").agg(
-        F.min("offset").alias("offset"), F.min_by("day", "offset").alias("day"))
+    small = committed.count() <= BROADCAST_PARTITIONS
+
+    def few(table):
+        return F.broadcast(table) if small else table
+
+    ahead = messages.select("partition", "offset").join(few(committed), "partition").filter(
+        "offset >= committed")
+    wanted = ahead.groupBy("partition", "committed").agg(F.min("offset").alias("offset"))
+    return messages.join(few(wanted), ["partition", "offset"])
+
+
+def reached_day(messages, offsets, tz=timekeys.DEFAULT_TZ):
+    """Per partition the event day of the message at the committed offset."""
+    dated = archive.with_event_day(reached(messages, offsets), tz)
+    return dated.select("partition", "committed", "offset", F.col("day").cast("bigint").alias("day"))

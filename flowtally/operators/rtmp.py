@@ -44,18 +44,21 @@ def accept(decoded):
     return decoded.filter(_fit())
 
 
-def rejects(decoded):
-    """Malformed messages, reports with missing fields and unusable numbers."""
+def reject_reason():
+    """NULL for usable reports; malformed messages, missing fields, unusable numbers."""
     missing = _flux().isNull()
     for name in [*_NAMES, *_WHOLE, *_FLUENCY]:
         missing = missing | F.col(name).isNull()
-    reason = (
+    return F.when(~_fit(), (
         F.when(F.col("malformed"), MALFORMED)
         .when(missing, "missing_field")
         .when(~numbers.is_epoch(F.coalesce("EndTime", F.lit("0"))), "bad_end_time")
         .otherwise("bad_metric")
-    )
-    return quarantine(decoded.filter(~_fit()), reason)
+    ))
+
+
+def rejects(decoded):
+    return quarantine(decoded, reject_reason())
 
 
 def derive(accepted, tz=timekeys.DEFAULT_TZ):

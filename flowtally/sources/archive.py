@@ -3,14 +3,43 @@
 from pyspark.sql import functions as F
 
 from flowtally.functions import numbers, timekeys
+from flowtally.operators.decode import decode
 from flowtally.schemas import RTMP_TOPIC
 
 _WHOLE_SECONDS = r"^ *[+]?[0-9]{1,11} *$"
 _FLOAT_SECONDS = r"^[0-9](\.[0-9]*)?[eE][+]?([0-9]|10)$|^[0-9]{1,11}\.[0-9]*$"
 
+# The field that holds the event time, by feed.
+_HLS_TIME, _RTMP_TIME = "unix_time", "EndTime"
 
-def _field(name):
-    return F.try_variant_get("_document", f"$[0].{name}", "variant")
+
+def _timed(frame):
+    """Messages with the text of their event time."""
+    decoded = decode(frame, {_HLS_TIME: "string", _RTMP_TIME: "string"})
+    is_rtmp = F.coalesce("topic", "key") == RTMP_TOPIC
+    return decoded.withColumn(
+        "_time", F.when(is_rtmp, F.col(_RTMP_TIME)).otherwise(F.col(_HLS_TIME)))
+
+
+def _written_as(start):
+    """Whether the value of the time field starts like this in the message."""
+    return F.col("value").rlike(rf'"({_HLS_TIME}|{_RTMP_TIME})"\s*:\s*{start}')
+
+
+def _placeable():
+    """The message text is searched only for the rare missing or fractional times."""
+    time = F.col("_time")
+    return ~F.col("malformed") & (
+        F.when(time.isNull(), ~_written_as("null"))
+        .when(time.rlike(_WHOLE_SECONDS), True)
+        .otherwise(time.rlike(_FLOAT_SECONDS) & ~_written_as('"'))
+    )
+
+
+def _event_day(tz):
+    seconds = F.coalesce(numbers.epoch_seconds(F.col("_time")), F.unix_timestamp())
+    day = timekeys.day_of(timekeys.hour_key(F.col("_local"))).cast("int")
+    return timekeys.local_time(seconds, tz).alias("_local"), day.alias("day")
 
 
 def with_event_day(frame, tz=timekeys.DEFAULT_TZ):
@@ -18,38 +47,29 @@ def with_event_day(frame, tz=timekeys.DEFAULT_TZ):
 
     A message without the field gets today's day. ``day`` is NULL where the
     value is not one JSON object or its time is not whole seconds; a fraction
-    is cut off a JSON number but makes JSON text unusable.
+    is cut off a JSON number but makes JSON text unusable, and so does null.
     """
-    document = F.try_parse_json(F.concat(F.lit("["), F.col("value"), F.lit("]")))
-    # The generator keeps the parse from being copied into later filters.
-    parsed = frame.select("*", F.explode_outer(F.array(document)).alias("_document"))
-    is_rtmp = F.coalesce("topic", "key") == RTMP_TOPIC
-    timed = parsed.withColumn("_time", F.when(is_rtmp, _field("EndTime")).otherwise(
-        _field("unix_time")))
-    text = F.try_variant_get("_time", "$", "string")
-    is_text = F.schema_of_variant("_time") == "STRING"
-    whole = text.rlike(_WHOLE_SECONDS) | (~is_text & text.rlike(_FLOAT_SECONDS))
-    seconds = F.when(F.col("_time").isNull(), F.unix_timestamp()).when(
-        whole, numbers.epoch_seconds(text))
-    one_object = (
-        F.ltrim("value", F.lit(" \t\r\n")).startswith("{")
-        & F.col("_document").isNotNull()
-        & F.try_variant_get("_document", "$[1]", "variant").isNull()
-    )
-    day = timekeys.day_of(timekeys.hour_key(timekeys.local_time(seconds, tz)))
-    return timed.withColumn("day", F.when(one_object, day).cast("int")).drop("_document", "_time")
+    local, day = _event_day(tz)
+    usable_local = F.when(_placeable(), local).alias("_local")
+    return _timed(frame).select(*frame.columns, usable_local).select(*frame.columns, day)
 
 
-def rejects(frame, tz=timekeys.DEFAULT_TZ):
+def rejects(frame):
     """Messages the archive cannot place."""
-    return with_event_day(frame, tz).filter(F.col("day").isNull()).drop("day").withColumn(
-        "reject", F.lit("no_event_day"))
+    return _timed(frame).filter(~_placeable()).select(
+        *frame.columns, F.lit("no_event_day").alias("reject"))
 
 
 def _lines(frame, tz):
-    """Archivable lines; line breaks between JSON tokens become blanks."""
-    dated = with_event_day(frame, tz).filter(F.col("day").isNotNull())
-    return dated.select(F.translate("value", "\r\n", "  ").alias("value"), "topic", "day")
+    """Archivable lines; line breaks between JSON tokens become blanks.
+
+    The filter looks at the parsed text alone, so that the day is not worked
+    out twice.
+    """
+    local, day = _event_day(tz)
+    placed = _timed(frame).filter(_placeable()).select(
+        "value", F.coalesce("topic", "key").alias("topic"), local)
+    return placed.select(F.translate("value", "\r\n", "  ").alias("value"), "topic", day)
 
 
 def write(frame, path, tz=timekeys.DEFAULT_TZ, gather=False):

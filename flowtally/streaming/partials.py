@@ -45,13 +45,14 @@ def account_batch(batch, batch_id, feed, path, run, rejects_path=None, tz=timeke
     """Account one micro-batch: sums to ``path``, unusable messages to ``rejects_path``.
 
     With a reject table two writes need the decoded messages. They are kept
-    for both, without the text of messages that turned out well-formed media
-    logs, and spill to disk when memory is short.
+    for both, with the text of rejected messages only, and spill to disk when
+    memory is short.
     """
     operators = OPERATORS[feed]
     decoded = operators.read(batch)
     if rejects_path is not None:
-        decoded = decoded.persist(StorageLevel.MEMORY_AND_DISK)
+        text = F.when(operators.reject_reason().isNotNull(), F.col("value"))
+        decoded = decoded.withColumn("value", text).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         rows = operators.derive(operators.accept(decoded), tz)
         write_partials(base(rows, feed), path, run, batch_id)

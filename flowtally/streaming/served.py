@@ -21,7 +21,10 @@ def refresh(spark, feed, partials_path, rollups_path, days=None):
         if isinstance(days, (list, tuple)):
             partials = partials.filter(F.col("day").isin(*days))
         else:
-            partials = partials.join(days.select("day").distinct(), "day", "left_semi")
+            # A few hundred thousand days at most can be told apart, so this side is bounded.
+            # Its comparison makes Spark prune the day folders at run time.
+            touched = days.filter(F.col("day") >= 0).select("day").distinct()
+            partials = partials.join(F.broadcast(touched), "day", "left_semi")
     levels = all_levels(partials.drop(*PARTITIONS), feed)
     (
         levels.hint("rebalance", "level", "day").write.mode("overwrite")

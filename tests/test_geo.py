@@ -2,8 +2,9 @@ import bisect
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
-from flowtally.functions.addresses import ip_number
+from flowtally.functions.addresses import octets, octets_number
 from flowtally.operators import geo
 
 
@@ -53,10 +54,11 @@ def test_oversized_range_table_takes_the_other_way(spark, dense, monkeypatch):
 
 def test_address_text(spark):
     texts = ["0.0.0.0", "255.255.255.255", "10.0.0.1", "256.1.1.1", "1.2.3", "1.2.3.4.5", "a.b.c.d",
-             "", None, "1.2.3.-4", " 1.2.3.4"]
+             "", None, "1.2.3.-4", " 1.2.3.4", "1.2.3.4\n"]
     rows = spark.createDataFrame([(t,) for t in texts], "t string")
-    got = [r[0] for r in rows.select(ip_number(rows["t"])).collect()]
-    assert got == [0, 2**32 - 1, 167772161] + [None] * 8
+    numbers = rows.withColumn("parts", octets(rows["t"])).withColumn(
+        "n", octets_number(F.col("parts")))
+    assert [r["n"] for r in numbers.collect()] == [0, 2**32 - 1, 167772161] + [None] * 9
 
 
 def test_text_probes_and_empty_ranges(spark):

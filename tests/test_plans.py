@@ -1,3 +1,5 @@
+import json
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -73,7 +75,8 @@ def test_unparsed_urls_count_on_the_playlist_side(frame):
 
 
 def test_rollup_is_one_shuffle_of_pruned_columns(counters, spark):
-    requests = hls.requests(feeds.mixed_messages(feeds.events(spark, DATA)))
+    events = spark.read.parquet(f"{DATA}/events.parquet")
+    requests = hls.requests(feeds.mixed_messages(events))
     plan = rollups.rollup(requests, "hls_down_a")._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange") == 1
     assert "partial_sum" in plan
@@ -115,13 +118,16 @@ def test_lag(spark):
     assert got == {0: (10, True, 90, True), 1: (40, False, 0, False), 2: (7, False, 2, True)}
 
 
-def test_reached_day(spark):
+@pytest.mark.parametrize("limit", [100_000, 0])
+def test_reached_day(spark, monkeypatch, limit):
+    monkeypatch.setattr(progress, "BROADCAST_PARTITIONS", limit)
+    rows = [(p, o, "nodeHls", "nodeHls", json.dumps({"unix_time": str(1704067200 + 86400 * o)}))
+            for p, o in [(0, 1), (0, 2), (0, 4), (0, 9), (1, 9), (2, 0)]]
     messages = spark.createDataFrame(
-        [(0, 1, 20240101), (0, 2, 20240102), (0, 4, 20240104), (1, 9, 20240109)],
-        "partition int, offset bigint, day bigint")
-    offsets = spark.createDataFrame([(0, 3), (1, 10)], "partition int, offset bigint")
-    assert [tuple(r) for r in progress.reached_day(messages, offsets).collect()] == [
-        (0, 3, 4, 20240104)]
+        rows, "partition int, offset bigint, key string, topic string, value string")
+    offsets = spark.createDataFrame([(0, 3), (1, 10), (2, 0)], "partition int, offset bigint")
+    assert {tuple(r) for r in progress.reached_day(messages, offsets).collect()} == {
+        (0, 3, 4, 20240105), (2, 0, 0, 20240101)}
 
 
 def test_reduce_keys(counters):
