@@ -299,6 +299,8 @@ from events, (values ('nodeHls'),('RtmpFluence')) t(topic) group by 1, 2
     "stream_hls_partials": _HLS_BASE,
     "stream_rtmp_partials": _RTMP_BASE,
     "served_after_stream": _served()["hls_down_app_stream_hour"],
+    "handoff_hls": _served()["hls_down_a"],
+    "handoff_rtmp": _served()["rtmp_down"],
     "fold_hls": _HLS_BASE,
     "fold_rtmp": _RTMP_BASE,
     "partition_lag": f"""

@@ -8,7 +8,7 @@ from flowtally.operators import decode, geo, hls, progress, rtmp
 from flowtally.plans import base, cascade, rollups, upkeep
 from flowtally.schemas import HLS_DIMS, HLS_METRICS, HLS_TOPIC, RTMP_DIMS, RTMP_METRICS, RTMP_TOPIC
 from flowtally.session import work_dir
-from flowtally.sources import archive, mq
+from flowtally.sources import archive, handoff, mq
 from flowtally.streaming import partials, served
 
 # A local day that lies inside the data at every scale.
@@ -98,6 +98,20 @@ def stream_rtmp_partials(spark, sf_dir):
     return _stream_partials(spark, sf_dir, "rtmp")
 
 
+def _handoff(counters, feed, name):
+    """A served table from partial sums that went through JSON records."""
+    good, _ = handoff.read(handoff.encode(base.base(counters, feed), feed), feed)
+    return rollups.rollup(good, name)
+
+
+def handoff_hls(spark, sf_dir):
+    return _handoff(_requests(spark, sf_dir), "hls", "hls_down_a")
+
+
+def handoff_rtmp(spark, sf_dir):
+    return _handoff(_sessions(spark, sf_dir), "rtmp", "rtmp_down")
+
+
 def _batched(spark, sf_dir, feed):
     """Partial sums as many micro-batches of one thousand messages would leave them."""
     operators = {"hls": hls, "rtmp": rtmp}[feed]
@@ -262,6 +276,8 @@ QUERIES = {
     "stream_hls_partials": stream_hls_partials,
     "stream_rtmp_partials": stream_rtmp_partials,
     "served_after_stream": served_after_stream,
+    "handoff_hls": handoff_hls,
+    "handoff_rtmp": handoff_rtmp,
     "fold_hls": fold_hls,
     "fold_rtmp": fold_rtmp,
     "partition_lag": partition_lag,

@@ -12,9 +12,10 @@ from pyspark.sql import functions as F
 from flowtally.functions import timekeys
 from flowtally.operators import hls, rtmp
 from flowtally.plans.base import COUNTERS, KEYS, base
-from flowtally.schemas import partials_schema
+from flowtally.schemas import HLS_TOPIC, RTMP_TOPIC, partials_schema
 
 OPERATORS = {"hls": hls, "rtmp": rtmp}
+TOPICS = {"hls": HLS_TOPIC, "rtmp": RTMP_TOPIC}
 PARTITIONS = ["day", "run", "batch_id"]
 
 
@@ -81,6 +82,20 @@ def start_partials(frame, feed, path, checkpoint, run, rejects_path=None,
     )
 
 
+def start_feeds(open_frame, root, run, tz=timekeys.DEFAULT_TZ, **trigger):
+    """Start the accounting of both feeds, one query each: feed -> query.
+
+    ``open_frame(topic)`` gives the streaming common frame of one topic, so
+    that no query reads messages of the other.
+    """
+    return {
+        feed: start_partials(
+            open_frame(topic), feed, f"{root}/partials/{feed}", f"{root}/checkpoints/{run}/{feed}",
+            run, f"{root}/rejects/{feed}", tz, **trigger)
+        for feed, topic in TOPICS.items()
+    }
+
+
 def read_partials(spark, path, feed):
     """The partial-sum table of a feed; filters on ``day`` prune its folders."""
     return spark.read.schema(partials_schema(KEYS[feed], COUNTERS[feed])).parquet(path)

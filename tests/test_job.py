@@ -1,0 +1,55 @@
+import pytest
+
+from flowtally.schemas import HLS_TOPIC, RTMP_TOPIC
+from flowtally.sources import archive, kafka
+from flowtally.streaming import job, partials, served
+from samples import PLAYLIST, SEGMENT, SESSION
+
+
+def test_arguments():
+    args = job.arguments(["account", "--root", "r", "--run", "a", "--brokers", "b:1", "--rate", "10"])
+    assert (args.command, args.seconds, args.rate, args.tz) == ("account", 300, 10, "Asia/Shanghai")
+    with pytest.raises(SystemExit):
+        job.arguments(["replay", "--root", "r"])
+
+
+def test_both_feeds_from_one_source(spark, folder, tmp_path):
+    import json
+    lines = [json.dumps({"key": t, "topic": t, "value": json.dumps(r)})
+             for t, r in [(HLS_TOPIC, SEGMENT), (RTMP_TOPIC, SESSION), (HLS_TOPIC, PLAYLIST)]]
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "1.json").write_text("\n".join(lines))
+    schema = "key string, value string, topic string, partition int, offset bigint, timestamp timestamp"
+    queries = partials.start_feeds(
+        lambda topic: spark.readStream.schema(schema).json(str(tmp_path / "in")), folder("root"),
+        "first", availableNow=True)
+    for query in queries.values():
+        query.awaitTermination()
+    counted = {feed: partials.read_partials(spark, f"{folder('root')}/partials/{feed}", feed).count()
+               for feed in queries}
+    assert counted == {"hls": 2, "rtmp": 1}
+
+
+def test_replay_purge_refresh(spark, frame, folder):
+    root = folder("root")
+    archive.write(frame(HLS_TOPIC, [SEGMENT, PLAYLIST]), f"{root}/archive")
+    day = ["--feed", "hls", "--day", "20161031", "--root", root]
+    job.main(["replay", "--run", "one", *day], spark)
+    assert served.table(spark, f"{root}/rollups/hls", "hls_day_data").first()["count"] == 2
+    job.main(["purge", *day], spark)
+    assert served.table(spark, f"{root}/rollups/hls", "hls_day_data").count() == 0
+    job.main(["replay", "--run", "two", *day], spark)
+    job.main(["refresh", "--feed", "hls", "--root", root], spark)
+    assert served.table(spark, f"{root}/rollups/hls", "hls_day_data").first()["count"] == 2
+
+
+def test_account_reads_each_topic_from_kafka(spark, folder, monkeypatch):
+    opened = []
+    monkeypatch.setattr(kafka, "read_stream",
+                        lambda spark, brokers, **options: opened.append((brokers, options)))
+    monkeypatch.setattr(partials, "start_partials", lambda *args, **kwargs: args[1])
+    monkeypatch.setattr(type(spark.streams), "awaitAnyTermination", lambda self: None)
+    job.main(["account", "--root", folder("r"), "--run", "a", "--brokers", "b:1", "--rate", "10",
+              "--partitions", "3"], spark)
+    assert opened == [("b:1", {"topics": (t,), "max_offsets": 9000})
+                      for t in (HLS_TOPIC, RTMP_TOPIC)]
