@@ -12,8 +12,9 @@ from flowtally.functions.addresses import octets, octets_number
 NOT_FOUND = "N/A"
 
 # Bounds for sending the range table to every executor: rows of the cut table,
-# and rows an address may have to be compared with.
+# bytes of their locations, and rows an address may have to be compared with.
 BROADCAST_ROWS = 1_000_000
+BROADCAST_BYTES = 64 * 2**20
 BROADCAST_CANDIDATES = 1_024
 
 # Half of an address. Ends fall into at most 65,536 such blocks, which bounds
@@ -56,10 +57,11 @@ def cut_ranges(ranges, prefix_bits):
 
 def _fits_broadcast(cut):
     """One look at the range table, never at the addresses."""
-    sizes = cut.groupBy("prefix").count().agg(
-        F.sum("count").alias("total"), F.max("count").alias("candidates")).first()
-    return (sizes["total"] or 0) <= BROADCAST_ROWS and (
-        sizes["candidates"] or 0) <= BROADCAST_CANDIDATES
+    sizes = cut.groupBy("prefix").agg(
+        F.count("*").alias("candidates"), F.sum(F.octet_length("location")).alias("bytes")
+    ).agg(F.sum("candidates"), F.sum("bytes"), F.max("candidates")).first()
+    bounds = (BROADCAST_ROWS, BROADCAST_BYTES, BROADCAST_CANDIDATES)
+    return all((size or 0) <= bound for size, bound in zip(sizes, bounds))
 
 
 def _broadcast_lookup(addressed, cut, prefix_bits):
@@ -100,7 +102,7 @@ def _shuffled_lookup(addressed, ranges):
     first_block = F.greatest("below", F.lit(0))
     next_head = spans.filter(F.col("start") > first_block).select(
         F.explode(F.sequence(first_block, F.col("start") - 1)).alias("block"), "head")
-    located = near.join(F.broadcast(next_head), "block", "left").select(
+    located = near.join(next_head, "block", "left").select(
         F.col("at").alias("_ip"), F.coalesce("found", "head")["location"].alias("location"))
     return addressed.join(located, "_ip", "left")
 
@@ -110,19 +112,24 @@ def lookup(probes, ranges, ip_column="ip", prefix_bits=16, strategy="auto"):
 
     ``ip_column`` holds dotted quads or numbers; anything else is ``N/A``.
     ``prefix_bits`` is the index granularity: 8 (first octet) or 16 (first
-    two). The result does not depend on it, nor on ``strategy``: ``auto``
-    broadcasts the range table only after checking its size.
+    two). The result does not depend on it, nor on ``strategy``. ``auto``
+    broadcasts the range table if its size allows, at 16 bits where the wanted
+    index is too dense; ``shuffle`` never broadcasts.
     """
-    if strategy not in ("auto", "broadcast", "shuffle"):
-        raise ValueError("strategy is 'auto', 'broadcast' or 'shuffle'")
+    if strategy not in ("auto", "shuffle"):
+        raise ValueError("strategy is 'auto' or 'shuffle'")
     if dict(probes.dtypes)[ip_column] == "string":
         parts = probes.withColumn("_octets", octets(F.col(ip_column)))
         addressed = parts.withColumn("_ip", octets_number(F.col("_octets"))).drop("_octets")
     else:
         addressed = probes.withColumn("_ip", F.col(ip_column).cast("bigint"))
-    cut = cut_ranges(ranges, prefix_bits)
-    small = _fits_broadcast(cut) if strategy == "auto" else strategy == "broadcast"
-    joined = _broadcast_lookup(addressed, cut, prefix_bits) if small else _shuffled_lookup(
-        addressed, ranges)
+    joined = None
+    for bits in sorted({prefix_bits, 16}) if strategy == "auto" else []:
+        cut = cut_ranges(ranges, bits)
+        if _fits_broadcast(cut):
+            joined = _broadcast_lookup(addressed, cut, bits)
+            break
+    if joined is None:
+        joined = _shuffled_lookup(addressed, ranges)
     return joined.select(
         *probes.columns, F.coalesce("location", F.lit(NOT_FOUND)).alias("location"))
