@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 
 from flowtally.schemas import HLS_TOPIC, RTMP_TOPIC
 
-_EPOCH = "timestampdiff(SECOND, timestamp_ntz'1970-01-01 00:00:00', ts) as epoch"
+# Epoch seconds of a zone-less time, taken as UTC whatever the session's zone.
+_EPOCH = """unix_date(cast(ts as date)) * 86400L + hour(ts) * 3600 + minute(ts) * 60 + second(ts)
+ as epoch"""
 
 
 def events(spark, sf_dir):
@@ -72,7 +74,7 @@ def rtmp_messages(rows):
     """Events -> session-report messages."""
     fields = rows.selectExpr(
         "event_id",
-        _EPOCH.replace("epoch", "EndTime"),
+        _EPOCH.replace("as epoch", "as EndTime"),
         "case event_id%4 when 0 then 'forward' when 1 then 'publish' else 'play' end as Cmd",
         "concat('app',user_id%7) as App",
         "concat('s',event_id%11) as Stream",

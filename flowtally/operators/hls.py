@@ -69,7 +69,7 @@ def derive(accepted, tz=timekeys.DEFAULT_TZ, slice_compare="numeric"):
         "http_stat": status,
         "valid": (status < 400) & (status != 202),
         "millis": numbers.seconds_to_millis(F.coalesce("request_time", F.lit("0"))),
-        "local": timekeys.local_time(
+        "local": timekeys.local_seconds(
             numbers.epoch_seconds(F.coalesce("unix_time", F.lit("0"))), tz),
         "user": users.hls_user(F.col("user")),
         "server_addr": F.coalesce("server_addr", F.lit("error_server_addr")),

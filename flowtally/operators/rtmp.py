@@ -70,7 +70,7 @@ def derive(accepted, tz=timekeys.DEFAULT_TZ):
     def fraction(column):
         return column.cast(FRACTION_TYPE)
 
-    return accepted.withColumn("local", timekeys.local_time(
+    return accepted.withColumn("local", timekeys.local_seconds(
         numbers.epoch_seconds(F.coalesce("EndTime", F.lit("0"))), tz)
     ).withColumns({
         "cmd": F.col("Cmd"),

@@ -39,7 +39,7 @@ def _placeable():
 def _event_day(tz):
     seconds = F.coalesce(numbers.epoch_seconds(F.col("_time")), F.unix_timestamp())
     day = timekeys.day_of(timekeys.hour_key(F.col("_local"))).cast("int")
-    return timekeys.local_time(seconds, tz).alias("_local"), day.alias("day")
+    return timekeys.local_seconds(seconds, tz).alias("_local"), day.alias("day")
 
 
 def with_event_day(frame, tz=timekeys.DEFAULT_TZ):

@@ -1,4 +1,5 @@
 import json
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -136,3 +137,20 @@ def test_reduce_keys(counters):
     assert set(coarse.columns) == {
         "timestamp", "app", "stream", "flux", "valid_counts", "total_counts"}
     assert coarse.agg(F.sum("flux")).first()[0] == detail.agg(F.sum("flux")).first()[0]
+
+
+def test_generated_code_can_be_compiled_just_in_time(spark):
+    events = spark.read.parquet(f"{DATA}/events.parquet")
+    frame = feeds.mixed_messages(events)
+    requests, sessions = hls.requests(frame), rtmp.sessions(frame)
+    mode = spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("codegen")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        for df in (base.base(requests, "hls"), base.base(sessions, "rtmp"),
+                   rollups.rollup(requests, "hls_down_a"), rollups.all_levels(requests, "hls"),
+                   rollups.all_levels(sessions, "rtmp")):
+            text = df._jdf.queryExecution().explainString(mode)
+            sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:\s*(\d+)", text)]
+            assert sizes and max(sizes) < 8000
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
