@@ -112,20 +112,14 @@ def handoff_rtmp(spark, sf_dir):
     return _handoff(_sessions(spark, sf_dir), "rtmp", "rtmp_down")
 
 
-def _batched(spark, sf_dir, feed):
-    """Partial sums as many micro-batches of one thousand messages would leave them."""
+def _fold(spark, sf_dir, feed):
+    """Sums of the first queue partition, increased by those of the others."""
     operators = {"hls": hls, "rtmp": rtmp}[feed]
     rows = operators.derive(operators.accept(operators.read(_mixed(spark, sf_dir))))
-    batch = F.call_function("div", "offset", F.lit(1000)).alias("batch_id")
-    return base.base(rows, feed, batch)
-
-
-def _fold(spark, sf_dir, feed):
-    """Every second batch added to the total of the others; together the whole table."""
-    sums = _batched(spark, sf_dir, feed)
-    even = sums.filter("batch_id % 2 = 0").drop("batch_id")
-    odd = sums.filter("batch_id % 2 = 1").drop("batch_id")
-    return base.shown(base.increment_or_insert(base.fold(even, feed), odd, base.KEYS[feed]))
+    sums = base.base(rows, feed, "partition")
+    first = sums.filter("partition = 0").drop("partition")
+    others = sums.filter("partition > 0").drop("partition")
+    return base.shown(base.increment_or_insert(first, others, base.KEYS[feed]))
 
 
 def fold_hls(spark, sf_dir):

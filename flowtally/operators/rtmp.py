@@ -4,12 +4,11 @@ from pyspark.sql import functions as F
 
 from flowtally.functions import numbers, timekeys, users
 from flowtally.operators.decode import MALFORMED, decode, quarantine, route
-from flowtally.schemas import FRACTION_TYPE, RTMP_DIMS, RTMP_METRICS, RTMP_RECORD, RTMP_TOPIC
+from flowtally.schemas import RTMP_DIMS, RTMP_METRICS, RTMP_RECORD, RTMP_TOPIC
 
 # Fixed value: shortest publishing time, in milliseconds, of a valid session.
 VALID_PUBLISH_MS = 30000
 
-_FLUENCY_LIMIT = 10**6
 _FLUENCY = ["PlayFluency", "PlayFluencyIn60s", "Max60sFluency", "Min60sFluency"]
 _WHOLE = [
     "PublishTime", "PlayTime", "EmptyNumbers", "EmptyTime", "MaxEmptyTime", "FirstBufferTime",
@@ -31,12 +30,10 @@ def _flux():
 def _fit():
     """Only ``EndTime``, ``User`` and the byte sum of the other direction may be missing."""
     fit = ~F.col("malformed") & numbers.is_epoch(F.coalesce("EndTime", F.lit("0")))
-    for name in _NAMES:
+    for name in [*_NAMES, *_FLUENCY]:
         fit = fit & F.col(name).isNotNull()
     for name in _WHOLE:
         fit = fit & numbers.in_range(F.col(name))
-    for name in _FLUENCY:
-        fit = fit & numbers.in_range(F.col(name), _FLUENCY_LIMIT)
     return F.coalesce(fit & numbers.in_range(_flux()), F.lit(False))
 
 
@@ -67,9 +64,8 @@ def derive(accepted, tz=timekeys.DEFAULT_TZ):
     Fluency, longest gap and the 60-second extremes are counters like all
     others: totals are sums of them.
     """
-    def fraction(column):
-        return column.cast(FRACTION_TYPE)
-
+    # Accepted play times have at most 13 digits, so this product is exact.
+    fluency_time = F.col("PlayTime").cast("decimal(13,0)") * F.col("PlayFluency")
     return accepted.withColumn("local", timekeys.local_seconds(
         numbers.epoch_seconds(F.coalesce("EndTime", F.lit("0"))), tz)
     ).withColumns({
@@ -81,10 +77,10 @@ def derive(accepted, tz=timekeys.DEFAULT_TZ):
         "svr_ip": F.col("SvrIp"),
         "valid_counts": (F.col("PublishTime") >= VALID_PUBLISH_MS).cast("bigint"),
         "total_counts": F.lit(1).cast("bigint"),
-        "play_fluency": fraction(F.col("PlayFluency")),
-        "play_fluency_in60s": fraction(F.col("PlayFluencyIn60s")),
+        "play_fluency": F.col("PlayFluency"),
+        "play_fluency_in60s": F.col("PlayFluencyIn60s"),
         "publish_time": F.col("PublishTime"),
-        "play_fluency_time": fraction(F.col("PlayTime") * F.col("PlayFluency")),
+        "play_fluency_time": fluency_time,
         "empty_numbers": F.col("EmptyNumbers"),
         "empty_time": F.col("EmptyTime"),
         "max_empty_time": F.col("MaxEmptyTime"),
@@ -92,8 +88,8 @@ def derive(accepted, tz=timekeys.DEFAULT_TZ):
         "empty_numbers_in60s": F.col("EmptyNumbersIn60s"),
         "empty_time_in60s": F.col("EmptyTimeIn60s"),
         "play_fluency_zero_counts": (F.col("PlayFluency") == 0).cast("bigint"),
-        "max60s_fluency": fraction(F.col("Max60sFluency")),
-        "min60s_fluency": fraction(F.col("Min60sFluency")),
+        "max60s_fluency": F.col("Max60sFluency"),
+        "min60s_fluency": F.col("Min60sFluency"),
         "flux": _flux(),
     })
 

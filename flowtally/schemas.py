@@ -13,6 +13,12 @@ FRAME = (
     "key string, value string, topic string, partition int, offset bigint, timestamp timestamp"
 )
 
+# Fractional fields and counters are decimals, so that a total does not depend
+# on the order in which partial sums meet. Twelve places keep what a double
+# tells about a percentage. Readers see doubles.
+FRACTION_TYPE = "decimal(18,12)"
+FRACTION_SUM_TYPE = "decimal(38,12)"
+
 # Only the fields the accounting needs: the JSON reader skips all others.
 # Fields the feeds send both as text and as number are read as text.
 HLS_RECORD = {
@@ -23,10 +29,10 @@ HLS_RECORD = {
 RTMP_RECORD = {
     "Cmd": "string", "EndTime": "string", "App": "string", "Stream": "string", "User": "string",
     "SvrIp": "string", "SendByteSum": "bigint", "RecvByteSum": "bigint", "PublishTime": "bigint",
-    "PlayTime": "bigint", "PlayFluency": "double", "PlayFluencyIn60s": "double",
+    "PlayTime": "bigint", "PlayFluency": FRACTION_TYPE, "PlayFluencyIn60s": FRACTION_TYPE,
     "EmptyNumbers": "bigint", "EmptyTime": "bigint", "MaxEmptyTime": "bigint",
     "FirstBufferTime": "bigint", "EmptyNumbersIn60s": "bigint", "EmptyTimeIn60s": "bigint",
-    "Max60sFluency": "double", "Min60sFluency": "double",
+    "Max60sFluency": FRACTION_TYPE, "Min60sFluency": FRACTION_TYPE,
 }
 
 MQ_PAGE = "nextOffset bigint, list array<struct<body: string, offset: bigint>>"
@@ -47,13 +53,9 @@ RTMP_METRICS = [
     "min60s_fluency", "flux",
 ]
 
-# Fractional counters. They are summed as decimals, so that a total does not
-# depend on the order in which partial sums meet, and shown as doubles.
 FRACTIONAL = {
     "play_fluency", "play_fluency_in60s", "play_fluency_time", "max60s_fluency", "min60s_fluency",
 }
-FRACTION_TYPE = "decimal(28,8)"
-FRACTION_SUM_TYPE = "decimal(38,8)"
 
 # Partial-sum tables as they lie on disk, partition columns last.
 _TYPES = {

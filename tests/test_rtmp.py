@@ -1,5 +1,3 @@
-import pytest
-
 from flowtally.operators import rtmp
 from flowtally.plans.base import base, shown
 from flowtally.schemas import RTMP_DIMS, RTMP_METRICS, RTMP_TOPIC
@@ -19,19 +17,25 @@ def test_golden_row(frame):
     }
 
 
-@pytest.mark.parametrize("changes, expected", [
-    ({"Cmd": "publish", "RecvByteSum": 5}, {"flux": 5}),
-    ({"Cmd": "forward", "RecvByteSum": 6}, {"flux": 6}),
-    ({"PublishTime": 29999}, {"valid_counts": 0}),
-    ({"PublishTime": 30000}, {"valid_counts": 1}),
-    ({"PlayFluency": 0}, {"play_fluency_zero_counts": 1, "play_fluency_time": 0.0}),
-    ({"User": "42"}, {"user": "42"}),
-    ({"User": 42}, {"user": "42"}),
-    ({"EndTime": "1477450951"}, {"timestamp_hour": 2016102611}),
-])
-def test_derivations(frame, changes, expected):
-    row = shown(rtmp.sessions(frame(RTMP_TOPIC, [{**SESSION, **changes}]))).collect()[0]
-    assert {k: row[k] for k in expected} == expected
+def test_derivations(frame):
+    cases = [
+        ({"Cmd": "publish", "RecvByteSum": 5}, {"flux": 5}),
+        ({"Cmd": "forward", "RecvByteSum": 6}, {"flux": 6}),
+        ({"PublishTime": 29999}, {"valid_counts": 0}),
+        ({"PublishTime": 30000}, {"valid_counts": 1}),
+        ({"PlayFluency": 0}, {"play_fluency_zero_counts": 1, "play_fluency_time": 0.0}),
+        ({"User": "42"}, {"user": "42"}),
+        ({"User": 42}, {"user": "42"}),
+        ({"EndTime": "1477450951"}, {"timestamp_hour": 2016102611}),
+        ({"PlayFluency": 200 / 3, "PlayTime": 3}, {"play_fluency": 66.666666666667,
+                                                   "play_fluency_time": 200.000000000001}),
+        ({"PlayFluency": 1e-05}, {"play_fluency": 0.00001}),
+    ]
+    records = [{**SESSION, **changes} for changes, _ in cases]
+    derived = shown(rtmp.derive(rtmp.accept(rtmp.read(frame(RTMP_TOPIC, records)))))
+    rows = {r["offset"]: r for r in derived.collect()}
+    for i, (changes, expected) in enumerate(cases):
+        assert {k: rows[i][k] for k in expected} == expected, changes
 
 
 def test_missing_end_time_and_unused_byte_sum(frame):
@@ -46,12 +50,13 @@ def test_rejects(frame):
     records = [
         SESSION, without("Cmd"), without("SendByteSum"), without("Min60sFluency"),
         {**SESSION, "EndTime": "soon"}, {**SESSION, "PlayFluency": 1e9}, "{", {},
-        {**SESSION, "PublishTime": "1"},
+        {**SESSION, "PublishTime": "1"}, {**SESSION, "EmptyTime": 10**15},
     ]
     decoded = rtmp.read(frame(RTMP_TOPIC, records))
     assert {r["offset"]: r["reject"] for r in rtmp.rejects(decoded).collect()} == {
         1: "missing_field", 2: "missing_field", 3: "missing_field", 4: "bad_end_time",
-        5: "bad_metric", 6: "malformed_json", 7: "missing_field", 8: "malformed_json",
+        5: "malformed_json", 6: "malformed_json", 7: "missing_field", 8: "malformed_json",
+        9: "bad_metric",
     }
     assert [r["offset"] for r in rtmp.accept(decoded).collect()] == [0]
 
