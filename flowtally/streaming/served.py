@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from flowtally.plans.base import COUNTERS, KEYS
-from flowtally.plans.rollups import CATALOGUE, all_levels, level_of, levels_of, serve
+from flowtally.plans.rollups import CATALOGUE, all_levels, levels_of, serve
 from flowtally.schemas import partials_schema
 from flowtally.streaming.partials import PARTITIONS, read_partials
 
@@ -14,7 +14,8 @@ def refresh(spark, feed, partials_path, rollups_path, days=None):
     Totals are taken from all partial sums of a day, never added to a stored
     total, so a refresh can be repeated. ``days`` is a list of day keys, a
     DataFrame with a column ``day``, or None for all days. A DataFrame is
-    joined, so that touched days never pass through the driver.
+    joined, so that touched days never pass through the driver. A day whose
+    partial sums are gone keeps its rollups until :func:`purge_rollups`.
     """
     partials = read_partials(spark, partials_path, feed)
     if days is not None:
@@ -40,9 +41,12 @@ def touched_days(spark, partials_path, feed, run, batch_ids):
     return partials.filter(hit).select("day").distinct()
 
 
-def table(spark, rollups_path, name):
-    """One served table; only the folders of its level are read."""
-    return serve(_stored(spark, rollups_path, CATALOGUE[name].feed), name)
+def table(spark, rollups_path, name, days=None):
+    """One served table; only the folders of its level, and of ``days`` if given, are read."""
+    stored = _stored(spark, rollups_path, CATALOGUE[name].feed)
+    if days is not None:
+        stored = stored.filter(F.col("day").isin(*days))
+    return serve(stored, name)
 
 
 def _levels_schema(spark, feed):
@@ -58,8 +62,11 @@ def _stored(spark, rollups_path, feed):
 def purge_partials(spark, feed, partials_path, day):
     """Remove the partial sums of one day. Stop writers of that day first."""
     empty = spark.createDataFrame([], partials_schema(KEYS[feed], COUNTERS[feed])).drop("day")
-    empty.write.mode("overwrite").partitionBy("run", "batch_id").parquet(
-        f"{partials_path}/day={day}")
+    # Static, whatever the session's mode: the whole day folder has to go.
+    (
+        empty.write.mode("overwrite").option("partitionOverwriteMode", "static")
+        .partitionBy("run", "batch_id").parquet(f"{partials_path}/day={day}")
+    )
 
 
 def purge_rollups(spark, feed, rollups_path, day):
@@ -67,6 +74,3 @@ def purge_rollups(spark, feed, rollups_path, day):
     empty = spark.createDataFrame([], _levels_schema(spark, feed)).drop("level", "day")
     for level in levels_of(feed):
         empty.write.mode("overwrite").parquet(f"{rollups_path}/level={level}/day={day}")
-
-
-__all__ = ["refresh", "touched_days", "table", "purge_partials", "purge_rollups", "level_of"]

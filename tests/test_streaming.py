@@ -135,8 +135,14 @@ def test_purge_and_backfill_of_a_day(spark, frame, folder):
     served.refresh(spark, "hls", folder("p"), folder("s"))
     before = _rows(served.table(spark, folder("s"), "hls_down_app_stream_hour"))
 
-    served.purge_partials(spark, "hls", folder("p"), 20161031)
-    served.purge_rollups(spark, "hls", folder("s"), 20161031)
+    mode = "spark.sql.sources.partitionOverwriteMode"
+    spark.conf.set(mode, "dynamic")
+    try:
+        served.purge_partials(spark, "hls", folder("p"), 20161031)
+        served.purge_rollups(spark, "hls", folder("s"), 20161031)
+    finally:
+        spark.conf.unset(mode)
+    assert partials.read_partials(spark, folder("p"), "hls").filter("day = 20161031").count() == 0
     left = served.table(spark, folder("s"), "hls_down_app_stream_hour").collect()
     assert [r["timestamp"] // 100 for r in left] == [20140514]
 
@@ -161,6 +167,10 @@ def test_archive_stream_and_replay_stream(spark, inbox, folder):
 def test_stored_levels_are_pruned(spark, frame, folder):
     partials.account_batch(frame(HLS_TOPIC, HLS), 0, "hls", folder("p"), "first")
     served.refresh(spark, "hls", folder("p"), folder("s"))
-    table = served.table(spark, folder("s"), "hls_down_user").filter("timestamp = 20161031")
-    plan = table._jdf.queryExecution().executedPlan().toString()
-    assert "level" in plan.split("PartitionFilters")[1].split("]")[0]
+    daily = served.table(spark, folder("s"), "hls_down_user").filter("timestamp = 20161031")
+    hourly = served.table(spark, folder("s"), "hls_down_user_hour", days=[20161031])
+    for table in (daily, hourly):
+        plan = table._jdf.queryExecution().executedPlan().toString()
+        pruned = plan.split("PartitionFilters")[1].split("PushedFilters")[0]
+        assert "level#" in pruned and "day#" in pruned
+    assert hourly.count() == 1
