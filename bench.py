@@ -8,7 +8,7 @@ import json
 import os
 import time
 
-from checks.queries import QUERIES
+from flowtally_checks.queries import QUERIES
 from flowtally.operators import hls
 from flowtally.plans import base, rollups
 from flowtally.session import build_session
@@ -32,7 +32,7 @@ def run(query, spark, sf_dir):
 
 def hls_separate_rollups(spark, sf_dir):
     """All HLS tables one by one from kept base sums, to hold against hls_all_levels."""
-    from checks import feeds
+    from flowtally_checks import feeds
 
     messages = feeds.mixed_messages(feeds.events(spark, sf_dir))
     sums = base.base(hls.requests(messages), "hls").persist()

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from checks import feeds
+from flowtally_checks import feeds
 from flowtally.functions import timekeys
 from flowtally.operators import decode, geo, hls, progress, rtmp
 from flowtally.plans import base, cascade, rollups, upkeep

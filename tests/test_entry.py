@@ -3,7 +3,7 @@ import warnings
 import pytest
 
 import __spark_entry__ as entry_points
-from checks.compare import connect, differences
+from flowtally_checks.compare import connect, differences
 
 DATA = "/root/testdata/sf0.001"
 

@@ -4,7 +4,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from checks import feeds
+from flowtally_checks import feeds
 from flowtally.operators import hls, progress, rtmp
 from flowtally.plans import base, cascade, rollups, upkeep
 from flowtally.schemas import HLS_METRICS
@@ -154,3 +154,20 @@ def test_generated_code_can_be_compiled_just_in_time(spark):
             assert sizes and max(sizes) < 8000
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+def test_a_key_with_a_third_of_all_rows(spark):
+    ids = spark.range(0, 30_000, 1, 6)
+    app = F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("a"), F.col("id") % 500))
+    value = F.to_json(F.struct(
+        F.concat(F.lit("GET /"), app, F.lit("/s.m3u8 HTTP/1.1")).alias("request_url"),
+        F.col("id").alias("body_bytes_sent")))
+    frame = ids.select(
+        F.lit("nodeHls").alias("key"), value.alias("value"), F.lit("nodeHls").alias("topic"),
+        F.lit(0).alias("partition"), F.col("id").alias("offset"),
+        F.current_timestamp().alias("timestamp"))
+    table = rollups.rollup(hls.requests(frame), "hls_down_a")
+    rows = {r["app"]: (r["counts_m3"], r["flux"]) for r in table.collect()}
+    assert rows["hot"] == (10_000, sum(range(0, 30_000, 3)))
+    assert sum(n for n, _ in rows.values()) == 30_000
+    assert sum(flux for _, flux in rows.values()) == sum(range(30_000))
