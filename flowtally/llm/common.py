@@ -1,6 +1,9 @@
 """Small helpers the operators of this package share."""
 
+import os
+import shutil
 import string
+import tempfile
 
 from pyspark.sql import functions as F
 
@@ -9,7 +12,18 @@ from flowtally.session import work_dir
 UPPER, LOWER = string.ascii_uppercase, string.ascii_lowercase
 
 
+def ship(spark):
+    """Send this package to the Python workers, once per context, so that they can import it anywhere."""
+    context = spark.sparkContext
+    if not getattr(context, "_flowtally_shipped", False):
+        root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+        archive = os.path.join(tempfile.mkdtemp(prefix="flowtally-code-"), "flowtally_code")
+        context.addPyFile(shutil.make_archive(archive, "zip", root, "flowtally"))
+        context._flowtally_shipped = True
+
+
 def table(spark, sf_dir, name):
+    ship(spark)
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 

@@ -1,5 +1,6 @@
 """Token ids of a word-level BPE vocabulary, worked out once per distinct word."""
 
+import functools
 import json
 
 import numpy as np
@@ -23,16 +24,23 @@ def byte_letters():
     return [letters[b] for b in range(256)]
 
 
+@functools.lru_cache(maxsize=2)
+def encoder(path):
+    """The encoder of this worker process; tasks that follow one another share its caches."""
+    return WordEncoder(path)
+
+
 class WordEncoder:
     """Ids of ``Tokenizer.encode(text, add_special_tokens=False)`` as little-endian int32 bytes.
 
     Such a vocabulary never joins across blanks, so each distinct word is
     encoded once and kept. Plain Latin words go straight to the BPE model;
     every other word (other scripts, special tokens, unusual blanks) takes the
-    tokenizer's full path. The cache is emptied when it reaches its bound.
+    tokenizer's full path. Words and their pieces are kept in caches that are
+    emptied when they reach their bounds.
     """
 
-    def __init__(self, path, cache=400_000):
+    def __init__(self, path, words=600_000, pieces=600_000):
         from tokenizers import Tokenizer
 
         self.full = Tokenizer.from_file(path)
@@ -43,20 +51,31 @@ class WordEncoder:
         self.model = self.full.model
         self.letters = byte_letters()
         self.special = [t["content"] for t in spec["added_tokens"]]
-        self.cache, self.bound = {}, cache
+        self.words, self.word_bound = {}, words
+        self.known, self.piece_bound = {}, pieces
+
+    def _piece(self, piece):
+        ids = self.known.get(piece)
+        if ids is None:
+            if len(self.known) > self.piece_bound:
+                self.known.clear()
+            letters = self.letters
+            spelt = "".join([letters[b] for b in piece.encode()])
+            ids = np.array([t.id for t in self.model.tokenize(spelt)], dtype="<i4").tobytes()
+            self.known[piece] = ids
+        return ids
 
     def _word(self, word):
         if PLAIN.fullmatch(word) and not any(s in word for s in self.special):
-            letters = self.letters
-            ids = [t.id for piece in self.pieces(word.lower())
-                   for t in self.model.tokenize("".join([letters[b] for b in piece.encode()]))]
-        else:
-            ids = self.full.encode(word, add_special_tokens=False).ids
-        return np.asarray(ids, dtype="<i4").tobytes()
+            word = word.lower()
+            if word.isalpha():
+                return self._piece(word)
+            return b"".join([self._piece(piece) for piece in self.pieces(word)])
+        return np.array(self.full.encode(word, add_special_tokens=False).ids, dtype="<i4").tobytes()
 
     def __call__(self, text):
-        cache, out = self.cache, []
-        if len(cache) > self.bound:
+        cache, out = self.words, []
+        if len(cache) > self.word_bound:
             cache.clear()
         # A special token may hold blanks only if the vocabulary says so; none does here.
         for word in text.translate(CUT).split(" "):

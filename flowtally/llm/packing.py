@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import types as T
 
-from flowtally.llm.encoder import WordEncoder
+from flowtally.llm.encoder import encoder
 
 SCHEMA = T.StructType([
     T.StructField("doc_id", T.LongType()), T.StructField("start", T.LongType()),
@@ -94,7 +94,7 @@ def pack(docs, tokenizer, size=2048, end_id=1, linear=1.0, quadratic=1 / 2048,
         return pa.RecordBatch.from_arrays(columns, names=SCHEMA.names), sequences
 
     def run(batches):
-        encode = WordEncoder(tokenizer)
+        encode = encoder(tokenizer)
         first = TaskContext.get().partitionId() << 32
         ids, codes, tokens = [], [], 0
         for batch in batches:

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from flowtally.llm import packing, sharding
+from flowtally.llm import decontaminate, langid, linededup, packing, sharding, simhash, spotsigs
 from flowtally.llm.common import table
 
 TOKENIZER = "word_bpe_49k.json"
@@ -15,6 +15,11 @@ def tokenizer_path(name=TOKENIZER):
     return public_tokenizers.path(name)
 
 
+def op2_line_dedup(spark, sf_dir):
+    docs = linededup.dedup_lines(table(spark, sf_dir, "documents"))
+    return docs.select("doc_id", "n_lines", "removed_lines", "removed_chunks", "text")
+
+
 def op5_packing(spark, sf_dir):
     pieces = packing.pack(table(spark, sf_dir, "documents"), tokenizer_path(), with_ids=False)
     return pieces.drop("ids")
@@ -27,8 +32,38 @@ def op7_sharding(spark, sf_dir):
         F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op6_simhash(spark, sf_dir):
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
+def op8_language_id(spark, sf_dir):
+    return langid.predict_held_out(table(spark, sf_dir, "documents")).select(
+        "doc_id", "held_out", "lang_pred", "score", F.size("spans").cast("bigint").alias("n_spans"))
+
+
+def op9_spotsigs(spark, sf_dir):
+    frame = spotsigs.fingerprints(table(spark, sf_dir, "documents"))
+    return frame.select(
+        "doc_id", "n_chars", F.sha2(F.col("edited_text").cast("binary"), 256).alias("edited_sha256"),
+        spotsigs.digest("signatures").alias("fingerprint"),
+        spotsigs.digest("edited_signatures").alias("edited_fingerprint"),
+        spotsigs.likeness("signatures", "edited_signatures").alias("near_edited"),
+        spotsigs.likeness("signatures", "next_signatures").alias("near_next"))
+
+
+def op10_decontamination(spark, sf_dir):
+    return decontaminate.overlaps(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {
+    "op2_line_dedup": op2_line_dedup,
     "op5_packing": op5_packing,
+    "op6_simhash": op6_simhash,
     "op7_sharding": op7_sharding,
+    "op8_language_id": op8_language_id,
+    "op9_spotsigs": op9_spotsigs,
+    "op10_decontamination": op10_decontamination,
 }
 ORACLES = {}
