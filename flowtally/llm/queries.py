@@ -2,7 +2,8 @@
 
 from pyspark.sql import functions as F
 
-from flowtally.llm import decontaminate, langid, linededup, packing, sharding, simhash, spotsigs
+from flowtally.llm import (
+    decontaminate, kneser, langid, licenses, linededup, packing, pst, sharding, simhash, spotsigs)
 from flowtally.llm.common import table
 
 TOKENIZER = "word_bpe_49k.json"
@@ -15,11 +16,23 @@ def tokenizer_path(name=TOKENIZER):
     return public_tokenizers.path(name)
 
 
+def op1_suffix_tree(spark, sf_dir):
+    return pst.score_held_out(table(spark, sf_dir, "documents"))
+
+
 def op2_line_dedup(spark, sf_dir):
     docs = linededup.dedup_lines(table(spark, sf_dir, "documents"))
     return docs.select("doc_id", "n_lines", "removed_lines", "removed_chunks", "text")
 
 
+def op3_quality(spark, sf_dir):
+    return kneser.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op4_license_scan(spark, sf_dir):
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
 def op5_packing(spark, sf_dir):
     pieces = packing.pack(table(spark, sf_dir, "documents"), tokenizer_path(), with_ids=False)
     return pieces.drop("ids")
@@ -57,13 +70,25 @@ def op10_decontamination(spark, sf_dir):
     return decontaminate.overlaps(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def pipeline(spark, sf_dir):
+    """All stages of corpus_pipeline.py, which imports this module."""
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 QUERIES = {
+    "op1_suffix_tree": op1_suffix_tree,
     "op2_line_dedup": op2_line_dedup,
+    "op3_quality": op3_quality,
+    "op4_license_scan": op4_license_scan,
     "op5_packing": op5_packing,
     "op6_simhash": op6_simhash,
     "op7_sharding": op7_sharding,
     "op8_language_id": op8_language_id,
     "op9_spotsigs": op9_spotsigs,
     "op10_decontamination": op10_decontamination,
+    "pipeline": pipeline,
 }
-ORACLES = {}
+# The other operators use 64-bit hashes, trained models or token ids, which SQL lacks.
+ORACLES = {"op4_license_scan": licenses.oracle()}

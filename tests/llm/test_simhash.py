@@ -1,0 +1,75 @@
+import random
+
+import xxhash
+
+from flowtally.llm import simhash
+
+SCHEMA = "doc_id long, text string, fp string, component_id string"
+
+
+def brute_print(text):
+    words = (text or "").encode("utf-8", "replace").lower().split()
+    grams = [b" ".join(words[i:i + 3]) for i in range(len(words) - 2)] or ([b" ".join(words)] if words else [])
+    hashes = [xxhash.xxh64_intdigest(g, 42) for g in grams]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def brute(rows):
+    prints = [brute_print(t) for _, t in rows]
+    group = list(range(len(rows)))
+
+    def root(i):
+        while group[i] != i:
+            i = group[i]
+        return i
+
+    for i in range(len(rows)):
+        for j in range(i):
+            if bin(prints[i] ^ prints[j]).count("1") <= 3:
+                group[root(i)] = root(j)
+    members = {}
+    for i, (doc_id, _) in enumerate(rows):
+        members.setdefault(root(i), []).append(doc_id)
+    low = {r: min((x for x in m if x is not None), default=None) for r, m in members.items()}
+    return [(rows[i][0], prints[i], low[root(i)]) for i in range(len(rows))]
+
+
+def run(spark, rows):
+    docs = spark.createDataFrame([(i, t, "x", "y") for i, t in rows], SCHEMA).repartition(3)
+    out = simhash.near_duplicates(docs).collect()
+    got = sorted(((r["doc_id"], r["fp"] % (1 << 64), r["component_id"]) for r in out), key=repr)
+    assert got == sorted(brute(rows), key=repr)
+    return docs
+
+
+def test_against_brute_force(spark):
+    rng = random.Random(3)
+    base = [f"w{rng.randrange(3000)}" for _ in range(300)]
+    rows = []
+    for i in range(120):  # near copies with few changes, many of them linked
+        words = list(base)
+        for _ in range(i % 5):
+            words[rng.randrange(300)] = f"x{rng.randrange(1000)}"
+        rows.append((1000 - i, " ".join(words)))
+    rows += [(2000 + i, " ".join(f"v{rng.randrange(500)}" for _ in range(rng.randrange(1, 40)))) for i in range(150)]
+    rows += [(5, None), (6, ""), (7, " \n"), (8, "one"), (9, "ONE"), (9, "ONE"), (None, "one"), (10, "é É"), (11, "a b"),
+             (None, "alone in the world")]
+    docs = run(spark, rows)
+    kept = simhash.drop_near_duplicates(docs).collect()
+    expected = {c for _, _, c in brute(rows)}
+    assert sorted((r["doc_id"] for r in kept), key=repr) == sorted(expected, key=repr)
+    assert kept[0].asDict().keys() == set(docs.columns)
+
+
+def test_a_chain_of_fingerprints(spark):
+    chain = [0]
+    for i in range(20):
+        chain.append(chain[-1] ^ (7 << (3 * i)))
+    frame = spark.createDataFrame([(v - (1 << 64) if v >> 63 else v,) for v in chain], "fp long")
+    roots = simhash.components(simhash.links(frame)).collect()
+    assert len(roots) == 20 and len({r["root"] for r in roots}) == 1
+
+
+def test_no_rows(spark):
+    assert simhash.near_duplicates(spark.createDataFrame([], SCHEMA)).count() == 0
+    assert simhash.drop_near_duplicates(spark.createDataFrame([], SCHEMA)).count() == 0
