@@ -26,12 +26,21 @@ from pyspark.sql import functions as F
 MODULUS = 4
 LONG_WORDS = 50
 LOWEST = -(1 << 63)
-# Order of occurrences as one number, which sums by hash can hold: doc_id, then position.
-PLACE = F.expr("cast(_id as decimal(20, 0)) * cast(10000000000 as decimal(11, 0)) + k")
+
+
+def place():
+    """Order of occurrences as one number, which hash aggregation can hold: doc_id, then position."""
+    return F.expr("cast(_id as decimal(20, 0)) * cast(10000000000 as decimal(11, 0)) + k")
+
+
+def keyed(docs):
+    """The documents with _id and _hash, which name a row."""
+    return (docs.withColumn("_id", F.coalesce(F.col("doc_id").cast("bigint"), F.lit(LOWEST)))
+            .withColumn("_hash", F.xxhash64("text")))
 
 
 def with_chunks(docs):
-    """The documents with _id, _hash and _chunks: array of (k, lines, eligible, body)."""
+    """The documents with _chunks: array of (k, lines, eligible, body)."""
     lines = F.split(F.col("text"), "\n")
 
     def line(x):
@@ -50,9 +59,7 @@ def with_chunks(docs):
         eligible = ((count > 1) | F.get("_hashes", start)["long"]) & (F.trim(F.replace(body, F.lit("\n"))) != "")
         return F.struct(k.alias("k"), count.alias("lines"), eligible.alias("eligible"), body.alias("body"))
 
-    return (docs.withColumn("_id", F.coalesce(F.col("doc_id").cast("bigint"), F.lit(LOWEST)))
-            .withColumn("_hash", F.xxhash64("text"))
-            .withColumn("_lines", lines)
+    return (docs.withColumn("_lines", lines)
             .withColumn("_hashes", F.transform("_lines", line))
             .withColumn("_starts", F.filter(F.sequence(F.lit(0), F.size("_lines") - 1), starts_chunk))
             .withColumn("_chunks", F.transform("_starts", chunk))
@@ -62,22 +69,26 @@ def with_chunks(docs):
 def repeated_chunks(docs):
     """Occurrences to remove: _id, _hash, k of every repeated chunk but the first of each."""
     # inline_outer: from inline, the optimiser would copy the whole chunk expression into a filter.
-    found = (with_chunks(docs.select("doc_id", "text")).select("_id", "_hash", F.inline_outer("_chunks"))
+    found = (with_chunks(keyed(docs.select("doc_id", "text"))).select("_id", "_hash", F.inline_outer("_chunks"))
              .where("eligible")
              .select("_id", "_hash", "k", "body", F.xxhash64("body").alias("h"),
                      F.crc32(F.col("body").cast("binary")).alias("c")))
-    groups = found.groupBy("h", "c", "body").agg(F.min(PLACE).alias("first"), F.max(PLACE).alias("last"))
+    groups = found.groupBy("h", "c", "body").agg(F.min(place()).alias("first"), F.max(place()).alias("last"))
     verdicts = groups.groupBy("h", "c").agg(
         F.count("*").alias("bodies"), F.min("first").alias("first"), F.max("last").alias("last"))
     verdicts = verdicts.where("bodies = 1 and first <> last").select("h", "c", "first")
     return (found.drop("body").join(verdicts, ["h", "c"])
-            .where(PLACE != F.col("first")).select("_id", "_hash", "k"))
+            .where(place() != F.col("first")).select("_id", "_hash", "k"))
+
 
+def dedup_lines(docs, report=True):
+    """The documents, text without repeated chunks, with n_lines, removed_lines and removed_chunks.
 
-def dedup_lines(docs):
-    """The documents, text without repeated chunks, with n_lines, removed_lines and removed_chunks."""
+    Without ``report`` the documents keep exactly their columns.
+    """
     removed = repeated_chunks(docs).groupBy("_id", "_hash").agg(F.collect_set("k").alias("_gone"))
-    joined = with_chunks(docs).join(removed, ["_id", "_hash"], "left")
+    # Chunks are cut again after the exchange, which then carries every text once.
+    joined = with_chunks(keyed(docs).join(removed, ["_id", "_hash"], "left"))
     gone = F.coalesce("_gone", F.array().cast("array<int>"))
     kept = F.filter("_chunks", lambda c: ~F.array_contains(gone, c["k"]))
 
@@ -86,8 +97,10 @@ def dedup_lines(docs):
 
     text = F.when(F.col("_gone").isNull(), F.col("text")).otherwise(
         F.array_join(F.transform("_kept", lambda c: c["body"]), "\n"))
-    return (joined.withColumn("_kept", kept)
-            .withColumn("text", text)
+    joined = joined.withColumn("_kept", kept).withColumn("text", text)
+    if not report:
+        return joined.select(*docs.columns)
+    return (joined
             .withColumn("n_lines", lines(F.col("_chunks")).cast("bigint"))
             .withColumn("removed_lines", F.col("n_lines") - lines(F.col("_kept")))
             .withColumn("removed_chunks", F.size(gone).cast("bigint"))

@@ -49,7 +49,7 @@ def test_against_brute_force_on_documents(spark):
 
 
 def test_shifted_passages_and_odd_texts(spark):
-    passage = "\n".join(f"line {i} of a shared passage" for i in range(30))
+    passage = "\n".join(f"line {i} of a shared passage" for i in range(120))
     long_line = "word " * 60
     rows = [(i, f"intro {i}\n{passage}\nend {i}") for i in range(20)]
     rows += [(30, None), (31, ""), (32, "\n\n\n"), (33, "\n\n\n"), (None, passage), (34, passage), (34, passage),
