@@ -48,8 +48,8 @@ def hls_messages(rows):
         _EPOCH,
         """case
  when event_id%12<5 then concat('GET /app',user_id%7,'/s',event_id%11,'__redirect__',event_id,'.m3u8 HTTP/1.1')
- when event_id%12<8 then concat('GET /app',user_id%7,'/app',user_id%7,'-s',event_id%11,'-1477897111-',(event_id%5+1)*1000,'.ts HTTP/1.1')
- when event_id%12=8 then concat('GET http://app',user_id%7,'/app',user_id%7,'-s',event_id%11,'-1470988831-',(event_id%5+1)*1000,'.ts HTTP/1.1')
+ when event_id%12<8 then concat('GET /app',user_id%7,'/app',user_id%7,'-s',event_id%11,'-1650000123-',(event_id%5+1)*1000,'.ts HTTP/1.1')
+ when event_id%12=8 then concat('GET http://app',user_id%7,'/app',user_id%7,'-s',event_id%11,'-1650000777-',(event_id%5+1)*1000,'.ts HTTP/1.1')
  when event_id%12=9 then concat('GET //app',user_id%7,'//s',event_id%11,'.m3u8 HTTP/1.1')
  when event_id%12=10 then 'GET /broken.ts' else 'GET /favicon.ico HTTP/1.1' end as request_url""",
         """case event_id%7 when 0 then 202 when 1 then 404 when 2 then 500 when 3 then null

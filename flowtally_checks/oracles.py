@@ -336,8 +336,8 @@ union all select 'hls_user_data', day, "user", cast(sum(flux) as bigint)
     "hls_valid_filter": """
 select event_id as "offset",
  case when event_id%12<5 then concat('GET /app',cast(user_id%7 as varchar),'/s',cast(event_id%11 as varchar),'__redirect__',cast(event_id as varchar),'.m3u8 HTTP/1.1')
- when event_id%12<8 then concat('GET /app',cast(user_id%7 as varchar),'/app',cast(user_id%7 as varchar),'-s',cast(event_id%11 as varchar),'-1477897111-',cast((event_id%5+1)*1000 as varchar),'.ts HTTP/1.1')
- when event_id%12=8 then concat('GET http://app',cast(user_id%7 as varchar),'/app',cast(user_id%7 as varchar),'-s',cast(event_id%11 as varchar),'-1470988831-',cast((event_id%5+1)*1000 as varchar),'.ts HTTP/1.1')
+ when event_id%12<8 then concat('GET /app',cast(user_id%7 as varchar),'/app',cast(user_id%7 as varchar),'-s',cast(event_id%11 as varchar),'-1650000123-',cast((event_id%5+1)*1000 as varchar),'.ts HTTP/1.1')
+ when event_id%12=8 then concat('GET http://app',cast(user_id%7 as varchar),'/app',cast(user_id%7 as varchar),'-s',cast(event_id%11 as varchar),'-1650000777-',cast((event_id%5+1)*1000 as varchar),'.ts HTTP/1.1')
  when event_id%12=9 then concat('GET //app',cast(user_id%7 as varchar),'//s',cast(event_id%11 as varchar),'.m3u8 HTTP/1.1')
  else 'GET /broken.ts' end as request_url
 from events where event_id%12<>11

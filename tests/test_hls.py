@@ -9,7 +9,7 @@ from samples import PLAYLIST, SEGMENT, UPSTREAM_PLAYLIST
 
 def _request(url, **fields):
     return {"request_url": url, "http_stat": 200, "request_time": "0.5", "body_bytes_sent": 7,
-            "unix_time": "1477897908", "server_addr": "s", **fields}
+            "unix_time": "1700003200", "server_addr": "s", **fields}
 
 
 def _derive(frame, records, **options):
@@ -21,19 +21,19 @@ def test_golden_rows(frame):
     rows = base(hls.requests(frame(HLS_TOPIC, [UPSTREAM_PLAYLIST, SEGMENT, PLAYLIST])), "hls")
     got = {tuple(r) for r in rows.collect()}
     assert got == {
-        (1, "m3u8", 2016103115, "gmb", "streamhxb", "0", "120.76.29.115", 200,
-         0, 0, 0, 250, 2, 1, 1, 1),
-        (0, "ts", 2016103115, "xsjrw", "stream", "no_user_keyword", "183.232.234.8", 200,
-         0, 0, 0, 78584, 0, 1, 1, 1),
-        (0, "m3u8", 2016103115, "cjwtv", "cjwtv", "no_user_keyword", "120.210.195.68", 200,
-         0, 0, 0, 250, 1, 1, 1, 1),
+        (1, "m3u8", 2023111507, "harbor", "camera", "17", "192.0.2.15", 200,
+         0, 0, 0, 412, 4, 1, 1, 1),
+        (0, "ts", 2023111507, "summit", "east", "no_user_keyword", "192.0.2.44", 200,
+         0, 0, 0, 90210, 0, 1, 1, 1),
+        (0, "m3u8", 2023111507, "valley", "valley", "no_user_keyword", "198.51.100.21", 200,
+         0, 0, 0, 318, 3, 1, 1, 1),
     }
 
 
 def test_urls(frame):
     cases = [
-        ("GET http://hz/hz-live-1470988831-1470991945170-3042.ts HTTP/1.1", "ts", "hz", "live", "3042"),
-        ("GET /1529/1529-stream-1459483582-1459486842823-3041.ts HTTP/1.1", "ts", "1529", "stream", "3041"),
+        ("GET http://pier/pier-deck-1650001000-1650001999123-2750.ts HTTP/1.1", "ts", "pier", "deck", "2750"),
+        ("GET /204/204-lamp-1650002000-1650002888-1875.ts HTTP/1.1", "ts", "204", "lamp", "1875"),
         ("GET //a//b.m3u8 HTTP/1.1", "m3u8", "a", "b", None),
         ("GET /live.m3u8 HTTP/1.1", "m3u8", "live.m3u8", "HTTP", None),
         ("GET http://h/a/s.m3u8 HTTP/1.1", "m3u8", "http:", "h", None),
@@ -99,20 +99,20 @@ def test_user(frame):
 def test_time_zone_and_missing_time(frame):
     url = "GET /a/b.m3u8 HTTP/1.1"
     missing = {k: v for k, v in _request(url).items() if k != "unix_time"}
-    records = [_request(url), missing, _request(url, unix_time="1477897919.75"),
-               _request(url, unix_time=1477897919.5), _request(url, unix_time=0)]
+    records = [_request(url), missing, _request(url, unix_time="1700003456.75"),
+               _request(url, unix_time=1700003456.5), _request(url, unix_time=0)]
     local = _derive(frame, records)
     assert [local[i]["timestamp_hour"] for i in range(5)] == [
-        2016103115, 1970010108, 2016103115, 2016103115, 1970010108]
+        2023111507, 1970010108, 2023111507, 2023111507, 1970010108]
     utc = _derive(frame, records, tz="UTC")
-    assert [utc[i]["timestamp_hour"] for i in range(2)] == [2016103107, 1970010100]
+    assert [utc[i]["timestamp_hour"] for i in range(2)] == [2023111423, 1970010100]
 
 
 def test_rejects_keep_the_message(frame):
     url = "GET /a/b.m3u8 HTTP/1.1"
     records = [
         "not json", _request(url, request_time="-"), _request(url, unix_time="abc"),
-        _request(url, unix_time="1477897919000"), _request(url, request_time="1d"),
+        _request(url, unix_time="1700003456000"), _request(url, request_time="1d"),
         _request(url, request_time="NaN"), _request(url, body_bytes_sent=2**62),
         _request("GET /favicon.ico", request_time="-"), _request(url, http_stat="200"),
         _request(url), None,

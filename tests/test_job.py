@@ -33,7 +33,7 @@ def test_both_feeds_from_one_source(spark, folder, tmp_path):
 def test_replay_purge_refresh(spark, frame, folder):
     root = folder("root")
     archive.write(frame(HLS_TOPIC, [SEGMENT, PLAYLIST]), f"{root}/archive")
-    day = ["--feed", "hls", "--day", "20161031", "--root", root]
+    day = ["--feed", "hls", "--day", "20231115", "--root", root]
     job.main(["replay", "--run", "one", *day], spark)
     assert served.table(spark, f"{root}/rollups/hls", "hls_day_data").first()["count"] == 2
     job.main(["purge", *day], spark)

@@ -67,14 +67,14 @@ def test_publish_frame(frame):
 
 
 def test_archive_round_trip(spark, frame, folder):
-    other_day = {**PLAYLIST, "unix_time": "1477984343"}
+    other_day = {**PLAYLIST, "unix_time": "1700090399"}
     path = folder("archive")
     archive.write(frame(HLS_TOPIC, [UPSTREAM_PLAYLIST, SEGMENT, other_day]), path)
     archive.write(frame(RTMP_TOPIC, [SESSION]), path, gather=True)
     counts = {(r["topic"], r["day"]): r["count"]
               for r in archive.read(spark, path).groupBy("topic", "day").count().collect()}
-    assert counts == {(HLS_TOPIC, 20161031): 2, (HLS_TOPIC, 20161101): 1, (RTMP_TOPIC, 20161026): 1}
-    replayed = archive.replay(spark, path, HLS_TOPIC, 20161031)
+    assert counts == {(HLS_TOPIC, 20231115): 2, (HLS_TOPIC, 20231116): 1, (RTMP_TOPIC, 20231115): 1}
+    replayed = archive.replay(spark, path, HLS_TOPIC, 20231115)
     direct = base(hls.requests(frame(HLS_TOPIC, [UPSTREAM_PLAYLIST, SEGMENT])), "hls")
     assert sorted(base(hls.requests(replayed), "hls").collect()) == sorted(direct.collect())
     plan = replayed._jdf.queryExecution().executedPlan().toString()
@@ -89,8 +89,8 @@ def test_replay_of_double_encoded_lines(frame):
 
 def test_event_day(frame):
     cases = {
-        '{"unix_time": "1477897919"}': 20161031, '{"unix_time": 1477897919}': 20161031,
-        '{"unix_time": 1477897919.9}': 20161031, '{"unix_time": "1477897919.9"}': None,
+        '{"unix_time": "1700003456"}': 20231115, '{"unix_time": 1700003456}': 20231115,
+        '{"unix_time": 1700003456.9}': 20231115, '{"unix_time": "1700003456.9"}': None,
         '{"unix_time": "x"}': None, '{"unix_time": null}': None, "[1]": None, "junk": None,
         "12": None, '{"unix_time": 1}{}': None, None: None,
     }
@@ -110,4 +110,4 @@ def test_event_day_defaults_to_today(frame):
 
 def test_line_breaks_between_tokens_survive_the_archive(spark, frame, folder):
     archive.write(frame(HLS_TOPIC, [json.dumps(SEGMENT, indent=1)]), folder("a"))
-    assert hls.requests(archive.replay(spark, folder("a"), HLS_TOPIC, 20161031)).count() == 1
+    assert hls.requests(archive.replay(spark, folder("a"), HLS_TOPIC, 20231115)).count() == 1

@@ -94,11 +94,11 @@ def test_late_messages_land_in_their_own_day(spark, inbox, folder):
     inbox([(HLS_TOPIC, LATE), (HLS_TOPIC, SEGMENT)])
     got = _run(spark, inbox, folder, "hls")
     days = {(r["day"], r["batch_id"]): r["counts"] for r in got.collect()}
-    assert days == {(20161031, 0): 1, (20140514, 1): 1, (20161031, 1): 1}
+    assert days == {(20231115, 0): 1, (20140514, 1): 1, (20231115, 1): 1}
     served.refresh(spark, "hls", folder("hls-partials"), folder("rollups"))
     table = served.table(spark, folder("rollups"), "hls_down")
     assert {(r["timestamp"], r["counts_ts"]) for r in table.collect()} == {
-        (20161031, 2), (20140514, 1)}
+        (20231115, 2), (20140514, 1)}
 
 
 @pytest.mark.parametrize("feed, operator, topic, records", [
@@ -120,12 +120,12 @@ def test_refresh_of_touched_days_only(spark, frame, folder):
     served.refresh(spark, "hls", folder("p"), folder("s"))
     partials.account_batch(frame(HLS_TOPIC, [SEGMENT]), 1, "hls", folder("p"), "first")
     touched = served.touched_days(spark, folder("p"), "hls", "first", [1])
-    assert [r["day"] for r in touched.collect()] == [20161031]
-    for days in (touched, touched, [20161031]):
+    assert [r["day"] for r in touched.collect()] == [20231115]
+    for days in (touched, touched, [20231115]):
         served.refresh(spark, "hls", folder("p"), folder("s"), days)
         table = served.table(spark, folder("s"), "hls_down")
         assert {(r["timestamp"], r["counts_ts"]) for r in table.collect()} == {
-            (20161031, 2), (20140514, 1)}
+            (20231115, 2), (20140514, 1)}
 
 
 def test_purge_and_backfill_of_a_day(spark, frame, folder):
@@ -138,17 +138,17 @@ def test_purge_and_backfill_of_a_day(spark, frame, folder):
     mode = "spark.sql.sources.partitionOverwriteMode"
     spark.conf.set(mode, "dynamic")
     try:
-        served.purge_partials(spark, "hls", folder("p"), 20161031)
-        served.purge_rollups(spark, "hls", folder("s"), 20161031)
+        served.purge_partials(spark, "hls", folder("p"), 20231115)
+        served.purge_rollups(spark, "hls", folder("s"), 20231115)
     finally:
         spark.conf.unset(mode)
-    assert partials.read_partials(spark, folder("p"), "hls").filter("day = 20161031").count() == 0
+    assert partials.read_partials(spark, folder("p"), "hls").filter("day = 20231115").count() == 0
     left = served.table(spark, folder("s"), "hls_down_app_stream_hour").collect()
     assert [r["timestamp"] // 100 for r in left] == [20140514]
 
-    replayed = archive.replay(spark, folder("archive"), HLS_TOPIC, 20161031)
+    replayed = archive.replay(spark, folder("archive"), HLS_TOPIC, 20231115)
     partials.account_batch(replayed, 0, "hls", folder("p"), "backfill")
-    served.refresh(spark, "hls", folder("p"), folder("s"), [20161031])
+    served.refresh(spark, "hls", folder("p"), folder("s"), [20231115])
     assert _rows(served.table(spark, folder("s"), "hls_down_app_stream_hour")) == before
 
 
@@ -157,7 +157,7 @@ def test_archive_stream_and_replay_stream(spark, inbox, folder):
     inbox([(HLS_TOPIC, PLAYLIST), (RTMP_TOPIC, SESSION)])
     archive.write_stream(_stream(spark, inbox), folder("archive"), folder("checkpoint"),
                          availableNow=True).awaitTermination()
-    again = archive.replay_stream(spark, folder("archive"), HLS_TOPIC, 20161031, max_files=1)
+    again = archive.replay_stream(spark, folder("archive"), HLS_TOPIC, 20231115, max_files=1)
     partials.start_partials(again, "hls", folder("p"), folder("replay-checkpoint"), "replay",
                             availableNow=True).awaitTermination()
     got = partials.read_partials(spark, folder("p"), "hls")
@@ -167,8 +167,8 @@ def test_archive_stream_and_replay_stream(spark, inbox, folder):
 def test_stored_levels_are_pruned(spark, frame, folder):
     partials.account_batch(frame(HLS_TOPIC, HLS), 0, "hls", folder("p"), "first")
     served.refresh(spark, "hls", folder("p"), folder("s"))
-    daily = served.table(spark, folder("s"), "hls_down_user").filter("timestamp = 20161031")
-    hourly = served.table(spark, folder("s"), "hls_down_user_hour", days=[20161031])
+    daily = served.table(spark, folder("s"), "hls_down_user").filter("timestamp = 20231115")
+    hourly = served.table(spark, folder("s"), "hls_down_user_hour", days=[20231115])
     for table in (daily, hourly):
         plan = table._jdf.queryExecution().executedPlan().toString()
         pruned = plan.split("PartitionFilters")[1].split("PushedFilters")[0]
