@@ -1,26 +1,39 @@
-"""Numbers that arrive as text.
+"""Numbers that arrive as text, or as JSON numbers in any spelling.
 
-A pattern decides whether a text is usable; it bounds the value as well, so
-that neither a conversion nor a later sum can overflow. The conversions then
-need no further check and each text is looked at once.
+A pattern decides whether a text is a number at all; conversions give NULL
+where the value does not fit, so a check and a conversion never disagree.
 """
 
 from pyspark.sql import functions as F
 
-# Plain decimal notation below 10^12, or an exponent as JSON writers print
-# small and large floats. Type suffixes, hex floats, NaN and Infinity are out.
-_SECONDS = r"^ *[-+]?([0-9]{1,12}(\.[0-9]*)?|\.[0-9]+)([eE](-[0-9]{1,3}|[+]?[0-2]))? *$"
+from flowtally.schemas import FRACTION_TYPE
+
+# Decimal notation, maybe with an exponent. Type suffixes, hex floats, NaN and Infinity are out.
+_NUMBER = r"^\s*[-+]?([0-9]+(\.[0-9]*)?|\.[0-9]+)([eE][-+]?[0-9]{1,4})?\s*$"
+# Epoch seconds: at most eleven digits (ten if negative), or an exponent up to 10.
 _EPOCH = (
     r"^ *([+]?[0-9]{1,11}|-[0-9]{1,10})(\.[0-9]*)? *$"
     r"|^ *[+]?[0-9](\.[0-9]*)?[eE][+]?([0-9]|10) *$"
 )
 
-# Bound for counters read as numbers: a sum of millions of them stays in range.
-COUNTER_LIMIT = 10**12
+
+def _double(text):
+    return F.when(text.rlike(_NUMBER), text.try_cast("double"))
+
+
+def whole(text):
+    """Whole part of a number as bigint; NULL for other text and beyond the bigint range."""
+    return F.coalesce(text.try_cast("bigint"), _double(text).try_cast("bigint"))
+
+
+def fraction(text):
+    """A number as decimal; NULL for other text and beyond 10^18."""
+    return F.when(text.rlike(_NUMBER), text.try_cast(FRACTION_TYPE))
 
 
 def is_seconds(text):
-    return text.rlike(_SECONDS)
+    """Whether a text is a number whose milliseconds fit a bigint."""
+    return text.rlike(_NUMBER) & seconds_to_millis(text).isNotNull()
 
 
 def is_epoch(text):
@@ -38,7 +51,3 @@ def seconds_to_millis(text):
 def epoch_seconds(text):
     """Epoch seconds, maybe fractional -> bigint."""
     return F.floor(text.try_cast("double")).cast("bigint")
-
-
-def in_range(column, limit=COUNTER_LIMIT):
-    return column.between(-limit, limit)

@@ -16,6 +16,12 @@ def route(frame, topic):
     return frame.filter(F.coalesce("topic", "key") == topic)
 
 
+def is_one_value(text):
+    """False for text that breaks out of an array put around it; only text with a bracket is parsed."""
+    in_object = F.try_parse_json(F.concat(F.lit('{"value":'), text, F.lit("}")))
+    return F.when(text.contains("]"), in_object.isNotNull()).otherwise(True)
+
+
 def decode(frame, record):
     """Parse ``value`` into the fields of ``record`` (name -> type) next to ``malformed``.
 
@@ -24,7 +30,8 @@ def decode(frame, record):
     non-object, no value at all, or a field of the wrong type.
 
     The value is read as the only element of an array, so that text after the
-    object is an error as well. The generators keep the parse a step of its
+    object is an error as well. Text with a closing bracket could end that array
+    itself; it must be the value of an object's only field, too. The generators keep the parse a step of its
     own: filters further down read their output columns and Catalyst cannot
     copy the parse into them, so each message is parsed once.
     """
@@ -33,7 +40,8 @@ def decode(frame, record):
     schema = f"record array<struct<{fields}>>, _unreadable string"
     parsed = frame.select("*", F.inline_outer(F.array(F.from_json(wrapped, schema, _JSON_OPTIONS))))
     usable = (
-        F.col("_unreadable").isNull()
+        is_one_value(F.col("value"))
+        & F.col("_unreadable").isNull()
         & (F.size("record") == 1)
         & F.try_element_at("record", F.lit(1)).isNotNull()
     )
@@ -51,7 +59,8 @@ def quarantine(decoded, reason):
 
 
 def unwrap_double_encoded(frame):
-    """Undo one extra round of JSON encoding where a value is a JSON string literal."""
+    """Undo one extra round of JSON encoding where a value is exactly one JSON string literal."""
     inner = F.from_json(F.concat(F.lit("["), F.col("value"), F.lit("]")), "array<string>")
-    is_literal = F.ltrim("value").startswith('"')
+    is_literal = (
+        F.ltrim("value").startswith('"') & (F.size(inner) == 1) & is_one_value(F.col("value")))
     return frame.withColumn("value", F.when(is_literal, inner[0]).otherwise(F.col("value")))

@@ -21,6 +21,9 @@ BROADCAST_CANDIDATES = 1_024
 # every one-row-per-block table and, with distinct addresses, every block.
 _BLOCK = 65_536
 
+# Parts a busy address is dealt into.
+_SALTS = 16
+
 
 def _div(column, width):
     return F.call_function("div", column, F.lit(width))
@@ -79,11 +82,12 @@ def _shuffled_lookup(addressed, ranges):
     Works on distinct addresses, so a frequent address costs one row. A block
     then holds at most 65,536 addresses and as many ends. Each address takes
     the nearest end at or above it in its block, or else the first end of the
-    next block that has one. Adaptive execution splits frequent addresses in
-    the join back. (Unusable addresses are one NULL that finds nothing.)
+    next block that has one. For the join back every located address is
+    repeated ``_SALTS`` times and the raw addresses are dealt over the repeats, so
+    a busy address, or the NULL of all unusable ones, is many tasks' work.
     """
     ends = _distinct_ends(ranges)
-    wanted = addressed.select("_ip").distinct()
+    wanted = addressed.select("_ip").where("_ip is not null").distinct()
     points = ends.select("block", F.col("ip_end").alias("at"), F.lit(0).alias("wanted"),
                          F.struct("location").alias("found"))
     probes = wanted.select(_div(F.col("_ip"), _BLOCK).alias("block"), F.col("_ip").alias("at"),
@@ -104,7 +108,13 @@ def _shuffled_lookup(addressed, ranges):
         F.explode(F.sequence(first_block, F.col("start") - 1)).alias("block"), "head")
     located = near.join(next_head, "block", "left").select(
         F.col("at").alias("_ip"), F.coalesce("found", "head")["location"].alias("location"))
-    return addressed.join(located, "_ip", "left")
+    salts = F.explode(F.sequence(F.lit(0), F.lit(_SALTS - 1))).alias("_salt")
+    dealt = addressed.withColumn(
+        "_salt", F.pmod(F.monotonically_increasing_id(), F.lit(_SALTS)).cast("int"))
+    # A NULL address matches nothing: its rows need no exchange by address.
+    known = dealt.where("_ip is not null").join(located.select("*", salts), ["_ip", "_salt"], "left")
+    unknown = dealt.where("_ip is null").withColumn("location", F.lit(None).cast("string"))
+    return known.unionByName(unknown).drop("_salt")
 
 
 def lookup(probes, ranges, ip_column="ip", prefix_bits=16, strategy="auto"):
@@ -116,6 +126,8 @@ def lookup(probes, ranges, ip_column="ip", prefix_bits=16, strategy="auto"):
     broadcasts the range table if its size allows, at 16 bits where the wanted
     index is too dense; ``shuffle`` never broadcasts.
     """
+    if prefix_bits not in (8, 16):
+        raise ValueError("prefix_bits is 8 or 16")
     if strategy not in ("auto", "shuffle"):
         raise ValueError("strategy is 'auto' or 'shuffle'")
     if dict(probes.dtypes)[ip_column] == "string":

@@ -22,7 +22,7 @@ def _problems():
     return {
         "bad_request_time": ~numbers.is_seconds(F.coalesce("request_time", F.lit("0"))),
         "bad_unix_time": ~numbers.is_epoch(F.coalesce("unix_time", F.lit("0"))),
-        "bad_body_bytes_sent": ~numbers.in_range(F.coalesce("body_bytes_sent", F.lit(0))),
+        "bad_body_bytes_sent": numbers.whole(F.coalesce("body_bytes_sent", F.lit("0"))).isNull(),
     }
 
 
@@ -49,8 +49,9 @@ def rejects(decoded):
 def derive(accepted, tz=timekeys.DEFAULT_TZ, slice_compare="numeric"):
     """Keys and counters of accepted requests, next to the intermediate columns.
 
-    * A request is valid when its status is below 400 and not 202. A missing
-      status counts as 0, hence valid.
+    * A request is valid when its status is below 400 and not 202. A status
+      that is missing or no number counts as 0, hence valid. A server type that
+      is no number is -1: down in totals, in no detail table.
     * A playlist request is smooth when valid and faster than one second; a
       segment request when valid and its slice is longer than three times the
       request time. A slice length that is not a number is never smooth.
@@ -61,11 +62,13 @@ def derive(accepted, tz=timekeys.DEFAULT_TZ, slice_compare="numeric"):
     """
     if slice_compare not in ("numeric", "text"):
         raise ValueError("slice_compare is 'numeric' or 'text'")
-    status = F.coalesce("http_stat", F.lit(0))
+    status = F.coalesce(numbers.whole(F.col("http_stat")).try_cast("int"), F.lit(0))
+    server_type = F.when(F.col("svr_type").isNull(), 0).otherwise(
+        F.coalesce(numbers.whole(F.col("svr_type")).try_cast("int"), F.lit(-1)))
     tokenised = accepted.withColumns({
         "tokens": urls.tokens(F.col("request_url")),
         "is_playlist": F.col("request_url").contains(".m3u8"),
-        "svr_type": F.coalesce("svr_type", F.lit(0)),
+        "svr_type": server_type,
         "http_stat": status,
         "valid": (status < 400) & (status != 202),
         "millis": numbers.seconds_to_millis(F.coalesce("request_time", F.lit("0"))),
@@ -94,8 +97,8 @@ def derive(accepted, tz=timekeys.DEFAULT_TZ, slice_compare="numeric"):
         "nlt_400_counts": (F.col("http_stat") >= 400).cast("bigint"),
         "mt_1_counts": (millis > SLOW_MS).cast("bigint"),
         "mt_3_counts": (millis > VERY_SLOW_MS).cast("bigint"),
-        "flux": F.when(valid, F.coalesce("body_bytes_sent", F.lit(0))).otherwise(F.lit(0))
-        .cast("bigint"),
+        "flux": F.when(valid, numbers.whole(F.coalesce("body_bytes_sent", F.lit("0"))))
+        .otherwise(F.lit(0).cast("bigint")),
         "request_time": millis,
         "fluency_counts": F.coalesce(smooth, F.lit(False)).cast("bigint"),
         "valid_counts": valid.cast("bigint"),

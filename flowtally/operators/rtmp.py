@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from flowtally.functions import numbers, timekeys, users
 from flowtally.operators.decode import MALFORMED, decode, quarantine, route
-from flowtally.schemas import RTMP_DIMS, RTMP_METRICS, RTMP_RECORD, RTMP_TOPIC
+from flowtally.schemas import FRACTION_SUM_TYPE, RTMP_DIMS, RTMP_METRICS, RTMP_RECORD, RTMP_TOPIC
 
 # Fixed value: shortest publishing time, in milliseconds, of a valid session.
 VALID_PUBLISH_MS = 30000
@@ -30,11 +30,22 @@ def _flux():
 def _fit():
     """Only ``EndTime``, ``User`` and the byte sum of the other direction may be missing."""
     fit = ~F.col("malformed") & numbers.is_epoch(F.coalesce("EndTime", F.lit("0")))
-    for name in [*_NAMES, *_FLUENCY]:
+    for name in _NAMES:
         fit = fit & F.col(name).isNotNull()
+    for name in _FLUENCY:
+        fit = fit & numbers.fraction(F.col(name)).isNotNull()
     for name in _WHOLE:
-        fit = fit & numbers.in_range(F.col(name))
-    return F.coalesce(fit & numbers.in_range(_flux()), F.lit(False))
+        fit = fit & numbers.whole(F.col(name)).isNotNull()
+    return F.coalesce(
+        fit & numbers.whole(_flux()).isNotNull() & _fluency_time().isNotNull(), F.lit(False))
+
+
+def _fluency_time():
+    """Play time times fluency: exact for fluency below 10^6, a double's product above."""
+    time, fluency = numbers.whole(F.col("PlayTime")), F.col("PlayFluency")
+    exact = time.cast("decimal(19,0)") * fluency.try_cast("decimal(18,12)")
+    rough = time.cast("double") * fluency.try_cast("double")
+    return F.coalesce(exact.cast(FRACTION_SUM_TYPE), rough.try_cast(FRACTION_SUM_TYPE))
 
 
 def accept(decoded):
@@ -64,8 +75,8 @@ def derive(accepted, tz=timekeys.DEFAULT_TZ):
     Fluency, longest gap and the 60-second extremes are counters like all
     others: totals are sums of them.
     """
-    # Accepted play times have at most 13 digits, so this product is exact.
-    fluency_time = F.col("PlayTime").cast("decimal(13,0)") * F.col("PlayFluency")
+    whole = {name: numbers.whole(F.col(name)) for name in _WHOLE}
+    fluency = {name: numbers.fraction(F.col(name)) for name in _FLUENCY}
     return accepted.withColumn("local", timekeys.local_seconds(
         numbers.epoch_seconds(F.coalesce("EndTime", F.lit("0"))), tz)
     ).withColumns({
@@ -75,22 +86,22 @@ def derive(accepted, tz=timekeys.DEFAULT_TZ):
         "stream": F.col("Stream"),
         "user": users.rtmp_user(F.col("User")),
         "svr_ip": F.col("SvrIp"),
-        "valid_counts": (F.col("PublishTime") >= VALID_PUBLISH_MS).cast("bigint"),
+        "valid_counts": (whole["PublishTime"] >= VALID_PUBLISH_MS).cast("bigint"),
         "total_counts": F.lit(1).cast("bigint"),
-        "play_fluency": F.col("PlayFluency"),
-        "play_fluency_in60s": F.col("PlayFluencyIn60s"),
-        "publish_time": F.col("PublishTime"),
-        "play_fluency_time": fluency_time,
-        "empty_numbers": F.col("EmptyNumbers"),
-        "empty_time": F.col("EmptyTime"),
-        "max_empty_time": F.col("MaxEmptyTime"),
-        "first_buffer_time": F.col("FirstBufferTime"),
-        "empty_numbers_in60s": F.col("EmptyNumbersIn60s"),
-        "empty_time_in60s": F.col("EmptyTimeIn60s"),
-        "play_fluency_zero_counts": (F.col("PlayFluency") == 0).cast("bigint"),
-        "max60s_fluency": F.col("Max60sFluency"),
-        "min60s_fluency": F.col("Min60sFluency"),
-        "flux": _flux(),
+        "play_fluency": fluency["PlayFluency"],
+        "play_fluency_in60s": fluency["PlayFluencyIn60s"],
+        "publish_time": whole["PublishTime"],
+        "play_fluency_time": _fluency_time(),
+        "empty_numbers": whole["EmptyNumbers"],
+        "empty_time": whole["EmptyTime"],
+        "max_empty_time": whole["MaxEmptyTime"],
+        "first_buffer_time": whole["FirstBufferTime"],
+        "empty_numbers_in60s": whole["EmptyNumbersIn60s"],
+        "empty_time_in60s": whole["EmptyTimeIn60s"],
+        "play_fluency_zero_counts": (fluency["PlayFluency"] == 0).cast("bigint"),
+        "max60s_fluency": fluency["Max60sFluency"],
+        "min60s_fluency": fluency["Min60sFluency"],
+        "flux": numbers.whole(_flux()),
     })
 
 

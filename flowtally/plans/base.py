@@ -7,21 +7,37 @@ a key that holds a third of all rows reaches its reducer as one row per task.
 from pyspark.sql import functions as F
 
 from flowtally.schemas import (
-    FRACTION_SUM_TYPE, FRACTIONAL, HLS_DIMS, HLS_METRICS, RTMP_DIMS, RTMP_METRICS,
+    FRACTION_SUM_TYPE, FRACTIONAL, HLS_DIMS, HLS_METRICS, RTMP_DIMS, RTMP_METRICS, WIDE,
+    WIDE_SUM_TYPE,
 )
 
 KEYS = {"hls": HLS_DIMS, "rtmp": RTMP_DIMS}
 COUNTERS = {"hls": HLS_METRICS, "rtmp": RTMP_METRICS}
 
 
-def _sum(metric):
-    total = F.sum(metric)
-    return (total.cast(FRACTION_SUM_TYPE) if metric in FRACTIONAL else total).alias(metric)
+def total(column, metric, kind):
+    """Sum of a counter of type ``kind``, in the type that holds any number of partial sums.
+
+    Bigints of a wide counter are summed in two halves of 32 bits, which no
+    number of rows in a task can overflow, and put together after the sum: as
+    fast as bigints, exact as decimals.
+    """
+    if metric in FRACTIONAL:
+        return F.sum(column).cast(FRACTION_SUM_TYPE)
+    if metric not in WIDE:
+        return F.sum(column)
+    if kind != "bigint":
+        return F.sum(column).cast(WIDE_SUM_TYPE)
+    high = F.sum(F.shiftright(column, 32)).cast("decimal(20,0)")
+    low = F.sum(column.bitwiseAND(F.lit(0xFFFFFFFF))).cast("decimal(20,0)")
+    return (high * F.lit(1 << 32).cast("decimal(10,0)") + low).cast(WIDE_SUM_TYPE)
 
 
 def base(rows, feed, *extra_keys):
     """Partial sums at the finest key of a feed, from row-level counters."""
-    return rows.groupBy(*extra_keys, *KEYS[feed]).agg(*[_sum(m) for m in COUNTERS[feed]])
+    kinds = dict(rows.dtypes)
+    return rows.groupBy(*extra_keys, *KEYS[feed]).agg(
+        *[total(F.col(m), m, kinds[m]).alias(m) for m in COUNTERS[feed]])
 
 
 def fold(partials, feed):
@@ -38,6 +54,11 @@ def increment_or_insert(existing, delta, keys):
 
 
 def shown(sums):
-    """Fractional totals as doubles, the form readers expect."""
-    return sums.withColumns(
-        {c: F.col(c).cast("double") for c in sums.columns if c in FRACTIONAL})
+    """Totals as readers expect them: fractional ones as doubles, wide ones as bigints.
+
+    A wide total beyond the bigint range is an error here, never a wrong number.
+    """
+    kinds = dict(sums.dtypes)
+    shown_as = {c: "double" for c in sums.columns if c in FRACTIONAL}
+    shown_as.update({c: "bigint" for c in sums.columns if kinds[c] == WIDE_SUM_TYPE})
+    return sums.withColumns({c: F.col(c).cast(kind) for c, kind in shown_as.items()})

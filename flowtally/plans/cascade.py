@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from flowtally.functions.timekeys import day_of
+from flowtally.plans.base import total
 from flowtally.schemas import HLS_METRICS
 
 # Table -> (table it can be derived from, keys, counters).
@@ -33,7 +34,8 @@ def rekey(counters, name):
     _, keys, metrics = STEPS[name]
     if "timestamp" in keys and "timestamp" not in counters.columns:
         counters = counters.withColumn("timestamp", day_of(F.col("timestamp_hour")))
-    return counters.groupBy(*keys).agg(*[F.sum(m).alias(m) for m in metrics])
+    kinds = dict(counters.dtypes)
+    return counters.groupBy(*keys).agg(*[total(F.col(m), m, kinds[m]).alias(m) for m in metrics])
 
 
 def cascade(base):

@@ -12,7 +12,7 @@ from dataclasses import dataclass
 from pyspark.sql import functions as F
 
 from flowtally.functions.timekeys import day_of
-from flowtally.plans.base import shown
+from flowtally.plans.base import shown, total
 from flowtally.schemas import FRACTION_SUM_TYPE, FRACTIONAL, RTMP_METRICS
 
 
@@ -100,26 +100,37 @@ def keys_of(name):
     return [time, *[_SHOWN_AS.get(d, d) for d in spec.dims]]
 
 
-def _split_sums():
+def _split_sums(kinds):
     """HLS counters apart for playlists (and unparsed URLs) and for segments."""
     is_segment = F.col("hls_type") == "ts"
-    zero = F.lit(0).cast("bigint")
-    sums = {f"{m}_m3": F.when(is_segment, zero).otherwise(F.col(m)) for m in _SPLIT}
-    sums.update({f"{m}_ts": F.when(is_segment, F.col(m)).otherwise(zero) for m in _SPLIT})
-    return {name: F.sum(value) for name, value in sums.items()}
+    sums = {}
+    for side in ("m3", "ts"):
+        for m in _SPLIT:
+            zero = F.lit(0).cast(kinds[m])
+            value = F.when(is_segment == F.lit(side == "ts"), F.col(m)).otherwise(zero)
+            sums[f"{m}_{side}"] = total(value, m, kinds[m])
+    return sums
 
 
-def _sums(feed, family):
-    """Counter name -> sum over the counters of the input."""
+def _sums(feed, family, kinds):
+    """Counter name -> sum over the counters of the input, whose column types are ``kinds``."""
+    def plain(metric):
+        return total(F.col(metric), metric, kinds[metric])
+
     if feed == "rtmp":
-        metrics = RTMP_METRICS if family == "quality" else _RTMP_DETAIL
-        return {m: F.sum(m).cast(FRACTION_SUM_TYPE) if m in FRACTIONAL else F.sum(m)
-                for m in metrics}
+        return {m: plain(m) for m in (RTMP_METRICS if family == "quality" else _RTMP_DETAIL)}
     if family == "quality":
-        return {**_split_sums(), "flux": F.sum("flux")}
+        return {**_split_sums(kinds), "flux": plain("flux")}
     if family == "detail":
-        return {m: F.sum(m) for m in _HLS_DETAIL}
-    return {shown_as: F.sum(m) for shown_as, m in _HLS_LEGACY.items()}
+        return {m: plain(m) for m in _HLS_DETAIL}
+    return {shown_as: plain(m) for shown_as, m in _HLS_LEGACY.items()}
+
+
+def _counters(feed, family):
+    """Counter names of a family, in order."""
+    if feed == "rtmp":
+        return RTMP_METRICS if family == "quality" else _RTMP_DETAIL
+    return {"quality": _HLS_QUALITY, "detail": _HLS_DETAIL, "legacy": list(_HLS_LEGACY)}[family]
 
 
 def _named(sums):
@@ -152,13 +163,18 @@ def rollup(counters, name):
     keys = [(hour if spec.hourly else day_of(hour)).alias(time)]
     keys += [F.col(d).alias(shown_as) for d, shown_as in zip(spec.dims, dims)]
     return shown(counters.filter(lane == spec.lane).groupBy(*keys).agg(
-        *_named(_sums(spec.feed, spec.family))))
+        *_named(_sums(spec.feed, spec.family, dict(counters.dtypes)))))
 
 
 def reduce_keys(served, keys):
-    """A coarser table from a served one, for example without its user."""
+    """A coarser table from a served one, for example without its user.
+
+    Fractions are added as decimals, so the order of tasks changes no total.
+    """
     counters = [c for c in served.columns if c not in _all_keys()]
-    return served.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in counters])
+    return shown(served.groupBy(*keys).agg(
+        *[total(F.col(c).cast(FRACTION_SUM_TYPE) if c in FRACTIONAL else F.col(c), c, "bigint").alias(c)
+          for c in counters]))
 
 
 def _all_keys():
@@ -188,11 +204,10 @@ def levels_of(feed):
     return levels
 
 
-def _level_sums(feed):
+def _level_sums(feed, kinds):
     """Sums from which every family can be shown."""
-    if feed == "rtmp":
-        return _sums("rtmp", "quality")
-    return {**_sums("hls", "quality"), "valid_counts": F.sum("valid_counts")}
+    sums = _sums(feed, "quality", kinds)
+    return sums if feed == "rtmp" else {**sums, "valid_counts": F.sum("valid_counts")}
 
 
 def all_levels(counters, feed):
@@ -211,7 +226,7 @@ def all_levels(counters, feed):
     })
     passed = prepared.groupingSets([[F.col(k) for k in keys] for keys in levels.values()],
                                    *[F.col(c) for c in columns]).agg(
-        F.grouping_id().alias("_set"), *_named(_level_sums(feed)))
+        F.grouping_id().alias("_set"), *_named(_level_sums(feed, dict(counters.dtypes))))
     level = None
     for name, keys in levels.items():
         set_id = sum(1 << (len(columns) - 1 - i) for i, c in enumerate(columns) if c not in keys)
@@ -220,7 +235,7 @@ def all_levels(counters, feed):
     labelled = passed.withColumn("level", level).withColumn(
         "lane", F.coalesce("lane", "exact_lane") if "exact_lane" in columns else F.col("lane"))
     # Detail rows without a direction belong to no table.
-    sums = list(_level_sums(feed))
+    sums = list(_level_sums(feed, dict(counters.dtypes)))
     dims = [c for c in columns if c not in ("lane", "exact_lane", "day")]
     return labelled.filter(F.col("lane").isNotNull()).select(
         "lane", *dims, *sums, "level", "day")
@@ -242,5 +257,5 @@ def serve(levels, name):
     if spec.feed == "hls" and spec.family == "legacy":
         counters = {shown_as: counter(m) for shown_as, m in _HLS_LEGACY.items()}
     else:
-        counters = {m: counter(m) for m in _sums(spec.feed, spec.family)}
+        counters = {m: counter(m) for m in _counters(spec.feed, spec.family)}
     return shown(rows.select(*keys, *_named(counters)))

@@ -1,4 +1,4 @@
-"""Upkeep of rollup tables: key checks, repair and removal of a day."""
+"""Upkeep of rollup tables: key checks and repair. Days are removed in ``streaming.served``."""
 
 from pyspark.sql import functions as F
 
@@ -8,6 +8,12 @@ def duplicate_keys(rows, keys):
     return rows.groupBy(*keys).agg(F.count("*").alias("n_rows")).filter("n_rows > 1")
 
 
+def key_counts(rows, keys):
+    """One row: how many rows and how many different keys a table has."""
+    per_key = rows.groupBy(*keys).agg(F.count("*").alias("n"))
+    return per_key.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n_rows"), F.count("*").alias("n_keys"))
+
+
 def drop_duplicates(rows, keys, order_by):
     """One row per key: the first by ``order_by``, ties broken by the other columns.
 
@@ -19,9 +25,3 @@ def drop_duplicates(rows, keys, order_by):
     return rows.groupBy(*keys).agg(F.min(F.struct(*ranked)).alias("first")).select(
         *[F.col(c) if c in keys else F.col(f"first.{c}").alias(c) for c in rows.columns])
 
-
-def without_day(rows, time_column, day, hourly=False):
-    """All rows but those of one day; hour keys run from ``day`` 00 to 24."""
-    time = F.col(time_column)
-    hit = time.between(day * 100, day * 100 + 24) if hourly else time == day
-    return rows.filter(~F.coalesce(hit, F.lit(False)))

@@ -16,24 +16,23 @@ FRAME = (
 # Fractional fields and counters are decimals, so that a total does not depend
 # on the order in which partial sums meet. Twelve places keep what a double
 # tells about a percentage. Readers see doubles.
-FRACTION_TYPE = "decimal(18,12)"
+FRACTION_TYPE = "decimal(30,12)"
 FRACTION_SUM_TYPE = "decimal(38,12)"
+# Sums of counters that carry values of the records: any number of bigints
+# adds up without an overflow. Readers see bigints.
+WIDE_SUM_TYPE = "decimal(38,0)"
 
 # Only the fields the accounting needs: the JSON reader skips all others.
-# Fields the feeds send both as text and as number are read as text.
-HLS_RECORD = {
-    "request_url": "string", "server_addr": "string", "remote_addr": "string",
-    "svr_type": "int", "http_stat": "int", "request_time": "string", "user": "string",
-    "body_bytes_sent": "bigint", "unix_time": "string",
-}
-RTMP_RECORD = {
-    "Cmd": "string", "EndTime": "string", "App": "string", "Stream": "string", "User": "string",
-    "SvrIp": "string", "SendByteSum": "bigint", "RecvByteSum": "bigint", "PublishTime": "bigint",
-    "PlayTime": "bigint", "PlayFluency": FRACTION_TYPE, "PlayFluencyIn60s": FRACTION_TYPE,
-    "EmptyNumbers": "bigint", "EmptyTime": "bigint", "MaxEmptyTime": "bigint",
-    "FirstBufferTime": "bigint", "EmptyNumbersIn60s": "bigint", "EmptyTimeIn60s": "bigint",
-    "Max60sFluency": FRACTION_TYPE, "Min60sFluency": FRACTION_TYPE,
-}
+# All are read as text: the feeds send numbers as text, whole or with a fraction.
+HLS_RECORD = dict.fromkeys([
+    "request_url", "server_addr", "remote_addr", "svr_type", "http_stat", "request_time", "user",
+    "body_bytes_sent", "unix_time",
+], "string")
+RTMP_RECORD = dict.fromkeys([
+    "Cmd", "EndTime", "App", "Stream", "User", "SvrIp", "SendByteSum", "RecvByteSum", "PublishTime",
+    "PlayTime", "PlayFluency", "PlayFluencyIn60s", "EmptyNumbers", "EmptyTime", "MaxEmptyTime",
+    "FirstBufferTime", "EmptyNumbersIn60s", "EmptyTimeIn60s", "Max60sFluency", "Min60sFluency",
+], "string")
 
 MQ_PAGE = "nextOffset bigint, list array<struct<body: string, offset: bigint>>"
 
@@ -57,15 +56,25 @@ FRACTIONAL = {
     "play_fluency", "play_fluency_in60s", "play_fluency_time", "max60s_fluency", "min60s_fluency",
 }
 
+WIDE = {
+    "flux", "request_time", "publish_time", "empty_numbers", "empty_time", "max_empty_time",
+    "first_buffer_time", "empty_numbers_in60s", "empty_time_in60s",
+}
+
 # Partial-sum tables as they lie on disk, partition columns last.
 _TYPES = {
     "svr_type": "int", "http_stat": "int", "timestamp_hour": "bigint",
     **{m: "bigint" for m in HLS_METRICS + RTMP_METRICS},
-    **{m: FRACTION_SUM_TYPE for m in FRACTIONAL},
+    **{m: FRACTION_SUM_TYPE for m in FRACTIONAL}, **{m: WIDE_SUM_TYPE for m in WIDE},
 }
 
 
+def kind_of(column):
+    """Type of a key or counter in partial sums."""
+    return _TYPES.get(column, "string")
+
+
 def partials_schema(dims, metrics):
     """Schema of a partial-sum table: keys, counters, then its partition columns."""
-    columns = [f"`{c}` {_TYPES.get(c, 'string')}" for c in [*dims, *metrics]]
+    columns = [f"`{c}` {kind_of(c)}" for c in [*dims, *metrics]]
     return ", ".join([*columns, "day int, run string, batch_id bigint"])

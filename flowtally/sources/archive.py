@@ -1,4 +1,10 @@
-"""Raw message archive: text lines below ``topic=<topic>/day=<yyyyMMdd>``."""
+"""Raw message archive: text lines below ``run=/batch_id=/topic=/day=``.
+
+Batches and streams write the same layout. A batch owns its folder and replaces
+it as a whole, so a repeated batch changes nothing, whatever days it meets.
+"""
+
+import uuid
 
 from pyspark.sql import functions as F
 
@@ -6,6 +12,9 @@ from flowtally.functions import numbers, timekeys
 from flowtally.operators.decode import decode
 from flowtally.schemas import RTMP_TOPIC
 
+# Lines and the folders they lie in.
+LINES = "value string, run string, batch_id bigint, topic string, day int"
+
 _WHOLE_SECONDS = r"^ *[+]?[0-9]{1,11} *$"
 _FLOAT_SECONDS = r"^[0-9](\.[0-9]*)?[eE][+]?([0-9]|10)$|^[0-9]{1,11}\.[0-9]*$"
 
@@ -72,31 +81,45 @@ def _lines(frame, tz):
     return placed.select(F.translate("value", "\r\n", "  ").alias("value"), "topic", day)
 
 
-def write(frame, path, tz=timekeys.DEFAULT_TZ, gather=False):
-    """Append a batch of messages to the archive.
+def _folder(path, run, batch_id):
+    return f"{path}/run={run}/batch_id={batch_id}"
 
-    Tasks write their own rows without a shuffle: logs arrive nearly in time
-    order, so a task meets few days. ``gather=True`` regroups by topic and day
-    first, splitting large days, where the input is scattered.
+
+def write(frame, path, tz=timekeys.DEFAULT_TZ, gather=True, run=None, batch_id=0):
+    """Archive a batch of messages, replacing an earlier attempt at the same run and batch.
+
+    Lines are gathered by topic and day into few files; a large day is split.
+    ``gather=False`` lets tasks write their own rows without a shuffle, where
+    each of them meets few days. Without ``run`` the batch gets a name of its own.
     """
     lines = _lines(frame, tz)
     if gather:
         lines = lines.hint("rebalance", "topic", "day")
-    lines.write.mode("append").partitionBy("topic", "day").text(path)
+    (
+        lines.write.mode("overwrite").option("partitionOverwriteMode", "static")
+        .partitionBy("topic", "day").text(_folder(path, run or uuid.uuid4().hex, batch_id))
+    )
 
 
-def write_stream(frame, path, checkpoint, tz=timekeys.DEFAULT_TZ, **trigger):
-    """Archive a stream; the file sink commits each micro-batch once."""
+def write_stream(frame, path, checkpoint, run, rejects_path=None, tz=timekeys.DEFAULT_TZ, **trigger):
+    """Archive a stream in the layout of :func:`write`; unplaceable messages go to ``rejects_path``.
+
+    ``run`` names the life of one checkpoint, as batch numbers restart with a new one.
+    """
+    def store(batch, batch_id):
+        write(batch, path, tz, run=run, batch_id=batch_id)
+        if rejects_path is not None:
+            rejects(batch).write.mode("overwrite").parquet(_folder(rejects_path, run, batch_id))
+
     return (
-        _lines(frame, tz).writeStream.format("text").partitionBy("topic", "day")
-        .option("path", path).option("checkpointLocation", checkpoint)
+        frame.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint)
         .trigger(**(trigger or {"processingTime": "300 seconds"})).start()
     )
 
 
 def read(spark, path):
     """All archived lines with topic and day."""
-    return spark.read.schema("value string, topic string, day int").text(path)
+    return spark.read.schema(LINES).text(path)
 
 
 def replay(spark, path, topic, day):
@@ -109,12 +132,18 @@ def replay(spark, path, topic, day):
     )
 
 
-def replay_stream(spark, path, topic, day, max_files=None):
-    """One archived day of a topic as a stream of the common frame."""
-    reader = spark.readStream.format("text")
+def replay_stream(spark, path, topic, day, max_files=None, max_bytes=4 * 2**30):
+    """One archived day of a topic as a stream of the common frame, so much per micro-batch.
+
+    Only folders of that topic and day are listed; files of attempts that did
+    not end lie outside them.
+    """
+    reader = spark.readStream.schema(LINES).option("basePath", path)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    lines = reader.load(f"{path}/topic={topic}/day={day}")
+    else:
+        reader = reader.option("maxBytesPerTrigger", max_bytes)
+    lines = reader.text(f"{path}/run=*/batch_id=*/topic={topic}/day={day}")
     return lines.select(
         F.lit(topic).alias("key"), "value", F.lit(topic).alias("topic"),
         F.lit(None).cast("int").alias("partition"), F.lit(None).cast("bigint").alias("offset"),

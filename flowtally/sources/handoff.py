@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from flowtally.operators.decode import decode
 from flowtally.plans.base import COUNTERS, KEYS
-from flowtally.schemas import FRACTIONAL, FRACTION_SUM_TYPE
+from flowtally.schemas import FRACTIONAL, kind_of
 
 # How the request kind is written in a record.
 _KINDS = {"m3u8": "true", "ts": "false"}
@@ -36,7 +36,7 @@ def _record(feed):
     kinds = {"svr_type": "int", "http_stat": "int"}
     record = {name: kinds.get(name, "string") for name in KEYS[feed]}
     for name in COUNTERS[feed]:
-        record[name] = FRACTION_SUM_TYPE if name in FRACTIONAL else "bigint"
+        record[name] = kind_of(name)
     return record
 
 

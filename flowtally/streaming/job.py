@@ -16,6 +16,11 @@ from flowtally.sources import archive, kafka
 from flowtally.streaming import partials, served
 
 
+# Records per second and partition where nothing is said: a start on a backlog
+# then works through it in bounded micro-batches.
+DEFAULT_RATE = 10_000
+
+
 def arguments(argv=None):
     parser = argparse.ArgumentParser(prog="flowtally")
     commands = parser.add_subparsers(dest="command", required=True)
@@ -32,13 +37,18 @@ def arguments(argv=None):
         sub.add_argument("--run", required=True, help="name of this checkpoint's life")
         sub.add_argument("--brokers", required=True)
         sub.add_argument("--seconds", type=int, default=300, help="micro-batch interval")
-        sub.add_argument("--rate", type=int, help="records per second and topic partition")
-        sub.add_argument("--partitions", type=int, default=1, help="partitions per topic")
+        sub.add_argument("--rate", type=int, default=DEFAULT_RATE,
+                         help="most records per second and topic partition; 0 for no limit")
+        sub.add_argument("--partitions", action="append", default=[], metavar="TOPIC=N",
+                         help="partitions of a topic, 1 where not given; may be repeated")
+    serve = command("serve", "keep the served tables of a feed up to date")
+    serve.add_argument("--seconds", type=int, default=300, help="refresh interval")
     replay = command("replay", "account one archived day again, after a purge")
     replay.add_argument("--run", required=True, help="a name not used before")
+    replay.add_argument("--max-bytes", type=int, default=4 * 2**30, help="archive bytes per micro-batch")
     purge = command("purge", "remove one day from partial sums and rollups")
     refresh = command("refresh", "rebuild rollups of some days, or of all")
-    for sub in (replay, purge, refresh):
+    for sub in (serve, replay, purge, refresh):
         sub.add_argument("--feed", choices=sorted(KEYS), required=True)
     for sub in (replay, purge):
         sub.add_argument("--day", type=int, required=True, help="yyyyMMdd")
@@ -46,16 +56,22 @@ def arguments(argv=None):
     return parser.parse_args(argv)
 
 
+def limit_of(args, topics):
+    """Most records per micro-batch of a query that reads these topics, or None."""
+    if not args.rate:
+        return None
+    counts = {name: int(n) for name, _, n in (p.partition("=") for p in args.partitions)}
+    partitions = sum(counts.get(topic, 1) for topic in topics)
+    return kafka.offsets_per_trigger(args.rate, partitions, args.seconds)
+
+
 def main(argv=None, spark=None):
     args = arguments(argv)
     spark = spark or build_session(f"flowtally-{args.command}")
     if args.command in ("account", "archive"):
-        limit = None
-        if args.rate:
-            limit = kafka.offsets_per_trigger(args.rate, args.partitions, args.seconds)
-
         def open_frame(*topics):
-            return kafka.read_stream(spark, args.brokers, topics=topics, max_offsets=limit)
+            return kafka.read_stream(
+                spark, args.brokers, topics=topics, max_offsets=limit_of(args, topics))
 
         interval = {"processingTime": f"{args.seconds} seconds"}
         if args.command == "account":
@@ -63,13 +79,18 @@ def main(argv=None, spark=None):
         else:
             archive.write_stream(
                 open_frame(*partials.TOPICS.values()), f"{args.root}/archive",
-                f"{args.root}/checkpoints/{args.run}/archive", args.tz, **interval)
+                f"{args.root}/checkpoints/{args.run}/archive", args.run,
+                f"{args.root}/rejects/archive", args.tz, **interval)
         spark.streams.awaitAnyTermination()
         return
     sums, rollups = f"{args.root}/partials/{args.feed}", f"{args.root}/rollups/{args.feed}"
-    if args.command == "replay":
+    if args.command == "serve":
+        served.follow(spark, args.feed, sums, rollups, f"{args.root}/checkpoints/serve-{args.feed}",
+                      processingTime=f"{args.seconds} seconds").awaitTermination()
+    elif args.command == "replay":
         frame = archive.replay_stream(
-            spark, f"{args.root}/archive", partials.TOPICS[args.feed], args.day)
+            spark, f"{args.root}/archive", partials.TOPICS[args.feed], args.day,
+            max_bytes=args.max_bytes)
         partials.start_partials(
             frame, args.feed, sums, f"{args.root}/checkpoints/{args.run}/{args.feed}", args.run,
             f"{args.root}/rejects/{args.feed}", args.tz, availableNow=True).awaitTermination()

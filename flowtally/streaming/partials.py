@@ -1,7 +1,8 @@
 """Continuous accounting: micro-batches of messages into partial-sum tables.
 
-Each micro-batch writes its sums below ``day=/run=/batch_id=``. A retried batch
-has the same input and replaces its own files, so nothing is counted twice.
+Each micro-batch writes its sums below ``run=/batch_id=/day=`` and replaces all
+that an earlier attempt at the batch wrote, whatever its input or days were, so
+nothing is counted twice.
 There is no watermark and no state: a message of any age lands in the folder
 of its own day.
 """
@@ -19,27 +20,27 @@ TOPICS = {"hls": HLS_TOPIC, "rtmp": RTMP_TOPIC}
 PARTITIONS = ["day", "run", "batch_id"]
 
 
+def batch_folder(path, run, batch_id):
+    return f"{path}/run={run}/batch_id={batch_id}"
+
+
 def write_partials(sums, path, run, batch_id):
     """Write one batch of partial sums, replacing an earlier attempt at the same batch.
 
     The rebalance hint gathers each day into few files and splits a day that
     would be too large for one task.
     """
-    day = timekeys.day_of(F.col("timestamp_hour")).cast("int")
-    rows = sums.withColumns(
-        {"day": day, "run": F.lit(run), "batch_id": F.lit(batch_id).cast("bigint")})
+    rows = sums.withColumn("day", timekeys.day_of(F.col("timestamp_hour")).cast("int"))
+    # Static, whatever the session's mode: the whole folder of the batch is replaced.
     (
         rows.hint("rebalance", "day").write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic").partitionBy(*PARTITIONS).parquet(path)
+        .option("partitionOverwriteMode", "static").partitionBy("day")
+        .parquet(batch_folder(path, run, batch_id))
     )
 
 
 def write_rejects(rejects, path, run, batch_id):
-    rows = rejects.withColumns({"run": F.lit(run), "batch_id": F.lit(batch_id).cast("bigint")})
-    (
-        rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        .partitionBy("run", "batch_id").parquet(path)
-    )
+    rejects.write.mode("overwrite").parquet(batch_folder(path, run, batch_id))
 
 
 def account_batch(batch, batch_id, feed, path, run, rejects_path=None, tz=timekeys.DEFAULT_TZ):

@@ -1,11 +1,15 @@
-"""Served rollups on disk, below ``level=/day=``, rebuilt from partial sums by day."""
+"""Served rollups on disk, a folder per day, rebuilt from partial sums day by day.
+
+A day's file rows are sorted by level, so reading one table skips the row
+groups of the others.
+"""
 
 from pyspark.sql import functions as F
 
 from flowtally.plans.base import COUNTERS, KEYS
-from flowtally.plans.rollups import CATALOGUE, all_levels, levels_of, serve
+from flowtally.plans.rollups import CATALOGUE, all_levels, serve
 from flowtally.schemas import partials_schema
-from flowtally.streaming.partials import PARTITIONS, read_partials
+from flowtally.streaming.partials import PARTITIONS, batch_folder, read_partials
 
 
 def refresh(spark, feed, partials_path, rollups_path, days=None):
@@ -13,8 +17,8 @@ def refresh(spark, feed, partials_path, rollups_path, days=None):
 
     Totals are taken from all partial sums of a day, never added to a stored
     total, so a refresh can be repeated. ``days`` is a list of day keys, a
-    DataFrame with a column ``day``, or None for all days. A DataFrame is
-    joined, so that touched days never pass through the driver. A day whose
+    DataFrame with a column ``day``, or None for all days. A day is replaced as
+    a whole: a level without rows any more keeps none. A day whose
     partial sums are gone keeps its rollups until :func:`purge_rollups`.
     """
     partials = read_partials(spark, partials_path, feed)
@@ -27,10 +31,31 @@ def refresh(spark, feed, partials_path, rollups_path, days=None):
             touched = days.filter(F.col("day") >= 0).select("day").distinct()
             partials = partials.join(F.broadcast(touched), "day", "left_semi")
     levels = all_levels(partials.drop(*PARTITIONS), feed)
+    # The day is the folder to be replaced; its levels lie inside.
     (
-        levels.hint("rebalance", "level", "day").write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic").partitionBy("level", "day")
-        .parquet(rollups_path)
+        levels.hint("rebalance", "day").sortWithinPartitions("level").write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic").partitionBy("day").parquet(rollups_path)
+    )
+
+
+def follow(spark, feed, partials_path, rollups_path, checkpoint, **trigger):
+    """Keep served tables up to date: a query that refreshes the days of new partial sums.
+
+    Its checkpoint remembers how far it got. A day's totals are recomputed, so a
+    micro-batch that is run again changes nothing. The default trigger is every
+    300 seconds.
+    """
+    sums = spark.readStream.schema(partials_schema(KEYS[feed], COUNTERS[feed])).parquet(partials_path)
+
+    def fold(batch, _):
+        # As many rows as days at most; they only pick the folders to be read.
+        days = [row["day"] for row in batch.select("day").distinct().collect()]
+        if days:
+            refresh(spark, feed, partials_path, rollups_path, days)
+
+    return (
+        sums.writeStream.foreachBatch(fold).option("checkpointLocation", checkpoint)
+        .trigger(**(trigger or {"processingTime": "300 seconds"})).start()
     )
 
 
@@ -42,7 +67,7 @@ def touched_days(spark, partials_path, feed, run, batch_ids):
 
 
 def table(spark, rollups_path, name, days=None):
-    """One served table; only the folders of its level, and of ``days`` if given, are read."""
+    """One served table; only the folders of ``days``, if given, and row groups of its level are read."""
     stored = _stored(spark, rollups_path, CATALOGUE[name].feed)
     if days is not None:
         stored = stored.filter(F.col("day").isin(*days))
@@ -61,16 +86,16 @@ def _stored(spark, rollups_path, feed):
 
 def purge_partials(spark, feed, partials_path, day):
     """Remove the partial sums of one day. Stop writers of that day first."""
-    empty = spark.createDataFrame([], partials_schema(KEYS[feed], COUNTERS[feed])).drop("day")
-    # Static, whatever the session's mode: the whole day folder has to go.
-    (
-        empty.write.mode("overwrite").option("partitionOverwriteMode", "static")
-        .partitionBy("run", "batch_id").parquet(f"{partials_path}/day={day}")
-    )
+    columns = partials_schema(KEYS[feed], COUNTERS[feed])
+    empty = spark.createDataFrame([], columns).drop(*PARTITIONS)
+    batches = read_partials(spark, partials_path, feed).filter(F.col("day") == day)
+    # One row per batch that wrote to the day: its folders are what is to be emptied.
+    for run, batch_id in batches.select("run", "batch_id").distinct().toLocalIterator():
+        empty.write.mode("overwrite").parquet(
+            f"{batch_folder(partials_path, run, batch_id)}/day={day}")
 
 
 def purge_rollups(spark, feed, rollups_path, day):
     """Remove one day from every rollup of a feed."""
-    empty = spark.createDataFrame([], _levels_schema(spark, feed)).drop("level", "day")
-    for level in levels_of(feed):
-        empty.write.mode("overwrite").parquet(f"{rollups_path}/level={level}/day={day}")
+    empty = spark.createDataFrame([], _levels_schema(spark, feed)).drop("day")
+    empty.write.mode("overwrite").parquet(f"{rollups_path}/day={day}")

@@ -15,19 +15,15 @@ _EPOCH = """unix_date(cast(ts as date)) * 86400L + hour(ts) * 3600 + minute(ts)
 
 
 def events(spark, sf_dir):
-    """The event table; a scan of fewer tasks than cores is spread, a large one never."""
-    rows = spark.read.parquet(f"{sf_dir}/events.parquet")
-    cores = spark.sparkContext.defaultParallelism
-    if rows.rdd.getNumPartitions() < cores:
-        rows = rows.repartition(cores, "event_id")
-    return rows
+    """The event table."""
+    return spark.read.parquet(f"{sf_dir}/events.parquet")
 
 
 def event_stream(spark, sf_dir):
     """The event table as a stream of its files, at most a tebibyte per micro-batch."""
-    path = f"{sf_dir}/events.parquet"
-    reader = spark.readStream.schema(spark.read.parquet(path).schema)
-    return reader.option("maxBytesPerTrigger", 2**40).parquet(f"{path}*")
+    reader = spark.readStream.schema(spark.read.parquet(f"{sf_dir}/events.parquet").schema)
+    # The file source takes folders or patterns; this pattern matches the one name only.
+    return reader.option("maxBytesPerTrigger", 2**40).parquet(f"{sf_dir}/events.parque[t]")
 
 
 def _message(topic, value):
@@ -119,6 +115,42 @@ def damaged_messages(rows):
     ))
 
 
+def wide_hls_messages(rows):
+    """The access log with large byte counts and numbers in other spellings."""
+    n, value = F.col("offset"), F.col("value")
+    size = F.concat(F.lit('"body_bytes_sent":'), (n * 10**12).cast("string"), F.lit(".0"))
+    return hls_messages(rows).withColumn("value", (
+        F.when(n % 3 == 0, F.regexp_replace(value, '"body_bytes_sent":[0-9]+', size))
+        .when(n % 3 == 1, F.regexp_replace(value, '"http_stat":([0-9]+)', '"http_stat":"$1"'))
+        .otherwise(F.regexp_replace(value, '"request_time":"[0-9.]+"', '"request_time":"1e3"'))
+    ))
+
+
+def wide_rtmp_messages(rows):
+    """Session reports of terabytes, fluency beyond a million, numbers as text."""
+    n, value = F.col("offset"), F.col("value")
+    size = F.concat(F.lit('"SendByteSum":'), (n * 10**12).cast("string"))
+    return rtmp_messages(rows).withColumn("value", (
+        F.when(n % 3 == 0, F.regexp_replace(value, '"SendByteSum":[0-9]+', size))
+        .when(n % 3 == 1, F.regexp_replace(value, '"PlayFluency":([0-9]+)', '"PlayFluency":"$1000000"'))
+        .otherwise(F.regexp_replace(value, '"PublishTime":([0-9]+)', '"PublishTime":$1.0'))
+    ))
+
+
+def damaged_reports(rows):
+    """Session reports cut, followed by text, breaking out of an array, without a field."""
+    n, value = F.col("offset"), F.col("value")
+    return rtmp_messages(rows).withColumn("value", (
+        F.when(n % 17 == 0, F.substring(value, 1, 40))
+        .when(n % 19 == 0, F.concat(value, F.lit(" trailing")))
+        .when(n % 23 == 0, F.concat(value, F.lit('],"y":[1')))
+        .when(n % 29 == 0, F.regexp_replace(value, '"Cmd":"[a-z]+",', ""))
+        .when(n % 31 == 0, F.regexp_replace(value, '"EndTime":[0-9]+', '"EndTime":"soon"'))
+        .when(n % 37 == 0, F.regexp_replace(value, '"PlayTime":[0-9]+', '"PlayTime":"long"'))
+        .otherwise(value)
+    ))
+
+
 def mq_pages(rows):
     """Queue pages as JSON text, fifty events to a page."""
     body = (

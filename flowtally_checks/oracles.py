@@ -266,6 +266,20 @@ asof left join (select (cast(n_nationkey as bigint)+1)*161061273-1 as ip_end, n_
  from nation) r on e.ip <= r.ip_end
 """
 
+# The same records with other values: what the derivations make of them.
+_WIDE_HLS = _HLS.replace("hls as (", "plain as (") + """, changed as (
+ select * replace (
+  case when event_id%3=0 then cast(event_id as bigint)*1000000000000 else body_bytes_sent end as body_bytes_sent,
+  case when event_id%3=2 then 1000000 else request_time end as request_time) from typed
+)""" + ", " + _HLS.split("hls as (", 1)[1].join(["wide as (", ""]).replace("from typed", "from changed")
+_WIDE_RTMP = _RTMP + """, wide as (
+ select * replace (
+  case when "offset"%3=0 and cmd='play' then cast("offset" as bigint)*1000000000000 else flux end as flux,
+  cast(play_fluency as decimal(30,8))*(case when "offset"%3=1 then 1000000 else 1 end) as play_fluency,
+  cast(play_fluency_time as decimal(30,8))*(case when "offset"%3=1 then 1000000 else 1 end) as play_fluency_time)
+ from rtmp
+)"""
+
 ORACLES = {
     "route_topics": """
 select topic, cast(event_id%3 as integer) as "partition", count(*) as n_messages,
@@ -303,6 +317,35 @@ from events, (values ('nodeHls'),('RtmpFluence')) t(topic) group by 1, 2
     "handoff_rtmp": _served()["rtmp_down"],
     "fold_hls": _HLS_BASE,
     "fold_rtmp": _RTMP_BASE,
+    "hls_wide_values": f"""with {_WIDE_HLS} """ + _group(
+        "wide", {**_DAY, **_same("app")}, _quality_sums(), _DOWN),
+    "rtmp_wide_values": f"""with {_WIDE_RTMP} """ + _group(
+        "wide", {**_DAY, **_same("app")}, _rtmp_sums(), _PLAY),
+    "json_quarantine_rtmp": """
+select event_id as "offset",
+ case when event_id%17=0 or event_id%19=0 or event_id%23=0 then 'malformed_json'
+  when event_id%29=0 then 'missing_field' when event_id%31=0 then 'bad_end_time'
+  when event_id%37=0 then 'bad_metric' else 'accepted' end as verdict
+from events
+""",
+    "archive_stream_by_day": """
+select topic, cast(strftime(ts + interval 8 hour, '%Y%m%d') as bigint) as day,
+ count(*) as n_messages
+from events, (values ('nodeHls'),('RtmpFluence')) t(topic) group by 1, 2
+""",
+    "replay_streamed_day": _hls(_group("hls", _same(*_HLS_DIMS), _hls_sums(), "day=20240115")),
+    "stream_rewritten_batch": _HLS_BASE,
+    "serve_hls": _served()["hls_down_app_stream"],
+    "serve_rtmp": _served()["rtmp_down_app"],
+    "mq_next_position": """
+select cast(event_id%3 as integer) as "partition", max(event_id)+1 as "nextOffset"
+from events group by event_id%3
+""",
+    "partition_progress_rtmp": f"""
+with {_OFFSETS} select part as "partition", committed, min(event_id) as "offset",
+ arg_min(cast(strftime(ts + interval 8 hour, '%Y%m%d') as bigint), event_id) as day
+from events join offsets on event_id%9=part where event_id>=committed group by part, committed
+""",
     "partition_lag": f"""
 with {_OFFSETS} select part as "partition", start_offset as "startOffset",
  last_offset as "lastOffset", greatest(committed,start_offset) as "offset",
@@ -325,14 +368,15 @@ with {_HLS}, {_UNFOLDED} select cast(part as integer) as "partition", day as "ti
  first_offset, flux, counts
 from unfolded qualify row_number() over (partition by day, "user" order by first_offset)=1
 """,
-    "purge_day": _hls("""
-select 'hls_down_user' as name, day as "timestamp", "user", cast(sum(flux) as bigint) as flux
- from hls where svr_type=0 and day<>20240115 group by day, "user"
-union all select 'hls_down_user_hour', timestamp_hour, "user", cast(sum(flux) as bigint)
- from hls where svr_type=0 and day<>20240115 group by timestamp_hour, "user"
-union all select 'hls_user_data', day, "user", cast(sum(flux) as bigint)
- from hls where svr_type=0 and day<>20240115 group by day, "user"
-"""),
+    "purge_day": " union all ".join(
+        f"""select '{name}' as name, "{time}" as "timestamp", count(*) as n_rows,
+ cast(sum("{flux}") as bigint) as flux from ({sql}) where cast("{time}" as varchar) not like '20240115%'
+ group by "{time}" """
+        for name, sql in _served().items()
+        for time, flux in [("updateTime", "sizeSum") if "updateTime" in sql else ("timestamp", "flux")]),
+    "stored_key_check": " union all ".join(
+        f"select '{name}' as name, count(*) as n_rows, count(*) as n_keys from ({sql})"
+        for name, sql in _served().items()),
     "hls_valid_filter": """
 select event_id as "offset",
  case when event_id%12<5 then concat('GET /app',cast(user_id%7 as varchar),'/s',cast(event_id%11 as varchar),'__redirect__',cast(event_id as varchar),'.m3u8 HTTP/1.1')

@@ -1,5 +1,8 @@
 """Every registered query: (session, data folder) -> DataFrame over whole tables."""
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from flowtally_checks import feeds
@@ -77,7 +80,7 @@ def replay_day(spark, sf_dir):
     # The replayed lines arrive encoded once more, as the old replay tool sent them.
     encoded = frame.withColumn("value", F.regexp_extract(
         F.to_json(F.array("value")), r"^\[(.*)\]$", 1))
-    return base.base(hls.requests(decode.unwrap_double_encoded(encoded)), "hls")
+    return base.shown(base.base(hls.requests(decode.unwrap_double_encoded(encoded)), "hls"))
 
 
 def _stream_partials(spark, sf_dir, feed):
@@ -130,6 +133,90 @@ def fold_rtmp(spark, sf_dir):
     return _fold(spark, sf_dir, "rtmp")
 
 
+# --- values, retries and serving --------------------------------------------
+
+
+def hls_wide_values(spark, sf_dir):
+    """Byte counts of terabytes, numbers as text or with a fraction, times with an exponent."""
+    messages = feeds.wide_hls_messages(feeds.events(spark, sf_dir))
+    return rollups.rollup(hls.requests(messages), "hls_down_a")
+
+
+def rtmp_wide_values(spark, sf_dir):
+    messages = feeds.wide_rtmp_messages(feeds.events(spark, sf_dir))
+    return rollups.rollup(rtmp.sessions(messages), "rtmp_down_app")
+
+
+def json_quarantine_rtmp(spark, sf_dir):
+    decoded = rtmp.read(feeds.damaged_reports(feeds.events(spark, sf_dir)))
+    good = rtmp.accept(decoded).select("offset", F.lit("accepted").alias("verdict"))
+    return good.unionByName(rtmp.rejects(decoded).select("offset", F.col("reject").alias("verdict")))
+
+
+def _archive_stream(spark, sf_dir):
+    folder = work_dir(spark, "archive-stream")
+    archive.write_stream(
+        feeds.mixed_messages(feeds.event_stream(spark, sf_dir)), f"{folder}/archive", f"{folder}/checkpoint",
+        "first", f"{folder}/rejects", availableNow=True).awaitTermination()
+    return f"{folder}/archive"
+
+
+def archive_stream_by_day(spark, sf_dir):
+    lines = archive.read(spark, _archive_stream(spark, sf_dir))
+    return lines.groupBy("topic", F.col("day").cast("bigint").alias("day")).agg(
+        F.count("*").alias("n_messages"))
+
+
+def replay_streamed_day(spark, sf_dir):
+    frame = archive.replay(spark, _archive_stream(spark, sf_dir), HLS_TOPIC, DAY)
+    return base.shown(base.base(hls.requests(frame), "hls"))
+
+
+def _two_batches(spark, sf_dir, feed, path):
+    """Partial sums of all events in two batches; the first attempt at the second had other input."""
+    messages = _mixed(spark, sf_dir)
+    even, odd = messages.where("offset % 2 = 0"), messages.where("offset % 2 = 1")
+    partials.account_batch(even, 0, feed, path, "first")
+    yield
+    partials.account_batch(messages, 1, feed, path, "first")
+    partials.account_batch(odd, 1, feed, path, "first")
+    yield
+
+
+def stream_rewritten_batch(spark, sf_dir):
+    path = f"{work_dir(spark, 'rewritten')}/partials"
+    for _ in _two_batches(spark, sf_dir, "hls", path):
+        pass
+    return base.shown(base.fold(partials.read_partials(spark, path, "hls"), "hls"))
+
+
+def _serve(spark, sf_dir, feed, name):
+    """A served table kept up by a job that is started anew after each batch."""
+    folder = work_dir(spark, f"serve-{feed}")
+    for _ in _two_batches(spark, sf_dir, feed, f"{folder}/partials"):
+        served.follow(spark, feed, f"{folder}/partials", f"{folder}/rollups", f"{folder}/checkpoint",
+                      availableNow=True).awaitTermination()
+    return served.table(spark, f"{folder}/rollups", name)
+
+
+def serve_hls(spark, sf_dir):
+    return _serve(spark, sf_dir, "hls", "hls_down_app_stream")
+
+
+def serve_rtmp(spark, sf_dir):
+    return _serve(spark, sf_dir, "rtmp", "rtmp_down_app")
+
+
+def mq_next_position(spark, sf_dir):
+    return mq.next_positions(feeds.mq_pages(feeds.events(spark, sf_dir)))
+
+
+def partition_progress_rtmp(spark, sf_dir):
+    rows = feeds.events(spark, sf_dir)
+    messages = feeds.rtmp_messages(rows).withColumn("partition", (F.col("offset") % 9).cast("int"))
+    return progress.reached_day(messages, feeds.mq_offsets(rows))
+
+
 # --- upkeep and progress ----------------------------------------------------
 
 
@@ -160,21 +247,42 @@ def rollup_dedup(spark, sf_dir):
     return upkeep.drop_duplicates(_unfolded(spark, sf_dir), ["timestamp", "user"], "first_offset")
 
 
+def _stored(spark, sf_dir):
+    """Folder with partial sums and served tables of both feeds."""
+    folder = work_dir(spark, "stored")
+    messages = _mixed(spark, sf_dir)
+    for feed in ("hls", "rtmp"):
+        partials.account_batch(messages, 0, feed, f"{folder}/partials/{feed}", "first")
+        served.refresh(spark, feed, f"{folder}/partials/{feed}", f"{folder}/rollups/{feed}")
+    return folder
+
+
+def _tables(spark, folder):
+    for name, spec in rollups.CATALOGUE.items():
+        yield name, served.table(spark, f"{folder}/rollups/{spec.feed}", name)
+
+
+def stored_key_check(spark, sf_dir):
+    """Rows and different keys of every stored table; both are equal where no key repeats."""
+    checks = [
+        upkeep.key_counts(table, rollups.keys_of(name)).select(F.lit(name).alias("name"), "n_rows", "n_keys")
+        for name, table in _tables(spark, _stored(spark, sf_dir))]
+    return reduce(DataFrame.unionByName, checks)
+
+
 def purge_day(spark, sf_dir):
-    counters = _requests(spark, sf_dir)
-    by_day = upkeep.without_day(rollups.rollup(counters, "hls_down_user"), "timestamp", DAY)
-    by_hour = upkeep.without_day(
-        rollups.rollup(counters, "hls_down_user_hour"), "timestamp", DAY, hourly=True)
-    legacy = upkeep.without_day(
-        rollups.rollup(counters, "hls_user_data"), "updateTime", DAY)
-    return (
-        by_day.select(F.lit("hls_down_user").alias("name"), "timestamp", "user", "flux")
-        .unionByName(by_hour.select(
-            F.lit("hls_down_user_hour").alias("name"), "timestamp", "user", "flux"))
-        .unionByName(legacy.select(
-            F.lit("hls_user_data").alias("name"), F.col("updateTime").alias("timestamp"), "user",
-            F.col("sizeSum").alias("flux")))
-    )
+    """Rows and traffic by time of every stored table, after a day was purged and the rest rebuilt."""
+    folder = _stored(spark, sf_dir)
+    for feed in ("hls", "rtmp"):
+        served.purge_partials(spark, feed, f"{folder}/partials/{feed}", DAY)
+        served.purge_rollups(spark, feed, f"{folder}/rollups/{feed}", DAY)
+        served.refresh(spark, feed, f"{folder}/partials/{feed}", f"{folder}/rollups/{feed}")
+    left = []
+    for name, table in _tables(spark, folder):
+        time, flux = ("updateTime", "sizeSum") if "updateTime" in table.columns else ("timestamp", "flux")
+        left.append(table.groupBy(F.col(time).alias("timestamp")).agg(
+            F.count("*").alias("n_rows"), F.sum(flux).alias("flux")).select(F.lit(name).alias("name"), "*"))
+    return reduce(DataFrame.unionByName, left)
 
 
 # --- derivations ------------------------------------------------------------
@@ -202,7 +310,7 @@ def hls_time_keys(spark, sf_dir):
 
 
 def hls_base(spark, sf_dir):
-    return base.base(_requests(spark, sf_dir), "hls")
+    return base.shown(base.base(_requests(spark, sf_dir), "hls"))
 
 
 def rtmp_derive(spark, sf_dir):
@@ -218,7 +326,7 @@ def rtmp_base(spark, sf_dir):
 
 
 def _cascade_query(name):
-    return lambda spark, sf_dir: cascade.rekey(_requests(spark, sf_dir), name)
+    return lambda spark, sf_dir: base.shown(cascade.rekey(_requests(spark, sf_dir), name))
 
 
 def _rollup_query(name):
@@ -227,7 +335,7 @@ def _rollup_query(name):
 
 
 def hls_all_levels(spark, sf_dir):
-    return rollups.all_levels(base.base(_requests(spark, sf_dir), "hls"), "hls")
+    return base.shown(rollups.all_levels(base.base(_requests(spark, sf_dir), "hls"), "hls"))
 
 
 def rtmp_all_levels(spark, sf_dir):
@@ -274,10 +382,21 @@ QUERIES = {
     "handoff_rtmp": handoff_rtmp,
     "fold_hls": fold_hls,
     "fold_rtmp": fold_rtmp,
+    "hls_wide_values": hls_wide_values,
+    "rtmp_wide_values": rtmp_wide_values,
+    "json_quarantine_rtmp": json_quarantine_rtmp,
+    "archive_stream_by_day": archive_stream_by_day,
+    "replay_streamed_day": replay_streamed_day,
+    "stream_rewritten_batch": stream_rewritten_batch,
+    "serve_hls": serve_hls,
+    "serve_rtmp": serve_rtmp,
+    "mq_next_position": mq_next_position,
+    "partition_progress_rtmp": partition_progress_rtmp,
     "partition_lag": partition_lag,
     "partition_progress": partition_progress,
     "rollup_unique_check": rollup_unique_check,
     "rollup_dedup": rollup_dedup,
+    "stored_key_check": stored_key_check,
     "purge_day": purge_day,
     "hls_valid_filter": hls_valid_filter,
     "hls_url_parse": hls_url_parse,

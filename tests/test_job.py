@@ -50,6 +50,19 @@ def test_account_reads_each_topic_from_kafka(spark, folder, monkeypatch):
     monkeypatch.setattr(partials, "start_partials", lambda *args, **kwargs: args[1])
     monkeypatch.setattr(type(spark.streams), "awaitAnyTermination", lambda self: None)
     job.main(["account", "--root", folder("r"), "--run", "a", "--brokers", "b:1", "--rate", "10",
-              "--partitions", "3"], spark)
-    assert opened == [("b:1", {"topics": (t,), "max_offsets": 9000})
-                      for t in (HLS_TOPIC, RTMP_TOPIC)]
+              "--partitions", f"{HLS_TOPIC}=3"], spark)
+    assert opened == [("b:1", {"topics": (HLS_TOPIC,), "max_offsets": 9000}),
+                      ("b:1", {"topics": (RTMP_TOPIC,), "max_offsets": 3000})]
+
+
+def test_limits_of_all_jobs():
+    def limits(*argv, topics):
+        return job.limit_of(job.arguments(["archive", "--root", "r", "--run", "a", "--brokers", "b", *argv]), topics)
+
+    both = (HLS_TOPIC, RTMP_TOPIC)
+    split = ["--partitions", f"{HLS_TOPIC}=3", "--partitions", f"{RTMP_TOPIC}=1"]
+    assert limits("--rate", "10", *split, topics=both) == 12_000
+    assert limits(*split, topics=both) == 4 * 300 * job.DEFAULT_RATE
+    assert limits("--rate", "0", topics=both) is None
+    replay = job.arguments(["replay", "--root", "r", "--run", "a", "--feed", "hls", "--day", "20240101"])
+    assert replay.max_bytes == 4 * 2**30

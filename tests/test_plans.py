@@ -101,16 +101,6 @@ def test_duplicate_keys_and_repair(spark):
         (1, "a", 1, 10), (1, None, 1, 7), (2, "a", 1, 5)}
 
 
-def test_without_day(spark):
-    days = spark.createDataFrame([(20161120,), (20161121,), (20161122,), (None,)], "t bigint")
-    assert {r[0] for r in upkeep.without_day(days, "t", 20161121).collect()} == {
-        20161120, 20161122, None}
-    hours = spark.createDataFrame(
-        [(2016112023,), (2016112100,), (2016112123,), (2016112124,), (2016112200,)], "t bigint")
-    assert {r[0] for r in upkeep.without_day(hours, "t", 20161121, hourly=True).collect()} == {
-        2016112023, 2016112200}
-
-
 def test_lag(spark):
     offsets = spark.createDataFrame([(0, 10, 5, 100), (1, 10, 40, 40), (2, 0, 7, 9)],
                                     "partition int, startOffset bigint, offset bigint, lastOffset bigint")

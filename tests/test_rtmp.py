@@ -49,18 +49,32 @@ def test_rejects(frame):
         return {k: v for k, v in SESSION.items() if k != name}
     records = [
         SESSION, without("Cmd"), without("SendByteSum"), without("Min60sFluency"),
-        {**SESSION, "EndTime": "soon"}, {**SESSION, "PlayFluency": 1e9}, "{", {},
-        {**SESSION, "PublishTime": "1"}, {**SESSION, "EmptyTime": 10**15},
+        {**SESSION, "EndTime": "soon"}, {**SESSION, "PlayFluency": "fine"}, "{", {},
+        {**SESSION, "PublishTime": "x"}, {**SESSION, "EmptyTime": 10**20},
     ]
     decoded = rtmp.read(frame(RTMP_TOPIC, records))
     assert {r["offset"]: r["reject"] for r in rtmp.rejects(decoded).collect()} == {
         1: "missing_field", 2: "missing_field", 3: "missing_field", 4: "bad_end_time",
-        5: "malformed_json", 6: "malformed_json", 7: "missing_field", 8: "malformed_json",
+        5: "bad_metric", 6: "malformed_json", 7: "missing_field", 8: "bad_metric",
         9: "bad_metric",
     }
     assert [r["offset"] for r in rtmp.accept(decoded).collect()] == [0]
 
 
+def test_large_and_differently_spelt_values_count(frame):
+    records = [
+        {**SESSION, "SendByteSum": 12 * 10**11}, {**SESSION, "PlayFluency": 1_000_000, "PlayTime": "164089.0"},
+        {**SESSION, "PublishTime": 164089.0, "EmptyTime": "35"}, {**SESSION, "SendByteSum": 2**62},
+        {**SESSION, "SendByteSum": 2**62}, {**SESSION, "Min60sFluency": "97.25"},
+    ]
+    rows = rtmp.derive(rtmp.accept(rtmp.read(frame(RTMP_TOPIC, records)))).orderBy("offset").collect()
+    assert [r["flux"] for r in rows[:1]] == [12 * 10**11] and len(rows) == 6
+    assert float(rows[1]["play_fluency_time"]) == 164089 * 10**6
+    assert (rows[2]["publish_time"], rows[2]["empty_time"]) == (164089, 35)
+    total = base(rtmp.sessions(frame(RTMP_TOPIC, records)), "rtmp").agg({"flux": "sum"}).first()[0]
+    assert total == 12 * 10**11 + 2 * 2**62 + 3 * SESSION["SendByteSum"]
+
+
 def test_fractions_add_up_exactly(frame):
     records = [{**SESSION, "Min60sFluency": 0.1}] * 10
     row = shown(base(rtmp.sessions(frame(RTMP_TOPIC, records)), "rtmp")).collect()[0]

@@ -21,7 +21,7 @@ def test_decode(frame):
     cases = {
         '{"http_stat": 200}': False, "{}": False, '{"http_stat": null}': False,
         '{"http_stat": 200, "http_stat": 404}': False, ' {"a": [1, {"b": 2}]} ': False,
-        '{"http_stat": "200"}': True, '{"http_stat": 200} tail': True, "{}{}": True,
+        '{"http_stat": "200"}': False, '{"http_stat": 200} tail': True, "{}{}": True,
         "{},{}": True, "": True, "  ": True, None: True, "null": True, "[1]": True,
         "[{}]": True, "12": True, '{"http_stat": 2': True, "{'http_stat': 200}": True,
     }
@@ -37,14 +37,20 @@ def test_pages(spark):
         (0, page('{"b": 1, "a": "x"}', '{\\"k\\": [1, 2]}', "junk", '{"a": 1} tail')),
         (1, page()), (2, "no page"), (3, json.dumps({"nextOffset": 3})),
         (4, json.dumps({"list": [{"offset": 7}]})), (5, page("12", '{"a":1,"a":2}')),
+        (6, page("1],[2", '{"x": 1.0, "a":  [1e3, 12345678901234567890123456789012345678901]}')),
     ]
     messages = mq.explode_pages(spark.createDataFrame(pages, "partition int, value string"))
     good, bad = mq.split_normalised(mq.normalise(messages))
     assert {(r["partition"], r["offset"], r["value"]) for r in good.collect()} == {
-        (0, 10, '{"a":"x","b":1}'), (0, 11, '{"k":[1,2]}'), (5, 10, "12"), (5, 11, '{"a":2}')}
+        (0, 10, '{"a":"x","b":1}'), (0, 11, '{"k":[1,2]}'), (5, 10, "12"), (5, 11, '{"a":2}'),
+        (6, 11, '{"x":1.0,"a":[1e3,12345678901234567890123456789012345678901]}')}
     assert {(r["partition"], r["offset"], r["reject"]) for r in bad.collect()} == {
-        (0, 12, "malformed_json"), (0, 13, "malformed_json"), (1, None, "bad_page"),
-        (2, None, "bad_page"), (3, None, "bad_page"), (4, 7, "malformed_json")}
+        (0, 12, "malformed_json"), (0, 13, "malformed_json"), (2, None, "bad_page"),
+        (3, None, "bad_page"), (4, 7, "malformed_json"), (6, 10, "malformed_json")}
+    assert {r["body"] for r in bad.collect() if r["offset"] is None} == {"no page", '{"nextOffset": 3}'}
+    positions = mq.next_positions(spark.createDataFrame(pages, "partition int, value string"))
+    assert {r["partition"]: r["nextOffset"] for r in positions.collect()} == {
+        0: 99, 1: 99, 2: None, 3: 3, 4: None, 5: 99, 6: 99}
     assert mq.as_frame(good, HLS_TOPIC).columns == [
         "key", "value", "topic", "partition", "offset", "timestamp"]
 
@@ -83,7 +89,8 @@ def test_archive_round_trip(spark, frame, folder):
 
 def test_replay_of_double_encoded_lines(frame):
     wrapped = json.dumps(json.dumps(SEGMENT))
-    unwrapped = decode.unwrap_double_encoded(frame(HLS_TOPIC, [wrapped, json.dumps(SEGMENT)]))
+    unwrapped = decode.unwrap_double_encoded(
+        frame(HLS_TOPIC, [wrapped, json.dumps(SEGMENT), wrapped + ',"x"', wrapped + '],["x"']))
     assert hls.requests(unwrapped).count() == 2
 
 

@@ -155,13 +155,59 @@ def test_purge_and_backfill_of_a_day(spark, frame, folder):
 def test_archive_stream_and_replay_stream(spark, inbox, folder):
     inbox([(HLS_TOPIC, SEGMENT), (HLS_TOPIC, LATE)])
     inbox([(HLS_TOPIC, PLAYLIST), (RTMP_TOPIC, SESSION)])
-    archive.write_stream(_stream(spark, inbox), folder("archive"), folder("checkpoint"),
-                         availableNow=True).awaitTermination()
+    for _ in range(2):
+        archive.write_stream(_stream(spark, inbox), folder("archive"), folder("checkpoint"), "first",
+                             folder("unplaced"), availableNow=True).awaitTermination()
+        inbox([(HLS_TOPIC, '{"unix_time": "never"}'), (HLS_TOPIC, LATE)])
+    archive.write(_messages(spark, [PLAYLIST]), folder("archive"))
+    for _ in range(2):
+        archive.write(_messages(spark, [SEGMENT]), folder("archive"), run="again", batch_id=3)
+    assert archive.replay(spark, folder("archive"), HLS_TOPIC, 20231115).count() == 4
     again = archive.replay_stream(spark, folder("archive"), HLS_TOPIC, 20231115, max_files=1)
     partials.start_partials(again, "hls", folder("p"), folder("replay-checkpoint"), "replay",
                             availableNow=True).awaitTermination()
     got = partials.read_partials(spark, folder("p"), "hls")
-    assert got.agg(F.sum("counts")).first()[0] == 2
+    assert got.agg(F.sum("counts")).first()[0] == 4
+    archive.write_stream(_stream(spark, inbox), folder("archive"), folder("checkpoint"), "first",
+                         folder("unplaced"), availableNow=True).awaitTermination()
+    assert spark.read.parquet(folder("unplaced")).select("value").collect()[0][0] == '{"unix_time": "never"}'
+
+
+def _messages(spark, records):
+    rows = [(HLS_TOPIC, json.dumps(r), HLS_TOPIC, 0, i, None) for i, r in enumerate(records)]
+    return spark.createDataFrame(rows, FRAME)
+
+
+def test_a_rewritten_batch_leaves_its_last_input_only(spark, frame, folder):
+    partials.account_batch(frame(HLS_TOPIC, [SEGMENT, LATE]), 0, "hls", folder("p"), "first", folder("r"))
+    partials.account_batch(frame(HLS_TOPIC, [SEGMENT, "junk"]), 0, "hls", folder("p"), "first", folder("r"))
+    got = partials.read_partials(spark, folder("p"), "hls")
+    assert [(r["day"], r["counts"]) for r in got.collect()] == [(20231115, 1)]
+    partials.account_batch(frame(HLS_TOPIC, [SEGMENT]), 0, "hls", folder("p"), "first", folder("r"))
+    assert spark.read.schema("value string, reject string").parquet(folder("r")).count() == 0
+
+
+def test_a_rebuilt_day_keeps_no_stale_level(spark, frame, folder):
+    partials.account_batch(frame(HLS_TOPIC, [SEGMENT]), 0, "hls", folder("p"), "first")
+    served.refresh(spark, "hls", folder("p"), folder("s"))
+    assert served.table(spark, folder("s"), "hls_down_user").count() == 1
+    # A server type of 2 counts in totals only.
+    partials.account_batch(frame(HLS_TOPIC, [{**SEGMENT, "svr_type": 2}]), 0, "hls", folder("p"), "first")
+    served.refresh(spark, "hls", folder("p"), folder("s"), [20231115])
+    assert served.table(spark, folder("s"), "hls_down_user").count() == 0
+    assert served.table(spark, folder("s"), "hls_down").count() == 1
+
+
+def test_served_tables_follow_the_partial_sums(spark, frame, folder):
+    def follow():
+        served.follow(spark, "hls", folder("p"), folder("s"), folder("c"), availableNow=True).awaitTermination()
+        return {(r["timestamp"], r["counts_ts"]) for r in served.table(spark, folder("s"), "hls_down").collect()}
+
+    partials.account_batch(frame(HLS_TOPIC, [SEGMENT, LATE]), 0, "hls", folder("p"), "first")
+    assert follow() == {(20231115, 1), (20140514, 1)}
+    partials.account_batch(frame(HLS_TOPIC, [SEGMENT]), 1, "hls", folder("p"), "first")
+    assert follow() == {(20231115, 2), (20140514, 1)}
+    assert follow() == {(20231115, 2), (20140514, 1)}
 
 
 def test_stored_levels_are_pruned(spark, frame, folder):
@@ -171,6 +217,6 @@ def test_stored_levels_are_pruned(spark, frame, folder):
     hourly = served.table(spark, folder("s"), "hls_down_user_hour", days=[20231115])
     for table in (daily, hourly):
         plan = table._jdf.queryExecution().executedPlan().toString()
-        pruned = plan.split("PartitionFilters")[1].split("PushedFilters")[0]
-        assert "level#" in pruned and "day#" in pruned
+        pruned, pushed = plan.split("PartitionFilters")[1].split("PushedFilters")[:2]
+        assert "day#" in pruned and "EqualTo(level" in pushed
     assert hourly.count() == 1
