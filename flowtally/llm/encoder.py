@@ -40,7 +40,7 @@ class WordEncoder:
     emptied when they reach their bounds.
     """
 
-    def __init__(self, path, words=600_000, pieces=600_000):
+    def __init__(self, path, words=300_000, pieces=1_200_000):
         from tokenizers import Tokenizer
 
         self.full = Tokenizer.from_file(path)
@@ -66,10 +66,13 @@ class WordEncoder:
         return ids
 
     def _word(self, word):
-        if PLAIN.fullmatch(word) and not any(s in word for s in self.special):
+        plain = word.isascii() and word.isprintable() or PLAIN.fullmatch(word)
+        if plain and not any(s in word for s in self.special):
             word = word.lower()
             if word.isalpha():
                 return self._piece(word)
+            if word[-1:] in (".", ",") and word[:-1].isalpha():
+                return self._piece(word[:-1]) + self._piece(word[-1])
             return b"".join([self._piece(piece) for piece in self.pieces(word)])
         return np.array(self.full.encode(word, add_special_tokens=False).ids, dtype="<i4").tobytes()
 
