@@ -175,7 +175,7 @@ def train(docs, per_language=1000, features=50_000):
                 [pa.array([lang] * len(items), pa.string()), pa.array([g for g, _ in items], pa.string()),
                  pa.array([n for _, n in items], pa.int64())], names=["lang", "gram", "n"])
 
-    counts = (rows.join(chosen, "doc_id", "left_semi").select("lang", "text")
+    counts = (rows.join(F.broadcast(chosen), "doc_id", "left_semi").select("lang", "text")
               .mapInArrow(count, "lang string, gram string, n long")
               .groupBy("lang", "gram").agg(F.sum("n").alias("n")))
     top = Window.partitionBy("lang").orderBy(F.desc("n"), "gram")
