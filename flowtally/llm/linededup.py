@@ -19,6 +19,12 @@ All of it is DataFrame functions. Defined cases: a NULL text stays NULL and an
 empty one empty; chunks of blank lines stay; rows that agree in doc_id count as
 one document, so a chunk at the same position of several stays in each; a text that loses all its chunks becomes
 empty, its row stays; other columns are kept; an empty table gives no rows.
+
+``dedup_passages`` also removes what chunks miss: lines of every run of at least
+``LONG_WORDS`` words that occurs earlier, however short its lines are. The shortest
+runs of so many words from each line on, and up to each line, cover every longer
+run to its edges; they are compared by MD5 (128 bits), not byte by byte. Words of
+a line are its blanks plus one, so such a run has at most ``LONG_WORDS`` lines.
 """
 
 from pyspark.sql import functions as F
@@ -40,7 +46,7 @@ def keyed(docs):
 
 
 def with_chunks(docs):
-    """The documents with _chunks: array of (k, lines, eligible, body)."""
+    """The documents with _chunks: array of (k, start, lines, eligible, body)."""
     lines = F.split(F.col("text"), "\n")
 
     def line(x):
@@ -57,7 +63,8 @@ def with_chunks(docs):
         count = F.coalesce(F.get("_starts", k + 1), F.size("_lines")) - start
         body = F.array_join(F.slice("_lines", start + 1, count), "\n")
         eligible = ((count > 1) | F.get("_hashes", start)["long"]) & (F.trim(F.replace(body, F.lit("\n"))) != "")
-        return F.struct(k.alias("k"), count.alias("lines"), eligible.alias("eligible"), body.alias("body"))
+        return F.struct(k.alias("k"), start.alias("start"), count.alias("lines"), eligible.alias("eligible"),
+                        body.alias("body"))
 
     return (docs.withColumn("_lines", lines)
             .withColumn("_hashes", F.transform("_lines", line))
@@ -105,3 +112,82 @@ def dedup_lines(docs, report=True):
             .withColumn("removed_lines", F.col("n_lines") - lines(F.col("_kept")))
             .withColumn("removed_chunks", F.size(gone).cast("bigint"))
             .drop("_id", "_hash", "_chunks", "_gone", "_kept"))
+
+
+def with_runs(docs):
+    """The documents with _runs: array of (k, lines, body_hash), the shortest runs of LONG_WORDS words from and to each line."""
+    def words(x):
+        return F.length(x) - F.length(F.replace(x, F.lit(" "))) + 1
+
+    def length(counts):
+        """How many of the counts it takes to have LONG_WORDS words; NULL if all are too few."""
+        return F.aggregate(
+            counts, F.struct(F.lit(0).alias("sum"), F.lit(0).alias("n")),
+            lambda so, x: F.when(so["sum"] >= LONG_WORDS, so).otherwise(
+                F.struct((so["sum"] + x).alias("sum"), (so["n"] + 1).alias("n"))),
+            lambda so: F.when(so["sum"] >= LONG_WORDS, so["n"]))
+
+    def count_lines(count, i, step, rest):
+        """As length of the counts from line i on; the first three lines without a loop."""
+        total, n = count, F.when(count >= LONG_WORDS, 1)
+        for k in (2, 3):
+            total = total + F.get("_words", i + step * (k - 1))
+            n = n.when(total >= LONG_WORDS, k)
+        return n.otherwise(length(rest))
+
+    # A run is one number: first line times 64, plus lines.
+    def from_line(count, i):
+        return i.cast("bigint") * 64 + count_lines(count, i, 1, F.slice("_words", i + 1, LONG_WORDS))
+
+    def to_line(count, i):
+        first = F.greatest(i + 1 - LONG_WORDS, F.lit(0))
+        return (i + 1).cast("bigint") * 64 - 63 * count_lines(count, i, -1, F.reverse(F.slice("_words", first + 1, i + 1 - first)))
+
+    def hashed(run):
+        k, n = F.shiftright(run, 6).cast("int"), (run % 64).cast("int")
+        body = F.array_join(F.slice("_lines", k + 1, n), "\n")
+        return F.struct(k.alias("k"), n.alias("lines"),
+                        F.when(F.trim(F.replace(body, F.lit("\n"))) != "",
+                               F.unhex(F.md5(body.cast("binary")))).alias("body_hash"))
+
+    return (docs.withColumn("_lines", F.split(F.col("text"), "\n"))
+            .withColumn("_words", F.transform("_lines", words))
+            .withColumn("_places", F.array_union(F.transform("_words", from_line), F.transform("_words", to_line)))
+            .withColumn("_runs", F.transform(F.filter("_places", lambda x: x.isNotNull()), hashed))
+            .drop("_lines", "_words", "_places"))
+
+
+def repeated_runs(docs):
+    """Lines to remove: _id, _hash, line of every repeated run but the first of each; a line may come several times."""
+    found = (with_runs(keyed(docs.select("doc_id", "text"))).select("_id", "_hash", F.inline_outer("_runs"))
+             .where("body_hash is not null"))
+    verdicts = found.groupBy("body_hash").agg(F.min(place()).alias("first"), F.max(place()).alias("last"))
+    return (found.join(verdicts.where("first <> last").select("body_hash", "first"), "body_hash")
+            .where(place() != F.col("first"))
+            .select("_id", "_hash", F.explode(F.sequence("k", F.col("k") + F.col("lines") - 1)).alias("line")))
+
+
+def dedup_passages(docs):
+    """The documents, text without repeated chunks and runs, with n_lines, removed_lines and removed_chunks.
+
+    removed_chunks counts the chunks that lose lines.
+    """
+    gone = (repeated_chunks(docs).withColumn("line", F.lit(None).cast("int"))
+            .unionByName(repeated_runs(docs).withColumn("k", F.lit(None).cast("int")))
+            .groupBy("_id", "_hash").agg(F.collect_set("k").alias("_gone"), F.collect_set("line").alias("_covered")))
+    joined = with_chunks(keyed(docs).join(gone, ["_id", "_hash"], "left"))
+
+    def places(chunk):
+        return F.sequence(chunk["start"], chunk["start"] + chunk["lines"] - 1)
+
+    whole = F.flatten(F.transform(F.filter("_chunks", lambda c: F.array_contains("_gone", c["k"])), places))
+    joined = joined.withColumn("_lost", F.array_union("_covered", whole)).withColumn("_split", F.split("text", "\n"))
+    kept = F.array_except(F.sequence(F.lit(0), F.size("_split") - 1), "_lost")
+    cut_text = F.array_join(F.transform(kept, lambda i: F.get("_split", i)), "\n")
+    touched = F.filter("_chunks", lambda c: F.exists(places(c), lambda i: F.array_contains("_lost", i)))
+    lost = F.col("_lost").isNotNull()
+    return (joined.withColumn("text", F.when(lost, cut_text).otherwise(F.col("text")))
+            .withColumn("n_lines", F.coalesce(F.greatest(F.size("_split"), F.lit(0)), F.lit(0)).cast("bigint"))
+            .withColumn("removed_lines", F.when(lost, F.size("_lost")).otherwise(0).cast("bigint"))
+            .withColumn("removed_chunks", F.when(lost, F.size(touched)).otherwise(0).cast("bigint"))
+            .drop("_id", "_hash", "_chunks", "_gone", "_covered", "_lost", "_split"))

@@ -21,7 +21,7 @@ def op1_suffix_tree(spark, sf_dir):
 
 
 def op2_line_dedup(spark, sf_dir):
-    docs = linededup.dedup_lines(table(spark, sf_dir, "documents"))
+    docs = linededup.dedup_passages(table(spark, sf_dir, "documents"))
     return docs.select("doc_id", "n_lines", "removed_lines", "removed_chunks", "text")
 
 
