@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from flowtally.llm import (
-    decontaminate, kneser, langid, licenses, linededup, packing, pst, sharding, simhash, spotsigs)
+    alignment, decontaminate, kneser, langid, licenses, linededup, packing, pst, sharding, simhash, spotsigs)
 from flowtally.llm.common import table
 
 TOKENIZER = "word_bpe_49k.json"
@@ -70,6 +70,11 @@ def op10_decontamination(spark, sf_dir):
     return decontaminate.overlaps(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op12_alignment(spark, sf_dir):
+    return alignment.align(
+        table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"), tokenizer_path("piece_bpe_32k.model"))
+
+
 def pipeline(spark, sf_dir):
     """All stages of corpus_pipeline.py, which imports this module."""
     import corpus_pipeline
@@ -88,6 +93,7 @@ QUERIES = {
     "op8_language_id": op8_language_id,
     "op9_spotsigs": op9_spotsigs,
     "op10_decontamination": op10_decontamination,
+    "op12_alignment": op12_alignment,
     "pipeline": pipeline,
 }
 # The other operators use 64-bit hashes, trained models or token ids, which SQL lacks.
