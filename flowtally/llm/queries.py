@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from flowtally.llm import (
-    alignment, decontaminate, kneser, langid, licenses, linededup, packing, pst, sharding, simhash, spotsigs)
+    alignment, bayeslsh, decontaminate, kneser, langid, licenses, linededup, packing, pst, sharding, simhash, spotsigs)
 from flowtally.llm.common import table
 
 TOKENIZER = "word_bpe_49k.json"
@@ -75,6 +75,10 @@ def op12_alignment(spark, sf_dir):
         table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"), tokenizer_path("piece_bpe_32k.model"))
 
 
+def op13_minhash(spark, sf_dir):
+    return bayeslsh.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def pipeline(spark, sf_dir):
     """All stages of corpus_pipeline.py, which imports this module."""
     import corpus_pipeline
@@ -94,6 +98,7 @@ QUERIES = {
     "op9_spotsigs": op9_spotsigs,
     "op10_decontamination": op10_decontamination,
     "op12_alignment": op12_alignment,
+    "op13_minhash": op13_minhash,
     "pipeline": pipeline,
 }
 # The other operators use 64-bit hashes, trained models or token ids, which SQL lacks.
