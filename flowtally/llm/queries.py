@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from flowtally.llm import (
-    alignment, bayeslsh, decontaminate, kneser, langid, licenses, linededup, packing, pst, sharding, simhash, spotsigs)
+    alignment, bayeslsh, collocations, decontaminate, kneser, langid, licenses, linededup, packing, pst, sharding, simhash, spotsigs)
 from flowtally.llm.common import table
 
 TOKENIZER = "word_bpe_49k.json"
@@ -70,6 +70,10 @@ def op10_decontamination(spark, sf_dir):
     return decontaminate.overlaps(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op11_collocations(spark, sf_dir):
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
 def op12_alignment(spark, sf_dir):
     return alignment.align(
         table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"), tokenizer_path("piece_bpe_32k.model"))
@@ -97,9 +101,10 @@ QUERIES = {
     "op8_language_id": op8_language_id,
     "op9_spotsigs": op9_spotsigs,
     "op10_decontamination": op10_decontamination,
+    "op11_collocations": op11_collocations,
     "op12_alignment": op12_alignment,
     "op13_minhash": op13_minhash,
     "pipeline": pipeline,
 }
 # The other operators use 64-bit hashes, trained models or token ids, which SQL lacks.
-ORACLES = {"op4_license_scan": licenses.oracle()}
+ORACLES = {"op4_license_scan": licenses.oracle(), "op11_collocations": collocations.oracle()}
