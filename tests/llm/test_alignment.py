@@ -15,7 +15,7 @@ TEXTS = [
     None, "", " ", "  ", "a", " lead", "trail ", "two  spaces", "three   spaces and\n new\n\nlines ", "tab\t x\t\ty",
     "the the the quick brown fox", "Größe élan naïve café", "日本語のテキスト と 中文", "emoji 🙂🙂 x", "<|endoftext|> </s> <s> <unk>",
     "bad ▁ piece", "nbsp  x 　 y", "it's we'll 1234567 3.14159 !!! ??? (a+b)*c", "aa aaa aaaa aaaaa", "x" * 3000,
-    "nul\x00byte", "\x1c \x85 odd", "é combining", "the the the quick brown fox", "\r\n \r\n  end", "ﬁ ligature ½ Ⅷ",
+    "nul\x00byte", "\x1c \x85 odd", "é combining", "the the the quick brown fox", "\r\n \r\n  end", "\nfirst", "\n", "one\ntwo\nthree four\n", "\n\nx \n y", "end \n", "a\u3000b \u3000c\u3000 d", "ﬁ ligature ½ Ⅷ",
 ]
 SCHEMA = "doc_id long, text string, a string, row string"
 
@@ -85,7 +85,7 @@ def test_real_documents(spark, tables):
 
 def test_segments_join_to_the_text():
     for text in filter(None, TEXTS):
-        assert "".join(" " + part for part in alignment.segments(text)) == " " + text
+        assert "".join(map(alignment.whole, alignment.segments(text))) == " " + text
 
 
 def test_repeated_rows_and_empty_table(spark, tables):
