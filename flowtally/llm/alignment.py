@@ -40,7 +40,7 @@ from flowtally.llm.common import cut
 from flowtally.llm.encoder import byte_letters
 
 BLOCK = 2_000_000
-CACHE = 45_000_000
+CACHE = 20_000_000
 TEXTS = 1024
 JOINED = 256
 # Blanks in a row: such texts are cut with care, all others at every blank and line feed.
@@ -269,42 +269,47 @@ def _binary(values, lengths, kind):
     ).cast(pa.binary())
 
 
+def _slices(batches):
+    """Batches of at most ``TEXTS`` rows."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, TEXTS):
+            yield batch.slice(at, TEXTS)
+
+
 def encode(docs, path_a, path_b, kinds, cache=CACHE):
     """Per row the sizes, the digest of its groups, and its links: ``ones`` (ids of A), ``left`` and ``right`` (pairs)."""
     def run(batches):
         known = aligner(path_a, path_b)
         known.reset()
         met = np.zeros(0, dtype=np.int64)
-        for batch in batches:
-            for at in range(0, batch.num_rows, TEXTS):
-                part = batch.slice(at, TEXTS)
-                texts = [value.as_py() for value in part.column(1)]
-                rows = [known.numbers(text) if text else met[:0] for text in texts]
-                known.settle()
-                rows = [row if known.valid[row].all() else row[:0] for row in rows]
-                flat, ends = np.concatenate(rows), np.cumsum([len(row) for row in rows])
-                met = np.concatenate([met, np.zeros(len(known) - len(met), dtype=np.int64)])
-                met += np.bincount(flat, minlength=len(met))
-
-                def per_row(counts):
-                    return np.diff(np.append(0, np.concatenate([[0], np.cumsum(counts)])[ends]))
-
-                sizes = known.sizes[flat]
-                ones, pairs = known.ones.only(flat), known.pairs.only(flat)
-                names = [hashlib.sha256(";".join([known.groups[k] for k in row.tolist()]).encode()).hexdigest()
-                         if len(row) else "" for row in rows]
-                n_pairs = per_row(pairs.lengths)
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(0), *(pa.array(per_row(sizes[:, k])) for k in range(4)), pa.array(names, pa.string()),
-                     _binary(ones.values, per_row(ones.lengths), kinds[0]),
-                     _binary(pairs.values >> 32, n_pairs, kinds[0]), _binary(pairs.values & 0xFFFFFFFF, n_pairs, kinds[1])],
-                    names=["doc_id", "n_a", "n_b", "n_groups", "n_links", "groups_sha256", "ones", "left", "right"])
-                if known.chars > cache:
-                    known.shrink(met > 1)
-                    met = np.zeros(len(known), dtype=np.int64)
-                    if known.chars > cache // 2:
-                        known.reset()
-                        met = met[:0]
+        for part in _slices(batches):
+            texts = [value.as_py() for value in part.column(1)]
+            rows = [known.numbers(text) if text else met[:0] for text in texts]
+            known.settle()
+            rows = [row if known.valid[row].all() else row[:0] for row in rows]
+            flat, ends = np.concatenate(rows), np.cumsum([len(row) for row in rows])
+            met = np.concatenate([met, np.zeros(len(known) - len(met), dtype=np.int64)])
+            met += np.bincount(flat, minlength=len(met))
+
+            def per_row(counts):
+                return np.diff(np.append(0, np.concatenate([[0], np.cumsum(counts)])[ends]))
+
+            sizes = known.sizes[flat]
+            ones, pairs = known.ones.only(flat), known.pairs.only(flat)
+            names = [hashlib.sha256(";".join([known.groups[k] for k in row.tolist()]).encode()).hexdigest()
+                     if len(row) else "" for row in rows]
+            n_pairs = per_row(pairs.lengths)
+            yield pa.RecordBatch.from_arrays(
+                [part.column(0), *(pa.array(per_row(sizes[:, k])) for k in range(4)), pa.array(names, pa.string()),
+                 _binary(ones.values, per_row(ones.lengths), kinds[0]),
+                 _binary(pairs.values >> 32, n_pairs, kinds[0]), _binary(pairs.values & 0xFFFFFFFF, n_pairs, kinds[1])],
+                names=["doc_id", "n_a", "n_b", "n_groups", "n_links", "groups_sha256", "ones", "left", "right"])
+            if known.chars > cache:
+                known.shrink(met > 1)
+                met = np.zeros(len(known), dtype=np.int64)
+                if known.chars > cache // 2:
+                    known.reset()
+                    met = met[:0]
 
     return docs.select("doc_id", "text").mapInArrow(run, """doc_id long, n_a long, n_b long, n_groups long, n_links long,
         groups_sha256 string, ones binary, left binary, right binary""")
@@ -331,7 +336,7 @@ def pair_counts(encoded, same, kinds):
             codes, n = np.unique(np.concatenate(held or [vector[:0]]), return_counts=True)
             return rows(codes >> 32, codes & 0xFFFFFFFF, n)
 
-        for batch in batches:
+        for batch in _slices(batches):
             (ones, _), (left, _), (right, _) = _links(batch, kinds)
             vector += np.bincount(ones, minlength=len(vector))
             held.append(left << 32 | right)
@@ -373,7 +378,7 @@ def _measure(encoded, sent, same, kinds):
 
     def run(batches):
         counts = Counts(sent.value, same)
-        for batch in batches:
+        for batch in _slices(batches):
             sums = np.zeros((batch.num_rows, 2), dtype=np.int64)
             (ones, n_ones), (left, n_pairs), (right, _) = _links(batch, kinds)
             for values, lengths in ((counts.vector[ones], n_ones), (counts.of_pairs(left << 32 | right), n_pairs)):
