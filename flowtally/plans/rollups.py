@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from flowtally.functions.timekeys import day_of
 from flowtally.plans.base import shown, total
-from flowtally.schemas import FRACTION_SUM_TYPE, FRACTIONAL, RTMP_METRICS
+from flowtally.schemas import FRACTION_SUM_TYPE, FRACTIONAL, HLS_METRICS, RTMP_METRICS
 
 
 @dataclass(frozen=True)
@@ -259,3 +259,70 @@ def serve(levels, name):
     else:
         counters = {m: counter(m) for m in _counters(spec.feed, spec.family)}
     return shown(rows.select(*keys, *_named(counters)))
+
+
+# --- totals by hour, which are kept and added to -----------------------------
+
+
+def hour_level_of(name):
+    """Tables with the same level show the same rows of :func:`hour_levels`."""
+    spec = CATALOGUE[name]
+    kind = "total" if spec.family == "quality" or spec.feed == "rtmp" else "detail"
+    return "-".join([kind, *spec.dims])
+
+
+def hour_counts(feed):
+    """Counters of :func:`hour_levels`, and those whose sum is the number of requests or sessions of a row."""
+    kinds = dict.fromkeys([*HLS_METRICS, *RTMP_METRICS], "bigint")
+    rows = ["counts_m3", "counts_ts"] if feed == "hls" else ["total_counts"]
+    return {"sums": list(_level_sums(feed, kinds)), "rows": rows}
+
+
+def hour_levels(counters, feed):
+    """Every level of a feed by hour in one grouping-sets pass, with day and hour last.
+
+    Sums of these rows over hours are the rows of the daily tables.
+    """
+    levels = {}
+    for name, spec in CATALOGUE.items():
+        if spec.feed == feed:
+            level = hour_level_of(name)
+            levels[level] = ["exact_lane" if level.startswith("detail") else "lane", *spec.dims]
+    columns = list(dict.fromkeys(k for keys in levels.values() for k in keys))
+    prepared = counters.withColumns({
+        "lane": _lane(feed), "exact_lane": _exact_lane(feed), "hour": F.col("timestamp_hour"),
+        "day": day_of(F.col("timestamp_hour")).cast("int")})
+    sums = _level_sums(feed, dict(counters.dtypes))
+    passed = prepared.groupingSets(
+        [[F.col(k) for k in ("day", "hour", *keys)] for keys in levels.values()],
+        *[F.col(c) for c in ("day", "hour", *columns)]).agg(F.grouping_id().alias("_set"), *_named(sums))
+    level = F.lit(None).cast("string")
+    for name, keys in levels.items():
+        set_id = sum(1 << (len(columns) - 1 - i) for i, c in enumerate(columns) if c not in keys)
+        level = F.when(F.col("_set") == set_id, name).otherwise(level)
+    lane = F.coalesce("lane", "exact_lane") if "exact_lane" in columns else F.col("lane")
+    dims = [c for c in columns if c not in ("lane", "exact_lane")]
+    return passed.select(lane.alias("lane"), *dims, *sums, level.alias("level"), "day", "hour").filter(F.col("lane").isNotNull())
+
+
+def serve_hours(hours, name):
+    """One served table out of the rows of :func:`hour_levels`; a daily one adds up its hours."""
+    spec = CATALOGUE[name]
+    rows = hours.filter((F.col("level") == hour_level_of(name)) & (F.col("lane") == spec.lane))
+    time, *dims = keys_of(name)
+    keys = [F.col("hour" if spec.hourly else "day").cast("bigint").alias(time)]
+    keys += [F.col(d).alias(shown_as) for d, shown_as in zip(spec.dims, dims)]
+
+    def counter(metric):
+        if spec.feed == "hls" and spec.family != "quality" and metric in _SPLIT:
+            return F.col(f"{metric}_m3") + F.col(f"{metric}_ts")
+        return F.col(metric)
+
+    if spec.feed == "hls" and spec.family == "legacy":
+        counters = {shown_as: counter(m) for shown_as, m in _HLS_LEGACY.items()}
+    else:
+        counters = {m: counter(m) for m in _counters(spec.feed, spec.family)}
+    if spec.hourly:
+        return shown(rows.select(*keys, *_named(counters)))
+    kinds = dict(rows.select(*_named(counters)).dtypes)
+    return shown(rows.groupBy(*keys).agg(*[F.sum(value).cast(kinds[c]).alias(c) for c, value in counters.items()]))
