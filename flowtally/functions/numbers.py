@@ -17,18 +17,18 @@ _EPOCH = (
 )
 
 
-def _double(text):
-    return F.when(text.rlike(_NUMBER), text.try_cast("double"))
-
-
 def whole(text):
-    """Whole part of a number as bigint; NULL for other text and beyond the bigint range."""
-    return F.coalesce(text.try_cast("bigint"), _double(text).try_cast("bigint"))
+    """Whole part of a number as bigint; NULL for other text and beyond the bigint range.
+
+    Text that is not digits alone is read as a decimal, which takes fractions
+    and exponents and no other text; what it rounds off lies below 10^-18.
+    """
+    return F.coalesce(text.try_cast("bigint"), text.try_cast("decimal(38,18)").try_cast("bigint"))
 
 
 def fraction(text):
     """A number as decimal; NULL for other text and beyond 10^18."""
-    return F.when(text.rlike(_NUMBER), text.try_cast(FRACTION_TYPE))
+    return text.try_cast(FRACTION_TYPE)
 
 
 def is_seconds(text):

@@ -18,34 +18,46 @@ _NAMES = ["Cmd", "App", "Stream", "SvrIp"]
 
 
 def read(frame):
-    """Common frame -> decoded session reports, malformed ones included."""
-    return decode(route(frame, RTMP_TOPIC), RTMP_RECORD)
+    """Common frame -> decoded session reports with their numbers, malformed ones included."""
+    return _numbers(decode(route(frame, RTMP_TOPIC), RTMP_RECORD))
 
 
-def _flux():
-    """Bytes sent for a ``play`` session, bytes received for any other."""
-    return F.when(F.col("Cmd") == "play", F.col("SendByteSum")).otherwise(F.col("RecvByteSum"))
+def _fluency_time(time, fluency):
+    """Play time times fluency, exact; NULL beyond 10^26.
+
+    A product of both as they are would lose digits to its precision, so the
+    whole part and the fraction are multiplied apart.
+    """
+    time, whole = time.cast("decimal(19,0)"), F.floor(fluency).cast("decimal(18,0)")
+    product = (time * whole).try_cast(FRACTION_SUM_TYPE)
+    return product + (time * (fluency - whole).cast("decimal(12,12)")).cast(FRACTION_SUM_TYPE)
+
+
+def _numbers(decoded):
+    """Decoded reports with their numbers, NULL where a text is none, next to the fields.
+
+    The generators make the conversion a step of its own: it is worked out once for each
+    message, and filters and derived columns read its results.
+    """
+    epoch = F.coalesce("EndTime", F.lit("0"))
+    flux = F.when(F.col("Cmd") == "play", F.col("SendByteSum")).otherwise(F.col("RecvByteSum"))
+    found = [numbers.whole(F.col(name)).alias(f"_{name}") for name in _WHOLE]
+    found += [numbers.fraction(F.col(name)).alias(f"_{name}") for name in _FLUENCY]
+    found += [F.when(numbers.is_epoch(epoch), numbers.epoch_seconds(epoch)).alias("_epoch"), numbers.whole(flux).alias("_flux")]
+    taken = decoded.select("*", F.inline(F.array(F.struct(*found))))
+    time = F.struct(_fluency_time(F.col("_PlayTime"), F.col("_PlayFluency")).alias("_play_fluency_time"))
+    return taken.select("*", F.inline(F.array(time)))
+
+
+_TAKEN = [f"_{name}" for name in [*_WHOLE, *_FLUENCY]] + ["_epoch", "_flux", "_play_fluency_time"]
 
 
 def _fit():
     """Only ``EndTime``, ``User`` and the byte sum of the other direction may be missing."""
-    fit = ~F.col("malformed") & numbers.is_epoch(F.coalesce("EndTime", F.lit("0")))
-    for name in _NAMES:
+    fit = ~F.col("malformed")
+    for name in [*_NAMES, *_TAKEN]:
         fit = fit & F.col(name).isNotNull()
-    for name in _FLUENCY:
-        fit = fit & numbers.fraction(F.col(name)).isNotNull()
-    for name in _WHOLE:
-        fit = fit & numbers.whole(F.col(name)).isNotNull()
-    return F.coalesce(
-        fit & numbers.whole(_flux()).isNotNull() & _fluency_time().isNotNull(), F.lit(False))
-
-
-def _fluency_time():
-    """Play time times fluency: exact for fluency below 10^6, a double's product above."""
-    time, fluency = numbers.whole(F.col("PlayTime")), F.col("PlayFluency")
-    exact = time.cast("decimal(19,0)") * fluency.try_cast("decimal(18,12)")
-    rough = time.cast("double") * fluency.try_cast("double")
-    return F.coalesce(exact.cast(FRACTION_SUM_TYPE), rough.try_cast(FRACTION_SUM_TYPE))
+    return F.coalesce(fit, F.lit(False))
 
 
 def accept(decoded):
@@ -54,13 +66,13 @@ def accept(decoded):
 
 def reject_reason():
     """NULL for usable reports; malformed messages, missing fields, unusable numbers."""
-    missing = _flux().isNull()
+    missing = F.when(F.col("Cmd") == "play", F.col("SendByteSum")).otherwise(F.col("RecvByteSum")).isNull()
     for name in [*_NAMES, *_WHOLE, *_FLUENCY]:
         missing = missing | F.col(name).isNull()
     return F.when(~_fit(), (
         F.when(F.col("malformed"), MALFORMED)
         .when(missing, "missing_field")
-        .when(~numbers.is_epoch(F.coalesce("EndTime", F.lit("0"))), "bad_end_time")
+        .when(F.col("_epoch").isNull(), "bad_end_time")
         .otherwise("bad_metric")
     ))
 
@@ -75,11 +87,9 @@ def derive(accepted, tz=timekeys.DEFAULT_TZ):
     Fluency, longest gap and the 60-second extremes are counters like all
     others: totals are sums of them.
     """
-    whole = {name: numbers.whole(F.col(name)) for name in _WHOLE}
-    fluency = {name: numbers.fraction(F.col(name)) for name in _FLUENCY}
-    return accepted.withColumn("local", timekeys.local_seconds(
-        numbers.epoch_seconds(F.coalesce("EndTime", F.lit("0"))), tz)
-    ).withColumns({
+    whole = {name: F.col(f"_{name}") for name in _WHOLE}
+    fluency = {name: F.col(f"_{name}") for name in _FLUENCY}
+    return accepted.withColumn("local", timekeys.local_seconds(F.col("_epoch"), tz)).withColumns({
         "cmd": F.col("Cmd"),
         "timestamp_hour": timekeys.hour_key(F.col("local")),
         "app": F.col("App"),
@@ -91,7 +101,7 @@ def derive(accepted, tz=timekeys.DEFAULT_TZ):
         "play_fluency": fluency["PlayFluency"],
         "play_fluency_in60s": fluency["PlayFluencyIn60s"],
         "publish_time": whole["PublishTime"],
-        "play_fluency_time": _fluency_time(),
+        "play_fluency_time": F.col("_play_fluency_time"),
         "empty_numbers": whole["EmptyNumbers"],
         "empty_time": whole["EmptyTime"],
         "max_empty_time": whole["MaxEmptyTime"],
@@ -101,7 +111,7 @@ def derive(accepted, tz=timekeys.DEFAULT_TZ):
         "play_fluency_zero_counts": (fluency["PlayFluency"] == 0).cast("bigint"),
         "max60s_fluency": fluency["Max60sFluency"],
         "min60s_fluency": fluency["Min60sFluency"],
-        "flux": numbers.whole(_flux()),
+        "flux": F.col("_flux"),
     })
 
 

@@ -337,6 +337,10 @@ from events, (values ('nodeHls'),('RtmpFluence')) t(topic) group by 1, 2
     "stream_rewritten_batch": _HLS_BASE,
     "serve_hls": _served()["hls_down_app_stream"],
     "serve_rtmp": _served()["rtmp_down_app"],
+    "serve_rewritten_batch_hls": _served()["hls_down_a"],
+    "serve_rewritten_batch_rtmp": _served()["rtmp_down"],
+    "compacted_day": _hls(_group("hls", _same(*_HLS_DIMS), _hls_sums(), "day=20240115")),
+    "serve_deltas": _hls(_group("hls", {**_HOUR, **_USER}, _D_HLS, f"{_DETAIL} and day<>20240115")),
     "mq_next_position": """
 select cast(event_id%3 as integer) as "partition", max(event_id)+1 as "nextOffset"
 from events group by event_id%3

@@ -207,6 +207,60 @@ def serve_rtmp(spark, sf_dir):
     return _serve(spark, sf_dir, "rtmp", "rtmp_down_app")
 
 
+def _rewritten(spark, sf_dir, feed, name):
+    """A served table after a batch, folded already, was written again with fewer messages and days."""
+    folder = work_dir(spark, f"rewritten-{feed}")
+    path, messages = f"{folder}/partials", _mixed(spark, sf_dir)
+    even, odd = messages.where("offset % 2 = 0"), messages.where("offset % 2 = 1")
+    for batch_id, batch in ((0, even), (1, messages), (1, odd)):
+        partials.account_batch(batch, batch_id, feed, path, "first")
+        served.follow(spark, feed, path, f"{folder}/rollups", f"{folder}/checkpoint",
+                      availableNow=True).awaitTermination()
+    return served.table(spark, f"{folder}/rollups", name)
+
+
+def serve_rewritten_batch_hls(spark, sf_dir):
+    return _rewritten(spark, sf_dir, "hls", "hls_down_a")
+
+
+def serve_rewritten_batch_rtmp(spark, sf_dir):
+    return _rewritten(spark, sf_dir, "rtmp", "rtmp_down")
+
+
+def _compacted(spark, sf_dir):
+    """Partial sums in three batches, merged by day after two and after all; the second is written anew in between."""
+    path, messages = f"{work_dir(spark, 'compacted')}/partials", _mixed(spark, sf_dir)
+    batches = [messages.where(f"offset % 3 = {i}") for i in range(3)]
+    partials.account_batch(batches[0], 0, "hls", path, "first")
+    partials.account_batch(messages, 1, "hls", path, "first")
+    partials.compact(spark, "hls", path, partials.scattered_days(spark, path, DAY + 1))
+    for batch_id in (1, 2):
+        partials.account_batch(batches[batch_id], batch_id, "hls", path, "first")
+    partials.compact(spark, "hls", path, partials.scattered_days(spark, path, DAY + 1))
+    return path
+
+
+def compacted_day(spark, sf_dir):
+    """A day's base sums out of its merged part."""
+    return base.shown(base.fold(partials.read_partials(spark, _compacted(spark, sf_dir), "hls", days=[DAY]), "hls"))
+
+
+def serve_deltas(spark, sf_dir):
+    """Hours kept up by deltas through a rewrite, merged days and a purged day."""
+    folder, messages = work_dir(spark, "deltas"), _mixed(spark, sf_dir)
+    path, kept = f"{folder}/partials", f"{folder}/rollups"
+    for step in (
+        lambda: partials.account_batch(messages.where("offset % 2 = 0"), 0, "hls", path, "first"),
+        lambda: partials.account_batch(messages.where("offset % 5 = 0"), 1, "hls", path, "first"),
+        lambda: partials.compact(spark, "hls", path, partials.scattered_days(spark, path, DAY + 1)),
+        lambda: partials.account_batch(messages.where("offset % 2 = 1"), 1, "hls", path, "first"),
+        lambda: served.purge_partials(spark, "hls", path, DAY),
+    ):
+        step()
+        served.fold(spark, "hls", path, kept)
+    return served.table(spark, kept, "hls_down_user_hour")
+
+
 def mq_next_position(spark, sf_dir):
     return mq.next_positions(feeds.mq_pages(feeds.events(spark, sf_dir)))
 
@@ -390,6 +444,10 @@ QUERIES = {
     "stream_rewritten_batch": stream_rewritten_batch,
     "serve_hls": serve_hls,
     "serve_rtmp": serve_rtmp,
+    "serve_rewritten_batch_hls": serve_rewritten_batch_hls,
+    "serve_rewritten_batch_rtmp": serve_rewritten_batch_rtmp,
+    "compacted_day": compacted_day,
+    "serve_deltas": serve_deltas,
     "mq_next_position": mq_next_position,
     "partition_progress_rtmp": partition_progress_rtmp,
     "partition_lag": partition_lag,
