@@ -41,9 +41,10 @@ TOP = 2000
 HEAD = 1 << 18
 TILE = 1 << 10
 BITS = 1 << 26
-# Tokens a task gathers before it counts, and distinct words it keeps.
-TOKENS = 2_000_000
-WORDS = 500_000
+# Tokens a task gathers before it counts, distinct words it keeps, and rows it hands on at a time.
+TOKENS = 1_000_000
+WORDS = 300_000
+ROWS = 65_536
 
 BREAK = b"\xff"
 _BREAKS = bytes.maketrans(b".,;:!?\n\x0b\x0c\r", BREAK * 10)
@@ -64,6 +65,14 @@ def _join(a, b):
     return x ^ x >> np.uint64(29)
 
 
+def _second(joined, a):
+    """The second of two symbols, from their joint hash and the first; every step of the hash can be undone."""
+    x = joined ^ joined >> np.uint64(29) ^ joined >> np.uint64(58)
+    x *= np.uint64(pow(int(_M2), -1, 1 << 64))
+    x ^= x >> np.uint64(32)
+    return x - a * _M1
+
+
 class Level:
     """The frequent symbols of a level: ranks of the head, a bitmap of all."""
 
@@ -175,11 +184,14 @@ def word_counts(docs, seed):
                 counts[0] = 0
                 hit = np.flatnonzero(counts)
                 names = list(words)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.append(np.array(words.hashes, dtype=np.uint64)[hit], [np.uint64(0)]).view(np.int64)),
-                     pa.array([lang] * (len(hit) + 1), pa.string()),
-                     pa.array([*(names[k].decode("utf-8", "replace") for k in hit), None], pa.string()),
-                     pa.array(np.append(counts[hit], [counts.sum()]))], names=["h", "lang", "phrase", "f"])
+                hashes = np.append(np.array(words.hashes, dtype=np.uint64)[hit], [np.uint64(0)]).view(np.int64)
+                phrases = [*(names[k].decode("utf-8", "replace") for k in hit), None]
+                counts = np.append(counts[hit], [counts.sum()])
+                for at in range(0, len(counts), ROWS):
+                    part = slice(at, at + ROWS)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(hashes[part]), pa.array([lang] * len(counts[part]), pa.string()),
+                         pa.array(phrases[part], pa.string()), pa.array(counts[part])], names=["h", "lang", "phrase", "f"])
 
     rows = _texts(docs).mapInArrow(run, "h long, lang string, phrase string, f long")
     return rows.groupBy("h", "lang", "phrase").agg(F.sum("f").alias("f"))
@@ -203,7 +215,10 @@ def _pairs(hashes, levels):
 
 
 def pair_counts(docs, sent, seed):
-    """Rows (h, a, b, f, clash): pairs of a frequent symbol and the word after it; whether two share the hash."""
+    """Rows (h, a, f, clash): pairs of a frequent symbol ``a`` and the word after it; whether two share the hash.
+
+    The word follows from h and a, so pairs of equal h and a are equal.
+    """
     def run(batches):
         levels = sent.value
         for streams in _streams(batches, seed):
@@ -218,14 +233,24 @@ def pair_counts(docs, sent, seed):
                 x, y, counts = tiled(left[head], right[head], max(len(levels[-1].by_rank), len(levels[0].by_rank), 1))
                 rest = sorted_counts(a[~head], b[~head])
                 a = np.concatenate([levels[-1].by_rank[x], rest[0]])
-                b = np.concatenate([levels[0].by_rank[y], rest[1]])
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(z.view(np.int64)) for z in (_join(a, b), a, b)]
-                    + [pa.array(np.concatenate([counts, rest[2]]).astype(np.int64))], names=["h", "a", "b", "f"])
+                joined = _join(a, np.concatenate([levels[0].by_rank[y], rest[1]]))
+                counts = np.concatenate([counts, rest[2]]).astype(np.int64)
+                for at in range(0, len(a), ROWS):
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(z[at:at + ROWS].view(np.int64)) for z in (joined, a, counts)], names=["h", "a", "f"])
+
+    rows = _texts(docs).mapInArrow(run, "h long, a long, f long")
+    return rows.groupBy("h").agg(F.min("a").alias("a"), F.sum("f").alias("f"), (F.min("a") != F.max("a")).alias("clash"))
+
+
+def _with_words(pairs):
+    """Pairs with the hash ``b`` of their second symbol."""
+    def run(batches):
+        for batch in batches:
+            h, a = (batch.column(k).to_numpy().view(np.uint64) for k in (0, 1))
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(_second(h, a).view(np.int64))], names=["h", "a", "f", "b"])
 
-    rows = _texts(docs).mapInArrow(run, "h long, a long, b long, f long")
-    clash = (F.min("a") != F.max("a")) | (F.min("b") != F.max("b"))
-    return rows.groupBy("h").agg(F.min("a").alias("a"), F.min("b").alias("b"), F.sum("f").alias("f"), clash.alias("clash"))
+    return pairs.select("h", "a", "f").mapInArrow(run, "h long, a long, f long, b long")
 
 
 def _level(symbols, head, bits):
@@ -265,7 +290,7 @@ def _counted(docs, least, head, bits, seed):
             return None
         left = tables[-1].select(F.col("h").alias("a"), "lang", F.col("phrase").alias("first"))
         right = tables[0].select(F.col("h").alias("b"), F.col("phrase").alias("last"))
-        named = pairs.join(left, "a").join(right, "b").select("h", "lang", F.concat_ws(" ", "first", "last").alias("phrase"), "f")
+        named = _with_words(pairs).join(left, "a").join(right, "b").select("h", "lang", F.concat_ws(" ", "first", "last").alias("phrase"), "f")
         tables.append(cut(named, f"phrases-{size}"))
         if size < LONGEST:
             levels.append(_level(tables[-1], head, bits))

@@ -95,6 +95,11 @@ def test_tiles_equal_a_plain_count():
     assert dict(zip(zip(a.tolist(), b.tolist()), n.tolist())) == Counter(zip(left.tolist(), right.tolist()))
 
 
+def test_the_second_symbol_follows_from_the_joint_hash():
+    a, b = np.random.default_rng(3).integers(0, 1 << 64, (2, 10_000), dtype=np.uint64)
+    assert (collocations._second(collocations._join(a, b), a) == b).all()
+
+
 @pytest.mark.parametrize("scale", ["0.001", "0.01"])
 def test_equals_sql(spark, scale):
     folder = f"/root/testdata/sf{scale}"
