@@ -81,6 +81,14 @@ def _lines(frame, tz):
     return placed.select(F.translate("value", "\r\n", "  ").alias("value"), "topic", day)
 
 
+def positioned_lines(frame, tz=timekeys.DEFAULT_TZ):
+    """Archivable lines with their place in the queue: value, partition, offset, timestamp, topic, day."""
+    local, day = _event_day(tz)
+    place = ["partition", "offset", "timestamp"]
+    placed = _timed(frame).filter(_placeable()).select("value", *place, F.coalesce("topic", "key").alias("topic"), local)
+    return placed.select("value", *place, "topic", day)
+
+
 def _folder(path, run, batch_id):
     return f"{path}/run={run}/batch_id={batch_id}"
 

@@ -28,6 +28,11 @@ def explode_pages(pages):
                           F.col("entry.body").alias("body"))
 
 
+def read_pages(pages):
+    """Per readable page its partition and ``nextOffset``."""
+    return _parsed(pages).select("partition", F.col("page.nextOffset").alias("nextOffset"))
+
+
 def next_positions(pages):
     """Per partition the position after its readable pages: the highest ``nextOffset``."""
     return _parsed(pages).groupBy("partition").agg(F.max("page.nextOffset").alias("nextOffset"))

@@ -31,10 +31,15 @@ def _with_day(sums):
     return sums.withColumn("day", timekeys.day_of(F.col("timestamp_hour")).cast("int"))
 
 
+def write_parts(log, sums, run, batch_id, table=SUMS):
+    """Write one batch of partial sums; gives the parts, still to be committed."""
+    return log.write(_with_day(sums), table, run, batch_id, "day")
+
+
 def write_partials(sums, path, run, batch_id, table=SUMS):
     """Write and commit one batch of partial sums, in the place of an earlier attempt at the same batch."""
     log = ledger.Ledger(sums.sparkSession, path)
-    parts = log.write(_with_day(sums), table, run, batch_id, "day")
+    parts = write_parts(log, sums, run, batch_id, table)
     return log.commit("batch", ledger.replacing(parts, [table], run, batch_id))
 
 

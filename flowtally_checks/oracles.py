@@ -341,6 +341,24 @@ from events, (values ('nodeHls'),('RtmpFluence')) t(topic) group by 1, 2
     "serve_rewritten_batch_rtmp": _served()["rtmp_down"],
     "compacted_day": _hls(_group("hls", _same(*_HLS_DIMS), _hls_sums(), "day=20240115")),
     "serve_deltas": _hls(_group("hls", {**_HOUR, **_USER}, _D_HLS, f"{_DETAIL} and day<>20240115")),
+    "replay_sealed_day": f"""
+with {_HLS} select 'nodeHls' as topic, cast(event_id%3 as integer) as "partition", event_id as "offset",
+ body_bytes_sent as bytes from typed where day=20240115
+""",
+    "partition_progress_indexed": f"""
+with {_OFFSETS} select part as "partition", committed, min(event_id) as "offset",
+ arg_min(cast(strftime(ts + interval 8 hour, '%Y%m%d') as bigint), event_id) as day
+from events join offsets on event_id%9=part where event_id>=committed group by part, committed
+""",
+    "intake_both_feeds": f"""
+with {_HLS}, {_RTMP} select 'hls' as name, day, count(*) as n from hls group by day
+union all select 'rtmp', day, count(*) from rtmp group by day
+union all select 'lines-' || topic, day, count(*) from typed, (values ('nodeHls'),('RtmpFluence')) t(topic) group by topic, day
+""",
+    "mq_stream": f"""
+with pages as ({_PAGES}), starts as (select event_id%3 as part, min(event_id)+10 as first from events group by 1)
+select p."partition", p."offset", p.body from pages p join starts s on p."partition"=s.part where p."offset">=s.first
+""",
     "mq_next_position": """
 select cast(event_id%3 as integer) as "partition", max(event_id)+1 as "nextOffset"
 from events group by event_id%3

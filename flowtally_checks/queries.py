@@ -11,8 +11,8 @@ from flowtally.operators import decode, geo, hls, progress, rtmp
 from flowtally.plans import base, cascade, rollups, upkeep
 from flowtally.schemas import HLS_DIMS, HLS_METRICS, HLS_TOPIC, RTMP_DIMS, RTMP_METRICS, RTMP_TOPIC
 from flowtally.session import work_dir
-from flowtally.sources import archive, handoff, mq
-from flowtally.streaming import partials, served
+from flowtally.sources import archive, handoff, mq, sealed
+from flowtally.streaming import intake, ledger, partials, served
 
 # A local day that lies inside the data at every scale.
 DAY = 20240115
@@ -261,6 +261,67 @@ def serve_deltas(spark, sf_dir):
     return served.table(spark, kept, "hls_down_user_hour")
 
 
+def _sealed(spark, sf_dir):
+    """Archive of three batches, the last one written twice, with all closed days of the access log sealed."""
+    path, messages = work_dir(spark, "sealed"), _mixed(spark, sf_dir)
+    for batch_id in (0, 1, 2, 2):
+        sealed.keep(messages.where(f"offset % 3 = {batch_id}"), path, "first", batch_id)
+    for _ in range(2):
+        sealed.seal(spark, path, HLS_TOPIC, DAY)
+    return path
+
+
+def replay_sealed_day(spark, sf_dir):
+    """Lines of a sealed day by their place in the queue, with how much traffic each tells of."""
+    frame = sealed.replay(spark, _sealed(spark, sf_dir), HLS_TOPIC, DAY)
+    return frame.select("topic", "partition", "offset", F.get_json_object("value", "$.body_bytes_sent").cast("bigint").alias("bytes"))
+
+
+def partition_progress_indexed(spark, sf_dir):
+    """As partition_progress, from the archive's zones: only files around the offsets are opened."""
+    rows, path = feeds.events(spark, sf_dir), work_dir(spark, "indexed")
+    messages = feeds.hls_messages(rows).withColumn("partition", (F.col("offset") % 9).cast("int"))
+    for batch_id in range(2):
+        sealed.keep(messages.where(f"offset % 2 = {batch_id}"), path, "first", batch_id)
+    sealed.seal(spark, path, HLS_TOPIC, DAY)
+    return sealed.reached_day(spark, path, HLS_TOPIC, feeds.mq_offsets(rows))
+
+
+def _intake(spark, sf_dir):
+    """Both feeds in one pass."""
+    root = work_dir(spark, "intake")
+    intake.start(feeds.mixed_messages(feeds.event_stream(spark, sf_dir)), root, f"{root}-checkpoint", "first",
+                 availableNow=True).awaitTermination()
+    return root
+
+
+def intake_both_feeds(spark, sf_dir):
+    """Requests and sessions by feed and day, and archived lines, out of one pass."""
+    root = _intake(spark, sf_dir)
+    counted = [
+        partials.read_partials(spark, root, feed, table=intake.sums_table(feed)).select(
+            F.lit(feed).alias("name"), F.col("day").cast("bigint").alias("day"), F.col(count).alias("n"))
+        for feed, count in (("hls", "counts"), ("rtmp", "total_counts"))]
+    log = ledger.Ledger(spark, root)
+    days = sorted({(part["keys"]["topic"], int(part["keys"]["day"])) for part in ledger.of_table(log.state()[1], sealed.LINES)})
+    counted += [sealed.replay(spark, root, topic, day, ordered=False).select(
+        F.concat(F.lit("lines-"), "topic").alias("name"), F.lit(day).cast("bigint").alias("day"), F.lit(1).cast("bigint").alias("n"))
+        for topic, day in days]
+    return reduce(DataFrame.unionByName, counted).groupBy("name", "day").agg(F.sum("n").alias("n"))
+
+
+def mq_stream(spark, sf_dir):
+    """Messages of all landed pages, pulled step by step by position; pages below the first offset kept are skipped."""
+    rows, root = feeds.events(spark, sf_dir), work_dir(spark, "pulled")
+    pages = feeds.mq_pages(rows)
+    offsets = rows.groupBy((F.col("event_id") % 3).cast("int").alias("partition")).agg(
+        (F.min("event_id") + 10).alias("startOffset"), F.min("event_id").alias("offset"))
+    most = rows.agg(F.max("event_id")).first()[0]
+    while intake.pull(pages, offsets, root, "first", limit=most // 3 + 1):
+        pass
+    return intake.pulled(spark, root)
+
+
 def mq_next_position(spark, sf_dir):
     return mq.next_positions(feeds.mq_pages(feeds.events(spark, sf_dir)))
 
@@ -448,6 +509,10 @@ QUERIES = {
     "serve_rewritten_batch_rtmp": serve_rewritten_batch_rtmp,
     "compacted_day": compacted_day,
     "serve_deltas": serve_deltas,
+    "replay_sealed_day": replay_sealed_day,
+    "partition_progress_indexed": partition_progress_indexed,
+    "intake_both_feeds": intake_both_feeds,
+    "mq_stream": mq_stream,
     "mq_next_position": mq_next_position,
     "partition_progress_rtmp": partition_progress_rtmp,
     "partition_lag": partition_lag,
