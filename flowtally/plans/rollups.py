@@ -279,7 +279,7 @@ def hour_counts(feed):
 
 
 def hour_levels(counters, feed):
-    """Every level of a feed by hour in one grouping-sets pass, with day and hour last.
+    """Every level of a feed by hour in one grouping-sets pass, the day last.
 
     Sums of these rows over hours are the rows of the daily tables.
     """
@@ -302,7 +302,7 @@ def hour_levels(counters, feed):
         level = F.when(F.col("_set") == set_id, name).otherwise(level)
     lane = F.coalesce("lane", "exact_lane") if "exact_lane" in columns else F.col("lane")
     dims = [c for c in columns if c not in ("lane", "exact_lane")]
-    return passed.select(lane.alias("lane"), *dims, *sums, level.alias("level"), "day", "hour").filter(F.col("lane").isNotNull())
+    return passed.select(lane.alias("lane"), *dims, "hour", *sums, level.alias("level"), "day").filter(F.col("lane").isNotNull())
 
 
 def serve_hours(hours, name):

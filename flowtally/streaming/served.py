@@ -1,9 +1,9 @@
 """Served rollups on disk: totals by hour, kept up to date by signed deltas.
 
-The kept state holds a row per hour, level and key. A fold takes the partial
-sums that were committed since the last one, minus those that were replaced or
-purged, and adds them to the rows of the hours they touch; no other sums are
-read. It commits the new hours together with the commit of the partial sums it has
+The kept state holds a row per hour, level and key, a part per day. A fold takes
+the partial sums that were committed since the last one, minus those that were
+replaced or purged, and adds them to the rows of the days they touch; no other
+sums are read. It commits the new rows together with the commit of the partial sums it has
 got to, so a fold that is run again, or was stopped anywhere, counts nothing
 twice. Keys whose count falls to zero go.
 
@@ -16,7 +16,6 @@ from pyspark.sql import functions as F
 from flowtally.plans.base import COUNTERS, KEYS
 from flowtally.plans.rollups import CATALOGUE, hour_counts, hour_levels, serve_hours
 from flowtally.schemas import partials_schema
-from flowtally.session import work_dir
 from flowtally.streaming import ledger, partials
 
 HOURS = "hours"
@@ -92,20 +91,16 @@ def fold(spark, feed, partials_path, rollups_path, days=(), table=partials.SUMS)
     signed = [_signed(partials.read_parts(source, feed, parts, table), feed, sign)
               for parts, sign in ((add, 1), (take, -1)) if parts]
     delta = hour_levels(signed[0] if len(signed) == 1 else signed[0].unionByName(signed[1]), feed)
-    path = work_dir(spark, "delta")
-    delta.write.parquet(path)
-    delta = spark.read.schema(delta.schema).parquet(path)
-    # As many rows as hours that new sums touch; they only pick the folders to be read.
-    touched = {(str(day), str(hour)) for day, hour in delta.select("day", "hour").distinct().toLocalIterator()}
-    before = [part for part in hours.values() if (part["keys"]["day"], part["keys"]["hour"]) in touched
-              and int(part["keys"]["day"]) not in rebuilt]
+    touched = {part["keys"]["day"] for part in [*add, *take]}
+    before = [part for part in hours.values()
+              if part["keys"]["day"] in touched and int(part["keys"]["day"]) not in rebuilt]
     rows = _read_hours(kept, feed, before).unionByName(delta.select(*_read_hours(kept, feed, []).columns))
     counters = hour_counts(feed)
     kinds = dict(rows.dtypes)
     keys = [c for c in rows.columns if c not in kinds or c not in counters["sums"]]
     totals = rows.groupBy(*keys).agg(*[F.sum(c).cast(kinds[c]).alias(c) for c in counters["sums"]])
     alive = totals.filter(" + ".join(counters["rows"]) + " <> 0")
-    parts = kept.write(alive.sortWithinPartitions("level"), HOURS, feed, now, "day", "hour")
+    parts = kept.write(alive.sortWithinPartitions("level"), HOURS, feed, now, "day")
     return commit(parts, [part["id"] for part in [*before, *stale]])
 
 

@@ -110,24 +110,25 @@ def test_deltas_equal_a_rebuild(spark, frame, folder, feed, record):
     assert _same_as_rebuilt(spark, folder, feed)
 
 
-def test_a_fold_reads_new_batches_and_touched_hours_only(spark, frame, folder, monkeypatch):
+def test_a_fold_reads_new_batches_and_touched_days_only(spark, frame, folder, monkeypatch):
     for batch_id in range(3):
         _account(frame, folder, batch_id, [SEGMENT, {**SEGMENT, "unix_time": str(1400000000 + 3600 * batch_id)}])
         _fold(spark, folder)
+    _account(frame, folder, 3, [{**SEGMENT, "unix_time": "1500000000"}])
+    _fold(spark, folder)
     _account(frame, folder, 1, [{**SEGMENT, "unix_time": "1400003600"}])
     read, plain = [], ledger.Ledger.read
 
     def watched(self, parts, table, schema):
         rows = plain(self, parts, table, schema)
-        read.extend((table, part["run"], part["batch_id"], part["keys"].get("hour")) for part in parts)
+        read.extend((table, part["run"], part["batch_id"], part["keys"]["day"]) for part in parts)
         assert len(rows.inputFiles()) == sum(part["files"] for part in parts)
         return rows
 
     monkeypatch.setattr(ledger.Ledger, "read", watched)
     _fold(spark, folder)
     assert {x[1:3] for x in read if x[0] == "sums"} == {("first", 1)}
-    assert sorted(x[3] for x in read if x[0] == "hours") == ["2014051402", "2023111515"] or \
-        len([x for x in read if x[0] == "hours"]) == 2
+    assert sorted(x[3] for x in read if x[0] == "hours") == [str(LATE_DAY), str(DAY)]
     read.clear()
     _fold(spark, folder)
     assert not read
