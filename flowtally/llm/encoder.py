@@ -10,7 +10,6 @@ import regex
 PRINTABLE = [*range(33, 127), *range(161, 173), *range(174, 256)]
 # A word of these characters is already in normal form and lower-cases letter by letter.
 PLAIN = regex.compile("[!-~¡-¬®-įı-ňŊ-ſ]+")
-CUT = str.maketrans("\t\n\r", "   ")
 
 
 def byte_letters():
@@ -30,17 +29,37 @@ def encoder(path):
     return WordEncoder(path)
 
 
+class _Cache(dict):
+    """Values of a function, worked out where a key is met first; look-ups of known keys stay in C.
+
+    At its bound it keeps what it holds aside once more, so frequent keys stay.
+    """
+
+    def __init__(self, function, bound):
+        self.function, self.bound, self.aside = function, bound, {}
+
+    def __missing__(self, key):
+        value = self.aside.get(key)
+        self[key] = value = self.function(key) if value is None else value
+        return value
+
+    def trim(self):
+        if len(self) > self.bound:
+            self.aside = dict(self)
+            self.clear()
+
+
 class WordEncoder:
     """Ids of ``Tokenizer.encode(text, add_special_tokens=False)`` as little-endian int32 bytes.
 
     Such a vocabulary never joins across blanks, so each distinct word is
     encoded once and kept. Plain Latin words go straight to the BPE model;
     every other word (other scripts, special tokens, unusual blanks) takes the
-    tokenizer's full path. Words and their pieces are kept in caches that are
-    emptied when they reach their bounds.
+    tokenizer's full path. Words and their pieces are kept in
+    bounded caches.
     """
 
-    def __init__(self, path, words=300_000, pieces=1_200_000):
+    def __init__(self, path, words=500_000, pieces=1_200_000):
         from tokenizers import Tokenizer
 
         self.full = Tokenizer.from_file(path)
@@ -50,8 +69,8 @@ class WordEncoder:
         self.pieces = regex.compile(pattern).findall
         self.model = self.full.model
         self.letters = byte_letters()
-        self.special = [t["content"] for t in spec["added_tokens"]]
-        self.words, self.word_bound = {}, words
+        self.special = regex.compile("|".join(regex.escape(t["content"]) for t in spec["added_tokens"]) or "(?!)").search
+        self.words = _Cache(self._word, words // 2)
         self.known, self.piece_bound = {}, pieces
 
     def _piece(self, piece):
@@ -67,7 +86,7 @@ class WordEncoder:
 
     def _word(self, word):
         plain = word.isascii() and word.isprintable() or PLAIN.fullmatch(word)
-        if plain and not any(s in word for s in self.special):
+        if plain and not self.special(word):
             word = word.lower()
             if word.isalpha():
                 return self._piece(word)
@@ -77,14 +96,7 @@ class WordEncoder:
         return np.array(self.full.encode(word, add_special_tokens=False).ids, dtype="<i4").tobytes()
 
     def __call__(self, text):
-        cache, out = self.words, []
-        if len(cache) > self.word_bound:
-            cache.clear()
+        self.words.trim()
         # A special token may hold blanks only if the vocabulary says so; none does here.
-        for word in text.translate(CUT).split(" "):
-            ids = cache.get(word)
-            if ids is None:
-                ids = cache[word] = self._word(word)
-            out.append(ids)
-        return b"".join(out)
-
+        plain = text.replace("\t", " ").replace("\n", " ").replace("\r", " ")
+        return b"".join(map(self.words.__getitem__, plain.split(" ")))
