@@ -62,7 +62,9 @@ def derive(accepted, tz=timekeys.DEFAULT_TZ, slice_compare="numeric"):
     """
     if slice_compare not in ("numeric", "text"):
         raise ValueError("slice_compare is 'numeric' or 'text'")
-    status = F.coalesce(numbers.whole(F.col("http_stat")).try_cast("int"), F.lit(0))
+    # A status beyond int is the largest int, hence no valid one.
+    status = F.least(F.coalesce(numbers.whole(F.col("http_stat")), F.lit(0)), F.lit(2**31 - 1)).try_cast("int")
+    status = F.coalesce(status, F.lit(0))
     server_type = F.when(F.col("svr_type").isNull(), 0).otherwise(
         F.coalesce(numbers.whole(F.col("svr_type")).try_cast("int"), F.lit(-1)))
     tokenised = accepted.withColumns({

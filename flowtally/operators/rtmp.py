@@ -23,14 +23,15 @@ def read(frame):
 
 
 def _fluency_time(time, fluency):
-    """Play time times fluency, exact; NULL beyond 10^26.
+    """Play time times fluency, exact; NULL beyond 10^25.
 
     A product of both as they are would lose digits to its precision, so the
     whole part and the fraction are multiplied apart.
     """
     time, whole = time.cast("decimal(19,0)"), F.floor(fluency).cast("decimal(18,0)")
-    product = (time * whole).try_cast(FRACTION_SUM_TYPE)
-    return product + (time * (fluency - whole).cast("decimal(12,12)")).cast(FRACTION_SUM_TYPE)
+    # The types are so narrow that their sum keeps its twelve places.
+    product = (time * whole).try_cast("decimal(37,12)")
+    return (product + time * (fluency - whole).cast("decimal(12,12)")).cast(FRACTION_SUM_TYPE)
 
 
 def _numbers(decoded):

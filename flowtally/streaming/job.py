@@ -3,7 +3,7 @@
     spark-submit --packages <spark-sql-kafka> flowtally/streaming/job.py account \\
         --root hdfs://…/flowtally --run 2024a --brokers host1:9092,host2:9092
 
-All tables lie below ``--root``: partials/, rejects/, rollups/, archive/ and
+All tables lie below ``--root``: partials/, rejects/, rollups/, archive/, intake/ and
 checkpoints/. A new checkpoint needs a new ``--run`` name.
 """
 
@@ -13,7 +13,7 @@ from flowtally.functions.timekeys import DEFAULT_TZ
 from flowtally.plans.base import KEYS
 from flowtally.session import build_session
 from flowtally.sources import archive, kafka
-from flowtally.streaming import partials, served
+from flowtally.streaming import intake, partials, served
 
 
 # Records per second and partition where nothing is said: a start on a backlog
@@ -33,7 +33,8 @@ def arguments(argv=None):
 
     account = command("account", "account both topics continuously")
     keep = command("archive", "archive both topics continuously")
-    for sub in (account, keep):
+    both = command("intake", "account and archive both topics in one pass")
+    for sub in (account, keep, both):
         sub.add_argument("--run", required=True, help="name of this checkpoint's life")
         sub.add_argument("--brokers", required=True)
         sub.add_argument("--seconds", type=int, default=300, help="micro-batch interval")
@@ -48,7 +49,9 @@ def arguments(argv=None):
     replay.add_argument("--max-bytes", type=int, default=4 * 2**30, help="archive bytes per micro-batch")
     purge = command("purge", "remove one day from partial sums and rollups")
     refresh = command("refresh", "rebuild rollups of some days, or of all")
-    for sub in (serve, replay, purge, refresh):
+    compact = command("compact", "merge the partial sums of each closed day into one part")
+    compact.add_argument("--before", type=int, required=True, help="first day, yyyyMMdd, that is still open")
+    for sub in (serve, replay, purge, refresh, compact):
         sub.add_argument("--feed", choices=sorted(KEYS), required=True)
     for sub in (replay, purge):
         sub.add_argument("--day", type=int, required=True, help="yyyyMMdd")
@@ -68,7 +71,7 @@ def limit_of(args, topics):
 def main(argv=None, spark=None):
     args = arguments(argv)
     spark = spark or build_session(f"flowtally-{args.command}")
-    if args.command in ("account", "archive"):
+    if args.command in ("account", "archive", "intake"):
         def open_frame(*topics):
             return kafka.read_stream(
                 spark, args.brokers, topics=topics, max_offsets=limit_of(args, topics))
@@ -76,6 +79,9 @@ def main(argv=None, spark=None):
         interval = {"processingTime": f"{args.seconds} seconds"}
         if args.command == "account":
             partials.start_feeds(open_frame, args.root, args.run, args.tz, **interval)
+        elif args.command == "intake":
+            intake.start(open_frame(*partials.TOPICS.values()), f"{args.root}/intake",
+                         f"{args.root}/checkpoints/{args.run}/intake", args.run, args.tz, **interval)
         else:
             archive.write_stream(
                 open_frame(*partials.TOPICS.values()), f"{args.root}/archive",
@@ -95,6 +101,8 @@ def main(argv=None, spark=None):
             frame, args.feed, sums, f"{args.root}/checkpoints/{args.run}/{args.feed}", args.run,
             f"{args.root}/rejects/{args.feed}", args.tz, availableNow=True).awaitTermination()
         served.refresh(spark, args.feed, sums, rollups, [args.day])
+    elif args.command == "compact":
+        partials.compact(spark, args.feed, sums, partials.scattered_days(spark, sums, args.before))
     elif args.command == "purge":
         served.purge_partials(spark, args.feed, sums, args.day)
         served.purge_rollups(spark, args.feed, rollups, args.day)

@@ -164,3 +164,8 @@ def test_parse_happens_once_and_only_used_columns_shuffle(frame):
     assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan
     assert "remote_addr#" not in plan.split("Exchange")[0]
     assert sums.filter(F.col("counts") > 0).count() == 1
+
+
+def test_a_status_beyond_int_is_not_valid(frame):
+    row = _derive(frame, [_request("GET /a/b.m3u8 H", http_stat=3_000_000_000)])[0]
+    assert (row["http_stat"], row["valid"], row["nlt_400_counts"], row["flux"]) == (2**31 - 1, False, 1, 0)

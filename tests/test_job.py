@@ -2,7 +2,7 @@ import pytest
 
 from flowtally.schemas import HLS_TOPIC, RTMP_TOPIC
 from flowtally.sources import archive, kafka
-from flowtally.streaming import job, partials, served
+from flowtally.streaming import job, ledger, partials, served
 from samples import PLAYLIST, SEGMENT, SESSION
 
 
@@ -43,6 +43,17 @@ def test_replay_purge_refresh(spark, frame, folder):
     assert served.table(spark, f"{root}/rollups/hls", "hls_day_data").first()["count"] == 2
 
 
+def test_compact_merges_days_that_are_closed(spark, frame, folder):
+    root = folder("root")
+    for batch_id in range(2):
+        partials.account_batch(frame(HLS_TOPIC, [SEGMENT, PLAYLIST]), batch_id, "hls", f"{root}/partials/hls", "one")
+    for before, parts in ((20231115, 2), (20231116, 1)):
+        job.main(["compact", "--feed", "hls", "--root", root, "--before", str(before)], spark)
+        log = ledger.Ledger(spark, f"{root}/partials/hls")
+        assert len(ledger.of_table(log.state()[1], "sums")) == parts
+    assert partials.read_partials(spark, f"{root}/partials/hls", "hls").count() == 2
+
+
 def test_account_reads_each_topic_from_kafka(spark, folder, monkeypatch):
     opened = []
     monkeypatch.setattr(kafka, "read_stream",

@@ -161,3 +161,17 @@ def test_a_key_with_a_third_of_all_rows(spark):
     assert rows["hot"] == (10_000, sum(range(0, 30_000, 3)))
     assert sum(n for n, _ in rows.values()) == 30_000
     assert sum(flux for _, flux in rows.values()) == sum(range(30_000))
+
+
+@pytest.mark.parametrize("name", ["hls_base", "hls_all_levels", "rtmp_base", "rtmp_all_levels", "rtmp_down"])
+def test_generated_methods_stay_below_the_limit_of_the_jit(spark, name):
+    from flowtally_checks.queries import QUERIES
+
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = QUERIES[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan()
+        stages = spark._jvm.org.apache.spark.sql.execution.debug.package.codegenStringSeq(plan)
+        sizes = [stages.apply(i)._3().maxMethodCodeSize() for i in range(stages.size())]
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert sizes and max(sizes) < 8000
