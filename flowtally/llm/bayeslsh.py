@@ -57,7 +57,7 @@ _BAND_SEEDS = _RANDOM.integers(0, 1 << 63, BANDS, dtype=np.uint64)
 _M1, _M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
 
-def _mix(a, b):
+def mix(a, b):
     """One 64-bit hash of two."""
     x = a * _M1 + b
     x ^= x >> np.uint64(32)
@@ -90,7 +90,7 @@ def shingles(text, size=SHINGLE):
     width = min(size, len(codes))
     out = np.full(len(codes) - width + 1, width, dtype=np.uint64)
     for k in range(width):
-        out = _mix(out, codes[k:len(codes) - width + 1 + k])
+        out = mix(out, codes[k:len(codes) - width + 1 + k])
     return np.unique(out)
 
 
@@ -107,7 +107,7 @@ def _band_keys(minima):
     keys = _BAND_SEEDS.copy()
     parts = minima.reshape(BANDS, ROWS).astype(np.uint64)
     for k in range(ROWS):
-        keys = _mix(keys, parts[:, k])
+        keys = mix(keys, parts[:, k])
     return keys.view(np.int64)
 
 
@@ -128,7 +128,7 @@ def least_matches(percent=PERCENT, miss=MISS):
     return needed
 
 
-def _row():
+def row_hash():
     """A hash that names a row, together with its doc_id, the same wherever it is worked out."""
     return F.xxhash64("doc_id", "text")
 
@@ -151,7 +151,7 @@ def prints(docs, size=SHINGLE):
                  pa.ListArray.from_arrays(pa.array(ends), pa.array(keys))],
                 names=["doc_id", "row", "n", "d1", "d2", "minima", "keys"])
 
-    return docs.select("doc_id", _row().alias("row"), "text").mapInArrow(
+    return docs.select("doc_id", row_hash().alias("row"), "text").mapInArrow(
         run, "doc_id long, row long, n long, d1 long, d2 long, minima binary, keys array<long>")
 
 
@@ -344,13 +344,21 @@ def _across_chunks(texts, edges, size, percent, pivots):
 def links(docs, classes, percent=PERCENT, size=SHINGLE, miss=MISS, bucket=BUCKET, chunk=CHUNK, pivots=PIVOTS):
     """Exact links (a, b) between classes whose closure is that of all pairs similar enough."""
     coarse = components(_candidates(classes, percent, miss, bucket))
+    return exact_links(docs, classes, coarse, percent, size, chunk, pivots)
+
+
+def exact_links(docs, classes, coarse, percent, size, chunk=CHUNK, pivots=PIVOTS):
+    """Exact links (a, b) between the classes of each coarse group (node, root), whose closure is that of all such links.
+
+    ``classes`` has node, n and the row that stands for the class: row and from_doc.
+    """
     groups = cut(coarse.unionByName(coarse.select(F.col("root").alias("node"), "root").distinct()), "groups")
     sized = groups.join(classes.select("node", "row", "from_doc", "n"), "node")
     chunks = sized.groupBy("root").agg(F.ceil(F.sum("n") / F.lit(chunk)).alias("chunks"))
     members = sized.join(chunks, "root").select(
         "root", "chunks", F.pmod(F.xxhash64("node"), "chunks").alias("chunk"), "node", "row", "from_doc")
     same_row = (F.col("of_row") == F.col("row")) & F.col("doc_id").eqNullSafe(F.col("from_doc"))
-    texts = (docs.select("doc_id", _row().alias("of_row"), "text").join(members, same_row)
+    texts = (docs.select("doc_id", row_hash().alias("of_row"), "text").join(members, same_row)
              .select("root", "chunks", "chunk", "node", "text"))
     texts = cut(texts, "group-texts")
     order = ["root", "chunk", "node"]

@@ -191,3 +191,11 @@ def dedup_passages(docs):
             .withColumn("removed_lines", F.when(lost, F.size("_lost")).otherwise(0).cast("bigint"))
             .withColumn("removed_chunks", F.when(lost, F.size(touched)).otherwise(0).cast("bigint"))
             .drop("_id", "_hash", "_chunks", "_gone", "_covered", "_lost", "_split"))
+
+
+def drop_passages(docs):
+    """The documents with exactly their columns, text as ``dedup_passages`` leaves it."""
+    others = [c for c in docs.columns if c not in ("doc_id", "text")]
+    # Kept apart, other columns can bear any name.
+    packed = docs.select("doc_id", "text", F.struct(*others).alias("others")) if others else docs
+    return dedup_passages(packed).select(*(F.col(f"others.`{c}`") if c in others else F.col(c) for c in docs.columns))
