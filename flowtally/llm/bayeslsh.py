@@ -80,6 +80,11 @@ class _Words(dict):
 _words = _Words()
 
 
+def forget_words():
+    """Frees the hashes of words that this worker holds."""
+    _words.clear()
+
+
 def shingles(text, size=SHINGLE):
     """Distinct shingles of a whole text as sorted hashes."""
     words = words_of(text)
