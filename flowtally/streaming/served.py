@@ -94,11 +94,15 @@ def fold(spark, feed, partials_path, rollups_path, days=(), table=partials.SUMS)
     touched = {part["keys"]["day"] for part in [*add, *take]}
     before = [part for part in hours.values()
               if part["keys"]["day"] in touched and int(part["keys"]["day"]) not in rebuilt]
-    rows = _read_hours(kept, feed, before).unionByName(delta.select(*_read_hours(kept, feed, []).columns))
+    kept_columns = _read_hours(kept, feed, []).columns
     counters = hour_counts(feed)
-    kinds = dict(rows.dtypes)
-    keys = [c for c in rows.columns if c not in kinds or c not in counters["sums"]]
-    totals = rows.groupBy(*keys).agg(*[F.sum(c).cast(kinds[c]).alias(c) for c in counters["sums"]])
+    totals = delta.select(*kept_columns)
+    # The delta has a row per key already; only where rows are kept the two have to be added.
+    if before:
+        rows = _read_hours(kept, feed, before).unionByName(totals)
+        kinds = dict(rows.dtypes)
+        keys = [c for c in rows.columns if c not in kinds or c not in counters["sums"]]
+        totals = rows.groupBy(*keys).agg(*[F.sum(c).cast(kinds[c]).alias(c) for c in counters["sums"]])
     alive = totals.filter(" + ".join(counters["rows"]) + " <> 0")
     parts = kept.write(alive.sortWithinPartitions("level"), HOURS, feed, now, "day")
     return commit(parts, [part["id"] for part in [*before, *stale]])

@@ -220,3 +220,23 @@ def test_hour_levels_are_the_tables(frame):
         for name, spec in rollups.CATALOGUE.items():
             if spec.feed == feed:
                 assert _rows(rollups.serve_hours(kept, name)) == _rows(rollups.rollup(rows, name)), name
+
+
+def test_rows_are_added_to_kept_ones_only_where_there_are_some(spark, frame, folder, monkeypatch):
+    plain, sums = ledger.Ledger.write, []
+
+    def noted(self, rows, table, *args, **kwargs):
+        if table == served.HOURS:
+            sums.append(rows._jdf.queryExecution().optimizedPlan().toString().count("Aggregate ["))
+        return plain(self, rows, table, *args, **kwargs)
+
+    monkeypatch.setattr(ledger.Ledger, "write", noted)
+    _account(frame, folder, 0, [SEGMENT, PLAYLIST, LATE])
+    _fold(spark, folder)
+    _same_as_rebuilt(spark, folder)
+    _account(frame, folder, 1, [SEGMENT])
+    _fold(spark, folder)
+    _same_as_rebuilt(spark, folder)
+    served.refresh(spark, "hls", folder("p"), folder("s"))
+    _same_as_rebuilt(spark, folder)
+    assert sums == [1, 2, 1]
