@@ -28,19 +28,24 @@ def sums_table(feed):
 def account_both(batch, batch_id, root, run, tz=timekeys.DEFAULT_TZ):
     """Account one micro-batch of both topics: sums and rejects of either feed and archived lines, one commit.
 
-    The messages are read from the source once and kept, on disk where memory is short, for the five writes.
+    The messages are read from the source once and kept, on disk where memory is short, for all writes; so are the
+    decoded ones of a feed, with the text of rejected messages only, for its two.
     """
     log = ledger.Ledger(batch.sparkSession, root)
     batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         parts = sealed.write(log, batch, run, batch_id, tz)
-        unplaced = archive.rejects(batch).withColumn("feed", F.lit("archive"))
+        parts += log.write(archive.rejects(batch).withColumn("feed", F.lit("archive")), REJECTS, run, batch_id, "feed")
         for feed, operators in partials.OPERATORS.items():
-            decoded = operators.read(batch)
-            sums = base(operators.derive(operators.accept(decoded), tz), feed)
-            parts += partials.write_parts(log, sums, run, batch_id, sums_table(feed))
-            unplaced = unplaced.unionByName(operators.rejects(decoded).withColumn("feed", F.lit(feed)))
-        parts += log.write(unplaced, REJECTS, run, batch_id, "feed")
+            text = F.when(operators.reject_reason().isNotNull(), F.col("value"))
+            decoded = operators.read(batch).withColumn("value", text).persist(StorageLevel.MEMORY_AND_DISK)
+            try:
+                sums = base(operators.derive(operators.accept(decoded), tz), feed)
+                parts += partials.write_parts(log, sums, run, batch_id, sums_table(feed))
+                rejects = operators.rejects(decoded).withColumn("feed", F.lit(feed))
+                parts += log.write(rejects, REJECTS, run, batch_id, "feed")
+            finally:
+                decoded.unpersist()
     finally:
         batch.unpersist()
     tables = [sealed.LINES, sealed.ZONES, REJECTS, *map(sums_table, partials.OPERATORS)]

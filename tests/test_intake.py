@@ -118,6 +118,19 @@ def test_both_feeds_by_one_commit(spark, folder):
     assert served.table(spark, folder("s"), "hls_down").count() == 0
 
 
+def test_messages_of_a_feed_are_decoded_once(spark, folder, monkeypatch):
+    plain, seen = hls.read, spark.sparkContext.accumulator(0)
+
+    @F.udf("boolean")
+    def counted(malformed):
+        seen.add(1)
+        return malformed
+
+    monkeypatch.setattr(hls, "read", lambda batch: plain(batch).withColumn("malformed", counted("malformed")))
+    intake.account_both(_batch(spark), 0, folder("r"), "first")
+    assert seen.value == 3 and _seen(spark, folder("r")) == [2, 1, 2, 3]
+
+
 def test_one_query_reads_the_source_once(spark, folder, tmp_path):
     (tmp_path / "in").mkdir()
     for i in range(2):
