@@ -105,16 +105,19 @@ class Symbols:
         self.__dict__.update(state)
         self.clear()
 
-    def _add(self, word):
-        ending = word[-ENDING:]
-        self.known[word] = len(self.next_of)
-        self.next_of.append(self.fine.get(word) or self.fine_ending.get(ending, OTHER))
-        self.context_of.append(self.coarse.get(word) or self.coarse_ending.get(ending, OTHER))
-        self.hash_of.append(word_hash(word))
-
-    def encode(self, texts, kept=400_000):
-        """Next symbols, contexts, word hashes and lengths of texts, one after another, ends included."""
-        if len(self.known) > kept:
+    def _add(self, words, hashed):
+        fine, fine_ending = self.fine.get, self.fine_ending.get
+        coarse, coarse_ending = self.coarse.get, self.coarse_ending.get
+        first = len(self.next_of)
+        self.known.update(zip(words, range(first, first + len(words))))
+        self.next_of.extend([fine(w) or fine_ending(w[-ENDING:], OTHER) for w in words])
+        self.context_of.extend([coarse(w) or coarse_ending(w[-ENDING:], OTHER) for w in words])
+        if hashed:
+            self.hash_of.extend(map(word_hash, words))
+
+    def encode(self, texts, hashed=True, kept=400_000):
+        """Next symbols, contexts, word hashes (if wanted) and lengths of texts, one after another, ends included."""
+        if len(self.known) > kept or hashed and len(self.hash_of) < len(self.known):
             self.clear()
         tokens, lengths = [], []
         for text in texts:
@@ -123,15 +126,15 @@ class Symbols:
             tokens.append(END)
             lengths.append(len(found) + 1)
         known = self.known
-        for word in set(tokens).difference(known):
-            self._add(word)
+        self._add(list(set(tokens).difference(known)), hashed)
         codes = np.fromiter(map(known.__getitem__, tokens), dtype=np.int64, count=len(tokens))
         lengths = np.array(lengths, dtype=np.int64)
         following = np.frombuffer(self.next_of, dtype=np.int64)[codes]
         context = np.frombuffer(self.context_of, dtype=np.int64)[codes]
         starts = np.cumsum(lengths) - lengths
         last, before = shift(context, starts, 1), shift(context, starts, 2)
-        return following, last, before, np.frombuffer(self.hash_of, dtype=np.int64)[codes], lengths
+        hashes = np.frombuffer(self.hash_of, dtype=np.int64)[codes] if hashed else None
+        return following, last, before, hashes, lengths
 
 
 def shift(context, starts, by):
@@ -159,13 +162,15 @@ def counter(symbols_sent, pairs_sent=None):
         def rows():
             codes = np.concatenate([c for c, _ in held])
             counts = np.concatenate([n for _, n in held])
-            found, place = np.unique(codes, return_inverse=True)
-            totals = np.bincount(place, weights=counts, minlength=len(found)).astype(np.int64)
-            return pa.RecordBatch.from_arrays([pa.array(found), pa.array(totals)], names=["code", "n"])
+            order = np.argsort(codes)
+            codes, counts = codes[order], counts[order]
+            new = np.flatnonzero(np.r_[True, codes[1:] != codes[:-1]]) if len(codes) else order
+            totals = np.add.reduceat(counts, new) if len(codes) else counts
+            return pa.RecordBatch.from_arrays([pa.array(codes[new]), pa.array(totals)], names=["code", "n"])
 
         for batch in batches:
             for _, texts in slices(batch, 0):
-                following, last, before, _, lengths = symbols.encode(texts)
+                following, last, before, _, lengths = symbols.encode(texts, hashed=False)
                 if chosen is None:
                     codes = last * symbols.size + following
                     both = -1 - (before * symbols.contexts + last)

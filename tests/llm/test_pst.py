@@ -71,3 +71,22 @@ def test_nothing_to_learn_and_no_rows(spark):
     out = pst.score_held_out(spark.createDataFrame([(i, "a b", "", "") for i in held], SCHEMA)).collect()
     assert len(out) == len(held) and {r["n_known"] for r in out} == {0}
     assert pst.score_held_out(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def test_counting_codes_hashes_no_word():
+    """Hashes are for scoring only; codes are those of a plain count."""
+    class Sent:
+        value = pst.Symbols([(b"the", 9), (b"cat", 5)], [(b"ing", 4)], 20)
+
+    texts = ["the cat sitting the", "the zebra", None] * 5
+    batch = pst.pa.RecordBatch.from_pydict({"text": texts})
+    found = [r for b in pst.counter(Sent)([batch]) for r in b.to_pylist()]
+    symbols, wanted = Sent.value, Counter()
+    assert len(symbols.known) > 4 and len(symbols.hash_of) == 0
+    for text in texts:
+        following, last, before, hashes, _ = symbols.encode([text], hashed=False)
+        assert hashes is None
+        wanted.update((last * symbols.size + following).tolist())
+        wanted.update((-1 - (before * symbols.contexts + last)).tolist())
+    assert {r["code"]: r["n"] for r in found} == wanted
+    assert symbols.encode(["the dog"])[3].tolist() == [pst.word_hash(w) for w in (b"the", b"dog", pst.END)]
