@@ -39,6 +39,16 @@ def place():
     return F.expr("cast(_id as decimal(20, 0)) * cast(10000000000 as decimal(11, 0)) + k")
 
 
+def words_in(line):
+    """Blanks of a line plus one; bytes are as good as letters here and need no counting."""
+    return F.octet_length(line) - F.octet_length(F.replace(line, F.lit(" "))) + 1
+
+
+def is_blank(body):
+    """Whether lines hold nothing but blanks; looks no further than the first letter."""
+    return F.ltrim(body, F.lit(" \n")) == ""
+
+
 def keyed(docs):
     """The documents with _id and _hash, which name a row."""
     return (docs.withColumn("_id", F.coalesce(F.col("doc_id").cast("bigint"), F.lit(LOWEST)))
@@ -52,7 +62,7 @@ def with_chunks(docs):
     def line(x):
         return F.struct(
             F.conv(F.substring(F.md5(x.cast("binary")), 1, 8), 16, 10).cast("bigint").alias("h"),
-            (F.length(x) - F.length(F.replace(x, F.lit(" "))) + 1 >= LONG_WORDS).alias("long"))
+            (words_in(x) >= LONG_WORDS).alias("long"))
 
     def starts_chunk(i):
         last, current = F.get("_hashes", i - 1), F.get("_hashes", i)
@@ -62,7 +72,7 @@ def with_chunks(docs):
     def chunk(start, k):
         count = F.coalesce(F.get("_starts", k + 1), F.size("_lines")) - start
         body = F.array_join(F.slice("_lines", start + 1, count), "\n")
-        eligible = ((count > 1) | F.get("_hashes", start)["long"]) & (F.trim(F.replace(body, F.lit("\n"))) != "")
+        eligible = ((count > 1) | F.get("_hashes", start)["long"]) & ~is_blank(body)
         return F.struct(k.alias("k"), start.alias("start"), count.alias("lines"), eligible.alias("eligible"),
                         body.alias("body"))
 
@@ -116,9 +126,6 @@ def dedup_lines(docs, report=True):
 
 def with_runs(docs):
     """The documents with _runs: array of (k, lines, body_hash), the shortest runs of LONG_WORDS words from and to each line."""
-    def words(x):
-        return F.length(x) - F.length(F.replace(x, F.lit(" "))) + 1
-
     def length(counts):
         """How many of the counts it takes to have LONG_WORDS words; NULL if all are too few."""
         return F.aggregate(
@@ -147,11 +154,10 @@ def with_runs(docs):
         k, n = F.shiftright(run, 6).cast("int"), (run % 64).cast("int")
         body = F.array_join(F.slice("_lines", k + 1, n), "\n")
         return F.struct(k.alias("k"), n.alias("lines"),
-                        F.when(F.trim(F.replace(body, F.lit("\n"))) != "",
-                               F.unhex(F.md5(body.cast("binary")))).alias("body_hash"))
+                        F.when(~is_blank(body), F.unhex(F.md5(body.cast("binary")))).alias("body_hash"))
 
     return (docs.withColumn("_lines", F.split(F.col("text"), "\n"))
-            .withColumn("_words", F.transform("_lines", words))
+            .withColumn("_words", F.transform("_lines", words_in))
             .withColumn("_places", F.array_union(F.transform("_words", from_line), F.transform("_words", to_line)))
             .withColumn("_runs", F.transform(F.filter("_places", lambda x: x.isNotNull()), hashed))
             .drop("_lines", "_words", "_places"))
