@@ -1,8 +1,10 @@
 import warnings
 
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry_points
+from flowtally_checks import feeds
 from flowtally_checks.compare import connect, differences
 from flowtally_checks.oracles import ORACLES
 from flowtally_checks.queries import QUERIES
@@ -31,3 +33,12 @@ def test_query_equals_sql(spark, duck, name):
         warnings.simplefilter("ignore")
         assert differences(
             entry_points.queries()[name](spark, DATA), duck, entry_points.oracle_sql()[name]) is None
+
+
+def test_messages_are_dealt_over_tasks(spark):
+    """A table of one file is decoded by several tasks, whole."""
+    rows = feeds.events(spark, "/root/testdata/sf0.1")
+    tasks = feeds.hls_messages(rows).groupBy(F.spark_partition_id().alias("task")).count().collect()
+    total = spark.read.parquet("/root/testdata/sf0.1/events.parquet").count()
+    assert sum(r["count"] for r in tasks) == total
+    assert len(tasks) > 1 and max(r["count"] for r in tasks) < 0.6 * total
