@@ -1,23 +1,34 @@
 """Probabilistic suffix tree over words: variable-length contexts scored by their longest suffix state.
 
-Symbols. Words of at least ``SYMBOL`` of all training tokens are symbols of
+States of words. Every one or two words of the training corpus, or a text's
+start, that come before a word are a candidate, however rare, and every
+word met there twice or more is one of its next words. A word met once is not: left
+out, it has no count there to be told by. A candidate becomes a state if, each
+occurrence left out in turn, its next words are likelier than in its suffix. A state's next words
+are absolutely discounted, what is left goes to the suffix (interpolation). No
+state, next word or count is dropped for its share or rank. These counts are tables, sharded
+by context and joined, and grow with the corpus; two words are the greatest depth.
+
+Below them stands a small tree of symbols, which smooths words that no state
+of words knows. Words of at least ``SYMBOL`` of all training tokens are symbols of
 their own; all other words are symbols by their ending, where an ending has
 that share, or one common symbol. A context sees coarser symbols (share
-``CONTEXT``). So the tree has at most 1 / CONTEXT contexts of each length and
-1 / PAIR next symbols of a length: bounds that hold for any corpus, small enough
-to send to the tasks. The counts behind them cover the whole training corpus.
-
-States. A context of one or two symbols becomes a state if the divergence of
+``CONTEXT``). A context of one or two symbols becomes a state if the divergence of
 its next symbols from those of its suffix, times its count, exceeds half a log
-of the corpus size for each symbol it keeps. A state keeps the symbols of share
-PAIR together with it, absolutely discounted; what is left goes to its suffix
-(interpolation), at the root to the smoothed share (c + 0.1) / (N + 0.1 (V + 1)).
+of the corpus size for each symbol it keeps. It keeps the symbols of share
+PAIR together with it, absolutely discounted; what is left goes to its suffix,
+at the root to the smoothed share (c + 0.1) / (N + 0.1 (V + 1)).
 A word with a symbol shared by many gets its part of the root's share of the symbol.
+Its shares bound this tree, so that it can be sent to the tasks; what it leaves out is
+in the states of words.
 
-Scoring. Texts are scored where they are read, but for the counts of rare
-words: those rows (text, word) are shuffled by word hash and joined with the
-full counts of the corpus. No rare word is frequent, by definition, so no key
-is hot. The sums are brought together per text. Words are matched by 64-bit hash.
+Scoring. A text's score is a sum over its words, pairs and triples of words: the
+tree of symbols scores texts where they are read, and each word, pair or triple with a state
+of words adds what that state changes. Pairs and triples of at least ``HOT`` of all tokens are
+sent to the tasks. All others, and rare words, are rows (text, hash), shuffled by hash and
+joined with the tables; a bitmap of ``BITS`` bits that holds every key of the table spares
+most rows that would meet nothing. No such key is frequent, by definition, so no key
+is hot. The sums are brought together per text. Words, pairs and triples are matched by 64-bit hash.
 
 Defined cases: a NULL text counts as empty and has one token, the end; a NULL
 doc_id counts as ''; repeated rows are learned and scored each; without any
@@ -32,25 +43,33 @@ from collections import Counter
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from flowtally.llm.bayeslsh import mix
 from flowtally.llm.common import cut, is_held_out, words_of
 
 SYMBOL = 2e-6
 CONTEXT = 3e-4
 PAIR = 1e-6
+HOT = 1e-6
+BITS = 1 << 27
 ENDING = 3
 DISCOUNT = 0.75
 ALPHA = 0.1
 END = b"\n"
 OTHER = 0
-HEAD = -1
+HEAD, GRAM = -1, -2
 
 
 def word_hash(word):
     return xxhash.xxh3_64_intdigest(word) - (1 << 63)
 
 
+# Stands before the first word of a text; no word has a tab.
+START = word_hash(b"\t")
+
+
 def count_words(batches, kept=400_000):
     """(word, hash, n) of the tokens of texts, summed per task as far as memory allows."""
     def rows(counts):
@@ -233,12 +252,12 @@ class Tree:
             "left": np.where(retained, left, 1.0)})
         return retained
 
-    def log_probabilities(self, last, before, following):
+    def log_probabilities(self, last, before, following, depth=2):
         """log10 P(symbol | longest suffix state) and of the weight with which the root is reached."""
         p = self.root[following]
         reach = np.ones(len(p))
         pair = find(self.pairs, before * self.symbols.contexts + last)
-        for level, state in zip(self.levels, (last, pair)):
+        for level, state in list(zip(self.levels, (last, pair)))[:depth]:
             known = state >= 0
             state = np.where(known, state, 0)
             at = find(level["keys"], state * self.symbols.size + following)
@@ -310,69 +329,247 @@ def train(docs):
     return tree, counts, total, distinct
 
 
-def scorer(tree_sent):
-    """Rows of batches (doc_id, key, text): a head row per text and a row per rare word of a text.
+class Keys:
+    """A bitmap of 64-bit keys: every one of them is in it, of others few as long as it is sparse."""
+
+    def __init__(self, places, bits):
+        self.bitmap = np.zeros(BITS >> 6, dtype=np.uint64)
+        self.bitmap[places] = bits
+
+    def among(self, keys):
+        spot = keys >> np.uint64(65 - BITS.bit_length())
+        return (self.bitmap[spot >> np.uint64(6)] >> (spot & np.uint64(63))) & np.uint64(1) == 1
+
+
+def keys_of(frame):
+    """The :class:`Keys` of a column key; what is gathered is bounded by ``BITS``."""
+    spot = F.shiftrightunsigned("key", 65 - BITS.bit_length())
+    spots = frame.select(
+        F.shiftright(spot, 6).alias("at"), spot.bitwiseAND(F.lit(63)).cast("int").alias("bit")).groupBy("at").agg(
+        F.expr("bit_or(shiftleft(1L, bit))").alias("set"))
+    places, bits = collected(spots, "at", "set")
+    return Keys(places, bits.view(np.uint64))
+
+
+def grams(hashes, lengths):
+    """The word before each word, the key of both, and places and keys of triples of one text."""
+    words = hashes.view(np.uint64)
+    first = np.cumsum(lengths) - lengths
+    before = np.empty_like(words)
+    before[1:] = words[:-1]
+    before[first] = np.array(START).view(np.uint64)
+    pairs = mix(before, words)
+    inner = np.ones(len(words), dtype=bool)
+    inner[first] = False
+    inner = np.flatnonzero(inner)
+    return before, pairs, inner, mix(pairs[inner - 1], pairs[inner])
+
+
+def gram_counter(tree_sent, met_sent=None, kept=1_500_000):
+    """A function that counts words after a word, or pairs after a pair if both are among the given keys.
+
+    Rows: a what stands before, b what follows, x log10 of the symbols' share of b against the root's, n.
+    """
+    def run(batches):
+        tree, met = tree_sent.value, None if met_sent is None else met_sent.value
+        symbols, held = tree.symbols, []
+
+        def rows():
+            a, b, x = (np.concatenate(part) for part in zip(*held))
+            _, at, n = np.unique(mix(a, b), return_index=True, return_counts=True)
+            for first in range(0, len(at), 100_000):
+                some = at[first:first + 100_000]
+                yield pa.RecordBatch.from_arrays([
+                    pa.array(a[some].view(np.int64)), pa.array(b[some].view(np.int64)),
+                    pa.array(x[some].astype(np.float32)), pa.array(n[first:first + 100_000])], names=["a", "b", "x", "n"])
+
+        for batch in batches:
+            for _, texts in slices(batch, 0):
+                following, last, before, hashes, lengths = symbols.encode(texts)
+                word, pairs, inner, _ = grams(hashes, lengths)
+                if met is None:
+                    a, b = word, hashes.view(np.uint64)
+                else:
+                    known = met.among(pairs)
+                    inner = inner[known[inner - 1] & known[inner]]
+                    a, b = pairs[inner - 1], pairs[inner]
+                    following, last, before = following[inner], last[inner], before[inner]
+                log_p, _ = tree.log_probabilities(last, before, following, 1 if met is None else 2)
+                held.append((a, b, log_p - tree.log_root[following]))
+                if sum(len(part[0]) for part in held) > kept:
+                    yield from rows()
+                    held = []
+        if held:
+            yield from rows()
+
+    return run
+
+
+def keyed(batches):
+    """Rows (a, b, x, n) with the key of a and b."""
+    for batch in batches:
+        a, b = (batch.column(k).to_numpy().view(np.uint64) for k in (0, 1))
+        yield pa.RecordBatch.from_arrays([pa.array(mix(a, b).view(np.int64)), *batch.columns], names=["key", "a", "b", "x", "n"])
+
+
+def tested(frame):
+    """Share and left of the states of rows (key, a, n, t count of a, lower share of the suffix); share 0 and left 1 of no state.
+
+    An occurrence left out takes 1 from n and t. ``head`` marks one row of each state.
+    """
+    of_state = Window.partitionBy("a")
+    rows = frame.withColumn("share", (F.col("n") - DISCOUNT) / F.col("t"))
+    rows = rows.withColumn("left", 1 - F.sum("share").over(of_state))
+    p = (F.col("n") - 1 - DISCOUNT) / (F.col("t") - 1) + F.col("left") * F.col("lower")
+    gain = F.sum(F.col("n") * F.ln(p / F.col("lower"))).over(of_state)
+    rest = (F.col("t") - F.sum("n").over(of_state)) * F.ln("left")
+    rows = rows.withColumn("state", gain + rest > 0).withColumn("head", F.col("state") & (F.min("key").over(of_state) == F.col("key")))
+    return rows.withColumn("share", F.when(F.col("state"), F.col("share")).otherwise(0.0)).withColumn(
+        "left", F.when(F.col("state"), F.col("left")).otherwise(1.0))
+
+
+def word_states(docs, model):
+    """(table, hot, lefts): what the states of words change, for keys of words, pairs and triples.
+
+    A word's row has its count c and the log10 weight of its state's suffix; a pair or triple adds
+    weight + log10(1 + kept / share of the symbols against the root's). Hot ones are arrays,
+    lefts those weights of the symbols that are words, 0 for the others, the start's last.
+    """
+    tree, counts, total, distinct = model
+    spark, texts, symbols = docs.sparkSession, docs.select("text"), tree.symbols
+    sent = spark.sparkContext.broadcast(tree)
+
+    def counted(run):
+        found = texts.mapInArrow(run, "a long, b long, x float, n long").groupBy("a", "b").agg(
+            F.min("x").alias("x"), F.sum("n").alias("n"))
+        return found.where(F.col("n") >= 2).select("a", "b", "x", "n").mapInArrow(
+            keyed, "key long, a long, b long, x float, n long")
+
+    # Every word but the end is followed by one token, and so is every start, as often as there are ends.
+    contexts = counts.select(F.when(F.col("word") == F.lit(END), START).otherwise(F.col("h")).alias("a"), F.col("n").alias("t"))
+    roots = counts.select(F.col("h").alias("b"), ((F.col("n") + ALPHA) / (total + ALPHA * (distinct + 1))).alias("root"))
+    pairs = counted(gram_counter(sent)).join(roots, "b").join(contexts, "a").withColumn(
+        "lower", F.col("root") * F.pow(F.lit(10.0), F.col("x").cast("double")))
+    pairs = cut(tested(pairs).select("key", "a", "n", "root", "share", "left", "head"), "pairs")
+
+    suffixes = pairs.select(F.col("key").alias("b"), "root", F.col("share").alias("below"), F.col("left").alias("weight"))
+    met = spark.sparkContext.broadcast(keys_of(pairs))
+    triples = counted(gram_counter(sent, met)).join(suffixes, "b").withColumn(
+        "lower", F.col("below") + F.col("weight") * F.col("root") * F.pow(F.lit(10.0), F.col("x").cast("double")))
+    triples = triples.join(pairs.select(F.col("key").alias("a"), F.col("n").alias("t")), "a")
+    triples = cut(tested(triples).where("state").select("key", "a", "n", "t", "share", "left", "lower", "head"), "triples")
+
+    none = F.lit(0.0)
+    changes = pairs.where("share > 0").select(
+        "key", "n", (F.col("share") / (F.col("left") * F.col("root"))).alias("kept"), none.alias("weight")).unionAll(
+        triples.where("head").select(F.col("a").alias("key"), F.col("t").alias("n"), none, F.log10("left"))).unionAll(
+        triples.select("key", "n", none, F.log10(1 + F.col("share") / (F.col("left") * F.col("lower")))))
+    frequent = F.col("n") >= max(2, math.ceil(HOT * total))
+    # At most 1 / HOT pairs and as many triples have this share.
+    hot = collected(changes.where(frequent).groupBy("key").agg(
+        F.sum("kept").alias("kept"), F.sum("weight").alias("weight")), "key", "kept", "weight")
+    order = np.argsort(hot[0].view(np.uint64))
+    hot = (hot[0].view(np.uint64)[order], hot[1][order], hot[2][order])
+
+    states = pairs.where("head").select(F.col("a").alias("h"), F.log10("left").alias("weight"))
+    known = counts.where(F.col("n") >= max(2, math.ceil(SYMBOL * total))).select("word", "h")
+    lefts = np.zeros(symbols.size + 1)
+    for word, weight in known.join(states, "h").select("word", "weight").collect():
+        lefts[symbols.fine[bytes(word)]] = weight
+    for row in states.where(F.col("h") == START).collect():
+        lefts[symbols.size] = row["weight"]
+    cold = changes.where(~frequent).select(F.col("key").alias("h"), F.lit(None).cast("long").alias("c"), "kept", "weight")
+    words = counts.join(states, "h", "left").select("h", F.col("n").alias("c"), none.alias("kept"), F.coalesce("weight", none).alias("weight"))
+    return words.unionAll(cold), hot, lefts, keys_of(cold.withColumnRenamed("h", "key"))
+
+
+def scorer(tree_sent, states_sent):
+    """Rows of batches (doc_id, key, text): a head row per text, a row per rare word of a text, a row per pair or triple met.
 
     Head: h NULL, n tokens, n_known of frequent words, a and b their base and
     model scores. Rare word: h, n times in the text, a the sum of log10 shares
     of its symbol against the root's if it is seen, b the same if it is not.
+    Pair: h, a its log10 share against the root's by the tree of symbols. Triple: h.
     """
     def run(batches):
         tree = tree_sent.value
+        (hot, hot_kept, hot_weight), lefts, met = states_sent.value
         symbols = tree.symbols
+
+        def changes(keys, ratio):
+            """What hot keys add to the score, and places of keys to be looked up in the table."""
+            at = find(hot, keys)
+            found = np.flatnonzero(at >= 0)
+            place = at[found]
+            added = np.zeros(len(keys))
+            added[found] = hot_weight[place] + np.log10(1 + hot_kept[place] * 10 ** -ratio[found])
+            return added, np.flatnonzero((at < 0) & met.among(keys))
+
         for batch in batches:
-            ids, keys = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             for first, texts in slices(batch, 2):
                 following, last, before, hashes, lengths = symbols.encode(texts)
                 log_p, log_reach = tree.log_probabilities(last, before, following)
                 text = np.repeat(np.arange(len(texts)), lengths)
                 common = (following > 0) & (following <= symbols.words)
                 size = len(texts)
+                ratio = log_p - tree.log_root[following]
+                # The states of frequent words and of the start, of hot pairs and of hot triples.
+                _, pairs, inner, triples = grams(hashes, lengths)
+                previous = np.roll(following, 1)
+                previous[np.cumsum(lengths) - lengths] = symbols.size
+                by_pair, cold_pairs = changes(pairs, ratio)
+                by_triple, cold_triples = changes(triples, np.zeros(len(triples)))
+                added = lefts[previous] + by_pair
+                added[inner] += by_triple
                 base = np.bincount(text[common], tree.log_root[following[common]], size)
-                model = np.bincount(text[common], log_p[common], size)
+                model = np.bincount(text[common], log_p[common], size) + np.bincount(text, added, size)
                 n_known = np.bincount(text[common], minlength=size)
                 rare = np.flatnonzero(~common)
                 # Rows of one word of one text become one row.
                 order = rare[np.lexsort((hashes[rare], text[rare]))]
                 t, h = text[order], hashes[order]
                 new = np.flatnonzero(np.r_[True, (t[1:] != t[:-1]) | (h[1:] != h[:-1])]) if len(order) else order
-                ratio = (log_p - tree.log_root[following])[order]
-                a = np.add.reduceat(ratio, new) if len(order) else ratio
-                b = np.add.reduceat(log_reach[order], new) if len(order) else ratio
+                a = np.add.reduceat(ratio[order], new) if len(order) else ratio[order]
+                b = np.add.reduceat(log_reach[order], new) if len(order) else ratio[order]
                 n = np.diff(np.r_[new, len(order)])
-                owner = [first + int(x) for x in t[new]] if len(order) else []
-                doc = [*ids[first:first + size], *(ids[o] for o in owner)]
-                key = [*keys[first:first + size], *(keys[o] for o in owner)]
+                owner = pa.array(first + np.r_[np.arange(size), t[new], text[cold_pairs], text[inner[cold_triples]]])
+                keys = batch.column(1).slice(first, size).to_numpy()
+                n_cold = len(cold_pairs) + len(cold_triples)
+                zeros = np.zeros(n_cold)
                 yield pa.RecordBatch.from_arrays([
-                    pa.array(doc, pa.int64()), pa.array(key, pa.int64()),
-                    pa.array(np.r_[np.asarray(keys[first:first + size], dtype=np.int64), h[new] if len(order) else h]),
-                    pa.array(np.r_[lengths, n]), pa.array(np.r_[n_known, np.full(len(n), HEAD)]),
-                    pa.array(np.r_[base, a]), pa.array(np.r_[model, b]),
+                    batch.column(0).take(owner), batch.column(1).take(owner),
+                    pa.array(np.r_[keys, h[new],
+                                   pairs[cold_pairs].view(np.int64), triples[cold_triples].view(np.int64)]),
+                    pa.array(np.r_[lengths, n, zeros.astype(np.int64)]),
+                    pa.array(np.r_[n_known, np.full(len(n), HEAD), np.full(n_cold, GRAM)]),
+                    pa.array(np.r_[base, a, ratio[cold_pairs], np.zeros(len(cold_triples))]),
+                    pa.array(np.r_[model, b, zeros]),
                 ], names=["doc_id", "key", "h", "n", "n_known", "a", "b"])
 
     return run
 
 
-def score(docs, model):
+def score(docs, model, states):
     """doc_id, n_tokens, n_known, base_score and score of every text."""
     tree, counts, total, distinct = model
+    table, *sent_states = states
     base = total + ALPHA * (distinct + 1)
     keyed = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"),
                         F.xxhash64("doc_id", "text").alias("key"), "text")
-    sent = docs.sparkSession.sparkContext.broadcast(tree)
-    rows = keyed.mapInArrow(scorer(sent), (
+    context = docs.sparkSession.sparkContext
+    rows = keyed.mapInArrow(scorer(context.broadcast(tree), context.broadcast(sent_states)), (
         "doc_id long, key long, h long, n long, n_known long, a double, b double"))
-    counts = counts.select("h", F.col("n").alias("c"))
-    head = F.col("n_known") != HEAD
+    head, gram = F.col("n_known") >= 0, F.col("n_known") == GRAM
     c = F.coalesce("c", F.lit(0))
     root = F.log10((c + ALPHA) / base)
-    joined = rows.join(counts, "h", "left").select(
+    weight, kept = F.coalesce("weight", F.lit(0.0)), F.coalesce("kept", F.lit(0.0))
+    joined = rows.join(table, "h", "left").select(
         "doc_id", "key", head.cast("int").alias("heads"),
         F.when(head, F.col("n")).otherwise(0).alias("n_tokens"),
         F.when(head, F.col("n_known")).when(c > 0, F.col("n")).otherwise(0).alias("n_known"),
-        F.when(head, F.col("a")).otherwise(F.col("n") * root).alias("base_score"),
-        F.when(head, F.col("b")).otherwise(
-            F.col("n") * root + F.when(c > 0, F.col("a")).otherwise(F.col("b"))).alias("score"))
+        F.when(head, F.col("a")).when(gram, 0.0).otherwise(F.col("n") * root).alias("base_score"),
+        F.when(head, F.col("b")).when(gram, weight + F.log10(1 + kept * F.pow(F.lit(10.0), -F.col("a")))).otherwise(
+            F.col("n") * (root + weight) + F.when(c > 0, F.col("a")).otherwise(F.col("b"))).alias("score"))
     sums = ("heads", "n_tokens", "n_known", "base_score", "score")
     texts = joined.groupBy("doc_id", "key").agg(*(F.sum(s).alias(s) for s in sums))
     # Rows that repeat one another were summed together.
@@ -384,6 +581,7 @@ def score(docs, model):
 
 def score_held_out(docs, folds=10):
     """Scores of all texts, learned from those outside the held-out fold."""
-    model = train(docs.where(~is_held_out(folds)))
-    return score(docs, model).withColumn("held_out", is_held_out(folds)).withColumn(
+    learned = docs.where(~is_held_out(folds))
+    model = train(learned)
+    return score(docs, model, word_states(learned, model)).withColumn("held_out", is_held_out(folds)).withColumn(
         "train_tokens", F.lit(model[2]).cast("bigint"))

@@ -90,3 +90,98 @@ def test_counting_codes_hashes_no_word():
         wanted.update((-1 - (before * symbols.contexts + last)).tolist())
     assert {r["code"]: r["n"] for r in found} == wanted
     assert symbols.encode(["the dog"])[3].tolist() == [pst.word_hash(w) for w in (b"the", b"dog", pst.END)]
+
+
+def states_of(texts, lowers):
+    """Every state of words of texts by plain counts: context -> (next word -> share, left)."""
+    follow, total = {}, Counter()
+    for text in texts:
+        words = [pst.START, *tokens(text)]
+        for i in range(1, len(words)):
+            for context in {tuple(words[i - 1:i]), tuple(words[max(i - 2, 0):i])}:
+                follow.setdefault(context, Counter())[words[i]] += 1
+                total[context] += 1
+    states = {}
+    for context in sorted(follow, key=len):
+        t, met = total[context], {w: n for w, n in follow[context].items() if n > 1}
+        left = 1 - sum((n - 0.75) / t for n in met.values())
+        gain = (t - sum(met.values())) * math.log(left)
+        for w, n in met.items():
+            lower = lowers(context, w, states)
+            gain += n * math.log(((n - 1.75) / (t - 1) + left * lower) / lower)
+        if met and gain > 0:
+            states[context] = {w: (n - 0.75) / t for w, n in met.items()}, left
+    return states
+
+
+def through(states, context, word, p):
+    """Probability of a word in the state of a context, given the one in its suffix."""
+    shares, left = states.get(context, ({}, 1.0))
+    return shares.get(word, 0.0) + left * p
+
+
+@pytest.mark.parametrize("hot", [1e-6, 2e-3, 1.0])
+def test_every_state_of_words_counts_however_rare(spark, monkeypatch, hot):
+    """Scores are those of a plain tree of all words, whether pairs and triples are sent to tasks or joined."""
+    rng = np.random.default_rng(7)
+    heads, rows = [f"h{k}" for k in range(40)], []
+    for i in range(240):
+        words = []
+        for _ in range(30):
+            k = int(rng.integers(len(heads)))
+            # A rare pair that tells its next word, far below a share of 3e-4 each.
+            words += [heads[k], f"q{k}", f"n{k}{'xyz'[int(rng.integers(3))]}"] if rng.random() < 0.5 else ["the", heads[k]]
+            words += [f"rare{int(rng.integers(4000))}"] * int(rng.random() < 0.3)
+        rows.append((i, " ".join(words)))
+    rows += [(500, None), (501, ""), (502, "the"), (503, "unseen words only"), (504, "h1 q1 n1x"), (504, "h1 q1 n1x")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    monkeypatch.setattr(pst, "HOT", hot)
+    # Symbols of few words, so that most states are of words below every share.
+    monkeypatch.setattr(pst, "SYMBOL", 5e-3)
+    monkeypatch.setattr(pst, "CONTEXT", 2e-2)
+    monkeypatch.setattr(pst, "PAIR", 5e-3)
+    out = pst.score_held_out(docs).collect()
+    check(rows, out)
+
+    learned = [t for i, t in rows if not held_out(i)]
+    tree, _, total, distinct = pst.train(docs.where(~pst.is_held_out(10)))
+    counts, symbols = Counter(w for t in learned for w in tokens(t)), tree.symbols
+    fine = lambda w: symbols.fine.get(w) or symbols.fine_ending.get(w[-3:], 0)
+    coarse = lambda w: 1 if w == pst.START else symbols.coarse.get(w) or symbols.coarse_ending.get(w[-3:], 0)
+
+    def by_symbols(context, w, depth):
+        last, before = coarse(context[-1]), coarse(context[-2]) if len(context) > 1 else 1
+        p, reach = tree.log_probabilities(*(np.array([v]) for v in (last, before, fine(w))), depth)
+        root = (counts[w] + 0.1) / (total + 0.1 * (distinct + 1))
+        return root * 10 ** ((p - tree.log_root[fine(w)] if counts[w] else reach)[0])
+
+    def lowers(context, w, states):
+        if len(context) == 1:
+            return by_symbols(context, w, 1)
+        return through(states, context[1:], w, by_symbols(context, w, 2))
+
+    states = states_of(learned, lowers)
+    assert sum(len(c) == 2 for c in states) > 50 and sum(total_of < 2e-2 * total for total_of in (counts[c[-1]] for c in states)) > 50
+    wanted = []
+    for i, text in rows:
+        score, words = 0.0, [pst.START, *tokens(text)]
+        for k in range(1, len(words)):
+            p = through(states, tuple(words[k - 1:k]), words[k], by_symbols(tuple(words[max(k - 2, 0):k]), words[k], 2))
+            score += math.log10(through(states, tuple(words[k - 2:k]), words[k], p) if k > 1 else p)
+        wanted.append((i, score))
+    got = sorted((r["doc_id"], r["score"]) for r in out)
+    for a, b in zip(got, sorted(wanted), strict=True):
+        assert a[0] == b[0] and a[1] == pytest.approx(b[1], rel=1e-5)
+
+
+def test_tree_grows_with_the_corpus(spark):
+    """States far below the old shares (3e-4, 1e-6) are kept, and more of them in a larger corpus."""
+    def kept(n):
+        rows = [(i, " ".join(f"a{(i + k) % n} b{(i + k) % n}" for k in range(20))) for i in range(3 * n)]
+        docs = spark.createDataFrame(rows, "doc_id long, text string")
+        model = pst.train(docs)
+        table, hot, _, _ = pst.word_states(docs, model)
+        return len(hot[0]) + table.where("c is null").count()
+
+    small, large = kept(600), kept(2400)
+    assert small >= 1200 and large > 3.5 * small
