@@ -52,7 +52,7 @@ from flowtally.llm.common import cut, is_held_out, words_of
 SYMBOL = 2e-6
 CONTEXT = 3e-4
 PAIR = 1e-6
-HOT = 1e-6
+HOT = 1e-7
 BITS = 1 << 27
 ENDING = 3
 DISCOUNT = 0.75
@@ -377,6 +377,9 @@ def gram_counter(tree_sent, met_sent=None, kept=1_500_000):
         def rows():
             a, b, x = (np.concatenate(part) for part in zip(*held))
             _, at, n = np.unique(mix(a, b), return_index=True, return_counts=True)
+            # Rows of a context side by side, which packs better.
+            order = np.argsort(a[at])
+            at, n = at[order], n[order]
             for first in range(0, len(at), 100_000):
                 some = at[first:first + 100_000]
                 yield pa.RecordBatch.from_arrays([
@@ -450,28 +453,31 @@ def word_states(docs, model):
     roots = counts.select(F.col("h").alias("b"), ((F.col("n") + ALPHA) / (total + ALPHA * (distinct + 1))).alias("root"))
     pairs = counted(gram_counter(sent)).join(roots, "b").join(contexts, "a").withColumn(
         "lower", F.col("root") * F.pow(F.lit(10.0), F.col("x").cast("double")))
-    pairs = cut(tested(pairs).select("key", "a", "n", "root", "share", "left", "head"), "pairs")
+    pairs = cut(tested(pairs).select("key", "n", "root", "share", "left", F.when(F.col("head"), F.col("a")).alias("of")), "pairs")
 
     suffixes = pairs.select(F.col("key").alias("b"), "root", F.col("share").alias("below"), F.col("left").alias("weight"))
     met = spark.sparkContext.broadcast(keys_of(pairs))
     triples = counted(gram_counter(sent, met)).join(suffixes, "b").withColumn(
         "lower", F.col("below") + F.col("weight") * F.col("root") * F.pow(F.lit(10.0), F.col("x").cast("double")))
     triples = triples.join(pairs.select(F.col("key").alias("a"), F.col("n").alias("t")), "a")
-    triples = cut(tested(triples).where("state").select("key", "a", "n", "t", "share", "left", "lower", "head"), "triples")
+    triples = cut(tested(triples).where("state").select(
+        "key", "n", F.log10(1 + F.col("share") / (F.col("left") * F.col("lower"))).cast("float").alias("weight"),
+        *(F.when(F.col("head"), c).alias(name) for name, c in (
+            ("of", F.col("a")), ("t", F.col("t")), ("rest", F.log10("left").cast("float"))))), "triples")
 
-    none = F.lit(0.0)
+    none = F.lit(0.0).cast("float")
     changes = pairs.where("share > 0").select(
-        "key", "n", (F.col("share") / (F.col("left") * F.col("root"))).alias("kept"), none.alias("weight")).unionAll(
-        triples.where("head").select(F.col("a").alias("key"), F.col("t").alias("n"), none, F.log10("left"))).unionAll(
-        triples.select("key", "n", none, F.log10(1 + F.col("share") / (F.col("left") * F.col("lower")))))
+        "key", "n", (F.col("share") / (F.col("left") * F.col("root"))).cast("float").alias("kept"), none.alias("weight")).unionAll(
+        triples.where("of is not null").select(F.col("of").alias("key"), F.col("t").alias("n"), none, "rest")).unionAll(
+        triples.select("key", "n", none, "weight"))
     frequent = F.col("n") >= max(2, math.ceil(HOT * total))
     # At most 1 / HOT pairs and as many triples have this share.
     hot = collected(changes.where(frequent).groupBy("key").agg(
-        F.sum("kept").alias("kept"), F.sum("weight").alias("weight")), "key", "kept", "weight")
+        *(F.sum(k).cast("float").alias(k) for k in ("kept", "weight"))), "key", "kept", "weight")
     order = np.argsort(hot[0].view(np.uint64))
     hot = (hot[0].view(np.uint64)[order], hot[1][order], hot[2][order])
 
-    states = pairs.where("head").select(F.col("a").alias("h"), F.log10("left").alias("weight"))
+    states = pairs.where("of is not null").select(F.col("of").alias("h"), F.log10("left").cast("float").alias("weight"))
     known = counts.where(F.col("n") >= max(2, math.ceil(SYMBOL * total))).select("word", "h")
     lefts = np.zeros(symbols.size + 1)
     for word, weight in known.join(states, "h").select("word", "weight").collect():
@@ -480,7 +486,7 @@ def word_states(docs, model):
         lefts[symbols.size] = row["weight"]
     cold = changes.where(~frequent).select(F.col("key").alias("h"), F.lit(None).cast("long").alias("c"), "kept", "weight")
     words = counts.join(states, "h", "left").select("h", F.col("n").alias("c"), none.alias("kept"), F.coalesce("weight", none).alias("weight"))
-    return words.unionAll(cold), hot, lefts, keys_of(cold.withColumnRenamed("h", "key"))
+    return words.unionAll(cold), hot, lefts, keys_of(changes)
 
 
 def scorer(tree_sent, states_sent):
@@ -489,7 +495,7 @@ def scorer(tree_sent, states_sent):
     Head: h NULL, n tokens, n_known of frequent words, a and b their base and
     model scores. Rare word: h, n times in the text, a the sum of log10 shares
     of its symbol against the root's if it is seen, b the same if it is not.
-    Pair: h, a its log10 share against the root's by the tree of symbols. Triple: h.
+    Pair: h, x its log10 share against the root's by the tree of symbols. Triple: h.
     """
     def run(batches):
         tree = tree_sent.value
@@ -498,12 +504,11 @@ def scorer(tree_sent, states_sent):
 
         def changes(keys, ratio):
             """What hot keys add to the score, and places of keys to be looked up in the table."""
-            at = find(hot, keys)
-            found = np.flatnonzero(at >= 0)
-            place = at[found]
-            added = np.zeros(len(keys))
-            added[found] = hot_weight[place] + np.log10(1 + hot_kept[place] * 10 ** -ratio[found])
-            return added, np.flatnonzero((at < 0) & met.among(keys))
+            added, member = np.zeros(len(keys)), np.flatnonzero(met.among(keys))
+            at = find(hot, keys[member])
+            known, at = member[at >= 0], at[at >= 0]
+            added[known] = hot_weight[at] + np.log10(1 + hot_kept[at] * 10 ** -ratio[known])
+            return added, np.setdiff1d(member, known, assume_unique=True)
 
         for batch in batches:
             for first, texts in slices(batch, 2):
@@ -532,19 +537,21 @@ def scorer(tree_sent, states_sent):
                 a = np.add.reduceat(ratio[order], new) if len(order) else ratio[order]
                 b = np.add.reduceat(log_reach[order], new) if len(order) else ratio[order]
                 n = np.diff(np.r_[new, len(order)])
-                owner = pa.array(first + np.r_[np.arange(size), t[new], text[cold_pairs], text[inner[cold_triples]]])
                 keys = batch.column(1).slice(first, size).to_numpy()
+                owner = np.r_[np.arange(size), t[new], text[cold_pairs], text[inner[cold_triples]]]
                 n_cold = len(cold_pairs) + len(cold_triples)
-                zeros = np.zeros(n_cold)
-                yield pa.RecordBatch.from_arrays([
-                    batch.column(0).take(owner), batch.column(1).take(owner),
+                zeros, others = np.zeros(n_cold), np.zeros(size + len(n))
+                found = pa.RecordBatch.from_arrays([
+                    batch.column(0).slice(first, size).take(pa.array(owner)), pa.array(keys[owner]),
                     pa.array(np.r_[keys, h[new],
                                    pairs[cold_pairs].view(np.int64), triples[cold_triples].view(np.int64)]),
                     pa.array(np.r_[lengths, n, zeros.astype(np.int64)]),
                     pa.array(np.r_[n_known, np.full(len(n), HEAD), np.full(n_cold, GRAM)]),
-                    pa.array(np.r_[base, a, ratio[cold_pairs], np.zeros(len(cold_triples))]),
-                    pa.array(np.r_[model, b, zeros]),
-                ], names=["doc_id", "key", "h", "n", "n_known", "a", "b"])
+                    pa.array(np.r_[base, a, zeros]), pa.array(np.r_[model, b, zeros]),
+                    pa.array(np.r_[others, ratio[cold_pairs], np.zeros(len(cold_triples))].astype(np.float32)),
+                ], names=["doc_id", "key", "h", "n", "n_known", "a", "b", "x"])
+                # Rows of a text side by side, which packs better.
+                yield found.take(pa.array(np.argsort(owner, kind="stable")))
 
     return run
 
@@ -558,17 +565,17 @@ def score(docs, model, states):
                         F.xxhash64("doc_id", "text").alias("key"), "text")
     context = docs.sparkSession.sparkContext
     rows = keyed.mapInArrow(scorer(context.broadcast(tree), context.broadcast(sent_states)), (
-        "doc_id long, key long, h long, n long, n_known long, a double, b double"))
+        "doc_id long, key long, h long, n long, n_known long, a double, b double, x float"))
     head, gram = F.col("n_known") >= 0, F.col("n_known") == GRAM
     c = F.coalesce("c", F.lit(0))
     root = F.log10((c + ALPHA) / base)
-    weight, kept = F.coalesce("weight", F.lit(0.0)), F.coalesce("kept", F.lit(0.0))
+    weight, kept = (F.coalesce(F.col(k).cast("double"), F.lit(0.0)) for k in ("weight", "kept"))
     joined = rows.join(table, "h", "left").select(
         "doc_id", "key", head.cast("int").alias("heads"),
         F.when(head, F.col("n")).otherwise(0).alias("n_tokens"),
         F.when(head, F.col("n_known")).when(c > 0, F.col("n")).otherwise(0).alias("n_known"),
         F.when(head, F.col("a")).when(gram, 0.0).otherwise(F.col("n") * root).alias("base_score"),
-        F.when(head, F.col("b")).when(gram, weight + F.log10(1 + kept * F.pow(F.lit(10.0), -F.col("a")))).otherwise(
+        F.when(head, F.col("b")).when(gram, weight + F.log10(1 + kept * F.pow(F.lit(10.0), -F.col("x")))).otherwise(
             F.col("n") * (root + weight) + F.when(c > 0, F.col("a")).otherwise(F.col("b"))).alias("score"))
     sums = ("heads", "n_tokens", "n_known", "base_score", "score")
     texts = joined.groupBy("doc_id", "key").agg(*(F.sum(s).alias(s) for s in sums))
