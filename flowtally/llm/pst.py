@@ -121,8 +121,13 @@ def blocked(batches):
         code()
         lengths, held, ids = (np.array(c) for c in zip(*((n, h, i or 0) for n, h, i in texts)))
         found = np.concatenate(coded)
+        # Small numbers for frequent words, which packs better.
+        order = np.argsort(-np.bincount(found, minlength=len(numbers))[2:], kind="stable") + 2
+        number_of = np.arange(len(numbers), dtype=np.uint32)
+        number_of[order] = number_of[2:].copy()
+        found, words = number_of[found], list(numbers)
         here = np.bincount(found[np.repeat(~held, lengths)], minlength=len(numbers))
-        words = pack(np.frombuffer(END.join(list(numbers)[2:]), dtype=np.uint8), here.astype(np.uint32))
+        words = pack(np.frombuffer(END.join([words[i] for i in order.tolist()]), dtype=np.uint8), here.astype(np.uint32))
         data = pack(found, lengths.astype(np.uint32), held.astype(np.uint8), ids.astype(np.int64),
                     np.array([i is not None for _, _, i in texts], dtype=np.uint8))
         return parts([(number, 0, 0, data)]).append_column("words", pa.array([words], pa.binary()))
@@ -192,8 +197,11 @@ class Block:
     # Words.
     @cached_property
     def lexical(self):
-        hashes, n, following, context = unpack(self.found[1][0])
-        return hashes, n, following.astype(np.int64), context.astype(np.int64)
+        """Keys, counts, next symbols and context symbols of words."""
+        shard, within, n, following = unpack(self.found[1][0])
+        context = self.model[0].symbols.coarse_of[following]
+        context[FIRST] = 1
+        return mix(shard.astype(np.uint64) + np.uint64(1), within.astype(np.uint64)), n, following.astype(np.int64), context
 
     @cached_property
     def root(self):
@@ -430,11 +438,15 @@ def hashes_of(words):
     return np.array(list(map(word_hash, words)), dtype=np.int64).view(np.uint64)
 
 
+def shard_of(keys, shards):
+    return (keys >> np.uint64(32)) * np.uint64(shards) >> np.uint64(32)
+
+
 def by_shard(number, part, shards, keys, values):
     """Rows of what a block asks for, in order of keys. Shards are ranges of keys."""
     order = np.argsort(keys)
     keys, values = keys[order], [v[order] for v in values]
-    edge = np.searchsorted((keys >> np.uint64(32)) * np.uint64(shards) >> np.uint64(32), np.arange(shards + 1, dtype=np.uint64))
+    edge = np.searchsorted(shard_of(keys, shards), np.arange(shards + 1, dtype=np.uint64))
     return [(number, part, s, pack(np.diff(keys[i:j], prepend=np.uint64(0)), *(v[i:j] for v in values)))
             for s, (i, j) in enumerate(zip(edge[:-1].tolist(), edge[1:].tolist())) if i < j]
 
@@ -450,7 +462,10 @@ def ask_words(shards):
 
 
 def answer(table):
-    """A shard's answers to the blocks that asked: sums for their keys, and of counts who owns it, of gains whether it is positive."""
+    """A shard's answers to the blocks that asked: sums for their keys, of gains whether it is positive.
+
+    Counts come with who owns the key, those of words with their number among the shard's words, too.
+    """
     numbers, sent = table.column("block").to_pylist(), [unpack(d) for d in table.column("data").to_pylist()]
     part, shard = (table.column(c)[0].as_py() for c in ("part", "shard"))
     keys = np.concatenate([np.cumsum(s[0], dtype=np.uint64) for s in sent])
@@ -470,8 +485,14 @@ def answer(table):
     if part in (1, 2, 5):
         back.append(np.zeros(len(keys), dtype=np.uint8))
         back[-1][order[new]] = 1
+    if part == 1:
+        back.append(np.empty(len(keys), dtype=np.uint32))
+        back[-1][order] = group
     edges = np.cumsum([len(s[0]) for s in sent])[:-1]
     back = [np.split(b, edges) for b in back]
+    if part == 1:
+        # A block's words ascend in them.
+        back[-1] = [np.diff(b, prepend=np.uint32(0)) for b in back[-1]]
     return pa.Table.from_batches([parts([(n, part, shard, pack(*(b[i] for b in back))) for i, n in enumerate(numbers)])])
 
 
@@ -504,18 +525,21 @@ def asked(frames, rounds, shards, model_sent):
     return answered(by_block(frames, run, PARTS))
 
 
-def lexicon(symbols_sent):
-    """Part 1 of blocks: hashes, counts, next symbols and context symbols of words; words met once need no hash."""
+def lexicon(symbols_sent, shards):
+    """Part 1 of blocks: shards, numbers there, counts and next symbols of words; words met once need no number."""
     def run(number, found):
         words, _ = words_in(found[0][0])
         hashes = hashes_of(words)
-        n, _ = spread(found.get(1, []), np.argsort(hashes), len(hashes), 2)
+        got, order = [unpack(d) for d in found[1]], np.argsort(hashes)
+        shard = shard_of(hashes, shards).astype(np.uint32)
+        within, n = np.empty(len(hashes), dtype=np.uint32), np.empty(len(hashes), dtype=np.int64)
+        within[order] = np.concatenate([np.cumsum(g[2], dtype=np.uint32) for g in got])
+        n[order] = np.concatenate([g[0] for g in got])
         # Every start is followed by one token, and there are as many as ends.
         n[FIRST] = n[LAST]
-        hashes[n < 2] = 0
-        following, context = symbols_sent.value.numbers(words)
-        context[FIRST] = 1
-        yield parts([(number, 1, 0, pack(hashes, n.astype(np.int64), following.astype(np.uint32), context.astype(np.uint16)))])
+        shard[n < 2], within[n < 2] = 0, 0
+        following, _ = symbols_sent.value.numbers(words)
+        yield parts([(number, 1, 0, pack(shard, within, n, following.astype(np.uint32)))])
 
     return run
 
@@ -523,7 +547,7 @@ def lexicon(symbols_sent):
 def owned_sums(batches):
     """n and number of the words learned that answers give to their owners."""
     for batch in batches:
-        n, own = (np.concatenate(c) for c in zip(*map(unpack, batch.column(0).to_pylist())))
+        n, own, _ = (np.concatenate(c) for c in zip(*map(unpack, batch.column(0).to_pylist())))
         own = (own > 0) & (n > 0)
         yield pa.RecordBatch.from_arrays([pa.array([int(n[own].sum())]), pa.array([int(own.sum())])], names=["n", "v"])
 
@@ -856,7 +880,7 @@ def informed(blocks, model):
     context, shards = blocks.sparkSession.sparkContext, shards_of(blocks)
     sent = context.broadcast((tree, distinct_words))
     frames = [blocks.drop("words"), cut_and_sweep(
-        by_block([word_parts(blocks), words], lexicon(context.broadcast(tree.symbols)), PARTS), "lexicon")]
+        by_block([word_parts(blocks), words], lexicon(context.broadcast(tree.symbols), shards), PARTS), "lexicon")]
     for rounds in (((2, Block.ask_pairs),), ((3, Block.ask_nexts), (5, Block.ask_triples)),
                    ((4, Block.ask_gains), (6, Block.ask_pair_nexts)), ((7, Block.ask_pair_gains),)):
         frames.append(asked(frames, rounds, shards, sent))

@@ -1,6 +1,7 @@
 import math
 import zlib
 from collections import Counter
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -185,3 +186,34 @@ def test_tree_grows_with_the_corpus(spark):
 
     small, large = kept(600), kept(2400)
     assert small >= 1200 and large > 3.5 * small
+
+
+def test_blocks_send_a_key_once_however_frequent(spark):
+    """What is asked for grows with the distinct keys of a block, not with its tokens, and scores do not depend on blocks."""
+    texts = ["the cat sat on the mat"] * 3000 + [f"w{i} the cat" for i in range(300)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(2)
+    one = sorted((r["doc_id"], r["score"]) for r in pst.score_held_out(docs).collect())
+    blocks = pst.blocks_of(docs, pst.F.lit(False))
+    model = pst.learn(blocks)
+    frames, _ = pst.informed(blocks, model)
+    # Some 300 words, 300 pairs to be met and few triples, each once in a block; 22,000 tokens.
+    answers = [sum(len(pst.unpack(r["data"])[0]) for r in f.collect()) for f in (model[1], *frames[2:])]
+    assert all(0 < n < 1000 for n in answers)
+    many = pst.blocks_of(docs.repartition(7), pst.is_held_out(10))
+    model = pst.learn(many)
+    assert many.count() == 7
+    for a, b in zip(one, sorted((r["doc_id"], r["score"]) for r in pst.score(many, model).collect()), strict=True):
+        assert a[0] == b[0] and a[1] == pytest.approx(b[1], rel=1e-9)
+
+
+def test_steps_leave_no_shuffles(spark):
+    """Shuffles of all steps but the last are gone from disk before texts are scored; they took many times the input."""
+    folders = list(spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager().localDirs())
+
+    def used():
+        return sum(f.stat().st_size for d in folders for f in Path(d.getPath()).rglob("shuffle_*") if f.exists())
+
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    before = used()
+    pst.score_held_out(docs)
+    assert used() - before < 1_428_373
