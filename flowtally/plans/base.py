@@ -10,6 +10,7 @@ from flowtally.schemas import (
     FRACTION_SUM_TYPE, FRACTIONAL, HLS_DIMS, HLS_METRICS, RTMP_DIMS, RTMP_METRICS, WIDE,
     WIDE_SUM_TYPE,
 )
+from flowtally.session import work_dir
 
 KEYS = {"hls": HLS_DIMS, "rtmp": RTMP_DIMS}
 COUNTERS = {"hls": HLS_METRICS, "rtmp": RTMP_METRICS}
@@ -53,12 +54,26 @@ def increment_or_insert(existing, delta, keys):
     return both.groupBy(*keys).agg(*[F.sum(c).cast(kinds[c]).alias(c) for c in counters])
 
 
-def shown(sums):
+def shown(sums, beyond=()):
     """Totals as readers expect them: fractional ones as doubles, wide ones as bigints.
 
-    A wide total beyond the bigint range is an error here, never a wrong number.
+    A wide total beyond the bigint range is an error here, never a wrong number; columns
+    named in ``beyond`` stay decimals.
     """
     kinds = dict(sums.dtypes)
     shown_as = {c: "double" for c in sums.columns if c in FRACTIONAL}
-    shown_as.update({c: "bigint" for c in sums.columns if kinds[c] == WIDE_SUM_TYPE})
+    shown_as.update({c: "bigint" for c in sums.columns if kinds[c] == WIDE_SUM_TYPE and c not in beyond})
     return sums.withColumns({c: F.col(c).cast(kind) for c, kind in shown_as.items()})
+
+
+def shown_whole(sums):
+    """As :func:`shown`, but a column with a total beyond the bigint range is shown as decimals.
+
+    The totals decide on their type, so they are written first and worked out once.
+    """
+    spark, path = sums.sparkSession, work_dir(sums.sparkSession, "totals")
+    sums.write.parquet(path)
+    kept = spark.read.schema(sums.schema).parquet(path)
+    wide = [c for c, kind in kept.dtypes if kind == WIDE_SUM_TYPE]
+    over = kept.agg(*[F.count_if(F.col(c).isNotNull() & F.col(c).try_cast("bigint").isNull()).alias(c) for c in wide]).first()
+    return shown(kept, [c for c in wide if over[c]])

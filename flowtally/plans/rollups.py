@@ -154,15 +154,15 @@ def _exact_lane(feed):
     return _lane(feed)
 
 
-def rollup(counters, name):
-    """One served table from requests, sessions or partial sums."""
+def rollup(counters, name, show=shown):
+    """One served table from requests, sessions or partial sums; ``show`` gives totals the types of readers."""
     spec = CATALOGUE[name]
     lane = _lane(spec.feed) if spec.family == "quality" else _exact_lane(spec.feed)
     hour = F.col("timestamp_hour")
     time, *dims = keys_of(name)
     keys = [(hour if spec.hourly else day_of(hour)).alias(time)]
     keys += [F.col(d).alias(shown_as) for d, shown_as in zip(spec.dims, dims)]
-    return shown(counters.filter(lane == spec.lane).groupBy(*keys).agg(
+    return show(counters.filter(lane == spec.lane).groupBy(*keys).agg(
         *_named(_sums(spec.feed, spec.family, dict(counters.dtypes)))))
 
 

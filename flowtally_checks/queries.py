@@ -139,7 +139,7 @@ def fold_rtmp(spark, sf_dir):
 def hls_wide_values(spark, sf_dir):
     """Byte counts of terabytes, numbers as text or with a fraction, times with an exponent."""
     messages = feeds.wide_hls_messages(feeds.events(spark, sf_dir))
-    return rollups.rollup(hls.requests(messages), "hls_down_a")
+    return rollups.rollup(hls.requests(messages), "hls_down_a", base.shown_whole)
 
 
 def rtmp_wide_values(spark, sf_dir):

@@ -1,5 +1,7 @@
+import datetime as dt
 import warnings
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
@@ -42,3 +44,20 @@ def test_messages_are_dealt_over_tasks(spark):
     total = spark.read.parquet("/root/testdata/sf0.1/events.parquet").count()
     assert sum(r["count"] for r in tasks) == total
     assert len(tasks) > 1 and max(r["count"] for r in tasks) < 0.6 * total
+
+
+@pytest.mark.parametrize("name", ["hls_wide_values"])
+def test_totals_beyond_bigints_are_whole(spark, folder, name):
+    """Many terabyte counts of one day and application: the exact total, where no bigint holds it."""
+    path = folder("wide")
+    rows = [(i, dt.datetime(2024, 1, 15, 1), i % 3, 100.0) for i in range(9_000_000, 9_000_400)]
+    spark.createDataFrame(rows, "event_id long, ts timestamp_ntz, user_id long, value double").write.parquet(
+        f"{path}/events.parquet")
+    found = entry_points.queries()[name](spark, path)
+    con = duckdb.connect()
+    con.execute(f"create view events as select * from '{path}/events.parquet/*.parquet'")
+    sql = entry_points.oracle_sql()[name].replace("cast(sum(flux) as bigint) as flux", "sum(flux) as flux")
+    expected = {app: int(flux) for app, flux in con.execute(f"select app, flux from ({sql})").fetchall()}
+    assert max(expected.values()) > 2**63
+    assert {r["app"]: int(r["flux"]) for r in found.collect()} == expected
+    assert [c for c, kind in found.dtypes if kind.startswith("decimal")] == ["flux"]
