@@ -144,7 +144,7 @@ def hls_wide_values(spark, sf_dir):
 
 def rtmp_wide_values(spark, sf_dir):
     messages = feeds.wide_rtmp_messages(feeds.events(spark, sf_dir))
-    return rollups.rollup(rtmp.sessions(messages), "rtmp_down_app")
+    return rollups.rollup(rtmp.sessions(messages), "rtmp_down_app", base.shown_whole)
 
 
 def json_quarantine_rtmp(spark, sf_dir):

@@ -46,7 +46,7 @@ def test_messages_are_dealt_over_tasks(spark):
     assert len(tasks) > 1 and max(r["count"] for r in tasks) < 0.6 * total
 
 
-@pytest.mark.parametrize("name", ["hls_wide_values"])
+@pytest.mark.parametrize("name", ["hls_wide_values", "rtmp_wide_values"])
 def test_totals_beyond_bigints_are_whole(spark, folder, name):
     """Many terabyte counts of one day and application: the exact total, where no bigint holds it."""
     path = folder("wide")
