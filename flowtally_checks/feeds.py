@@ -15,8 +15,12 @@ _EPOCH = """unix_date(cast(ts as date)) * 86400L + hour(ts) * 3600 + minute(ts)
 
 
 def events(spark, sf_dir):
-    """The event table, dealt over the cores: a few files would leave the decoding of all messages to a few tasks."""
-    return spark.read.parquet(f"{sf_dir}/events.parquet").repartition("event_id")
+    """The event table, dealt over the cores: a few files would leave the decoding of all messages to a few tasks.
+
+    The number of tasks is given, as small rows would be gathered in one task again.
+    """
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return spark.read.parquet(f"{sf_dir}/events.parquet").repartition(parts, "event_id")
 
 
 def event_stream(spark, sf_dir):
