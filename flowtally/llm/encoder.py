@@ -59,7 +59,7 @@ class WordEncoder:
     bounded caches.
     """
 
-    def __init__(self, path, words=500_000, pieces=1_200_000):
+    def __init__(self, path, words=500_000, pieces=400_000):
         from tokenizers import Tokenizer
 
         self.full = Tokenizer.from_file(path)
@@ -71,18 +71,14 @@ class WordEncoder:
         self.letters = byte_letters()
         self.special = regex.compile("|".join(regex.escape(t["content"]) for t in spec["added_tokens"]) or "(?!)").search
         self.words = _Cache(self._word, words // 2)
-        self.known, self.piece_bound = {}, pieces
-
-    def _piece(self, piece):
-        ids = self.known.get(piece)
-        if ids is None:
-            if len(self.known) > self.piece_bound:
-                self.known.clear()
-            letters = self.letters
-            spelt = "".join([letters[b] for b in piece.encode()])
-            ids = np.array([t.id for t in self.model.tokenize(spelt)], dtype="<i4").tobytes()
-            self.known[piece] = ids
-        return ids
+        # Words are kept with their ids as well: pieces only serve new ones.
+        self.known = _Cache(self._ids, pieces // 2)
+        self._piece = self.known.__getitem__
+
+    def _ids(self, piece):
+        letters = self.letters
+        spelt = "".join([letters[b] for b in piece.encode()])
+        return np.array([t.id for t in self.model.tokenize(spelt)], dtype="<i4").tobytes()
 
     def _word(self, word):
         plain = word.isascii() and word.isprintable() or PLAIN.fullmatch(word)
@@ -97,6 +93,7 @@ class WordEncoder:
 
     def __call__(self, text):
         self.words.trim()
+        self.known.trim()
         # A special token may hold blanks only if the vocabulary says so; none does here.
         plain = text.replace("\t", " ").replace("\n", " ").replace("\r", " ")
         return b"".join(map(self.words.__getitem__, plain.split(" ")))
